@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import numeric, words
+from ..operators import kmeans, kmedian, numeric, paging, sampling, words
+from ..operators import vectors as V
 from ..sources import tables
+from ..sources.text import parse_vectors
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,16 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 THRESHOLD = 0.5          # P3: strict "greater than"
 SALT_BUCKETS = 8         # P5: K
 SUM_SQ_SCALE = 1e12      # sum of squares is ~1e14: scaled so 6 decimals are meaningful
+SEED = 42
+RACE_ROUND = 1           # V5(a): round number in the uniform's key
+PREFIX_FRAC = 0.37       # V5(b): x
+KPP_K = 4                # V6 / V8: k
+FIT_ITERATIONS = 2       # V8: Lloyd steps after seeding
+WEIGHT_PARTS = 4         # A15: part = vec_id mod 4
+CORESET_K = 3            # V10 / V11: k
+CORESET_PARTS = 2        # V10 / V11: L, part = vec_id mod L
+CORESET_ITERATIONS = 1   # V10 / V11: Lloyd steps in rounds 1 and 2
+PAGE_START, PAGE_END = 100, 200   # P7 / K2: one page of the row index
 
 
 def _r(c, digits: int = 6):
@@ -83,6 +95,136 @@ def wc_avg_len(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.mean_distinct_word_length(wc).select(_r(F.col("avg_len")).alias("avg_len"))
 
 
+# --------------------------------------------------------------------------- vectors
+
+def _points(spark: SparkSession, sf_dir: str, with_label: bool = False) -> DataFrame:
+    return tables.points(spark, sf_dir, with_label)
+
+
+def label_centers(spark: SparkSession, sf_dir: str) -> list[list[float]]:
+    """Centre set derived from the data: the mean embedding of each label, in label order."""
+    means = V.weighted_mean(_points(spark, sf_dir, True), "label")
+    return V.collect_centers(means.select(F.col("label").alias("c"), F.col("mean").alias("y")))
+
+
+def _with_min_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.assign(_points(spark, sf_dir), label_centers(spark, sf_dir))
+
+
+def vec_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors rendered as single-space text lines and parsed back."""
+    text = _points(spark, sf_dir).select(
+        "id", F.array_join(F.transform("x", lambda e: e.cast("string")), " ").alias("value"))
+    parsed = text.select("id", parse_vectors(text, sep=" ").alias("x"))
+    return parsed.select(F.col("id").alias("vec_id"), F.size("x").alias("dim"),
+                         _r(F.aggregate("x", F.lit(0.0), lambda a, b: a + b)).alias("sum_x"))
+
+
+def vec_scan_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines with tab / repeated-space separators, split on any whitespace run."""
+    text = _points(spark, sf_dir).select(
+        "id", F.concat(F.lit(" \t"), F.array_join(F.transform("x", lambda e: e.cast("string")), " \t  "),
+                       F.lit("  ")).alias("value"))
+    parsed = text.select("id", parse_vectors(text, sep=None).alias("x"))
+    return parsed.select(F.col("id").alias("vec_id"), F.size("x").alias("dim"),
+                         _r(F.aggregate("x", F.lit(0.0), lambda a, b: a + b)).alias("sum_x"))
+
+
+def vec_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = V.pairwise_distances(_points(spark, sf_dir), label_centers(spark, sf_dir))
+    return pairs.select(F.col("id").alias("vec_id"), "c", _r(F.col("d")).alias("d"))
+
+
+def vec_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_min_distance(spark, sf_dir).select(F.col("id").alias("vec_id"), "c",
+                                                    _r(F.col("d")).alias("d"))
+
+
+def vec_min_distance_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4 folded over the centres one at a time (each step looks at the newest centre only)."""
+    df = _points(spark, sf_dir)
+    for y in label_centers(spark, sf_dir):
+        df = V.update_min_distance(df, y)
+    return df.select(F.col("id").alias("vec_id"), _r(F.col("d")).alias("d"))
+
+
+def vec_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pts = _points(spark, sf_dir).withColumn("part", F.pmod(F.col("id"), F.lit(WEIGHT_PARTS)))
+    return V.cluster_weights(pts, label_centers(spark, sf_dir), part="part")
+
+
+def vec_objective(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obj = V.objective(_points(spark, sf_dir), label_centers(spark, sf_dir))
+    return obj.select(_r(F.col("objective")).alias("objective"))
+
+
+def vec_weighted_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pts = _points(spark, sf_dir, True).withColumn(
+        "w", (F.pmod(F.col("id"), F.lit(5)) + 1).cast("double"))
+    means = V.weighted_mean(pts, "label", w="w")
+    return V.explode_vector(means, ["label"], "mean").select("label", "pos", _r(F.col("v")).alias("v"))
+
+
+def pick_race(spark: SparkSession, sf_dir: str) -> DataFrame:
+    won = sampling.race_pick(_with_min_distance(spark, sf_dir), SEED, RACE_ROUND)
+    return won.select(F.col("id").alias("vec_id"))
+
+
+def pick_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    won = sampling.prefix_pick(_with_min_distance(spark, sf_dir), PREFIX_FRAC)
+    return won.select(F.col("id").alias("vec_id"))
+
+
+def seed_kpp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seeds = sampling.seed_centers(_points(spark, sf_dir), KPP_K, SEED)
+    rows = [(i, vid) for i, (vid, _) in enumerate(seeds)]
+    return spark.createDataFrame(rows, "step int, vec_id long")
+
+
+def lloyd_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = kmeans.lloyd_step_frame(_points(spark, sf_dir), label_centers(spark, sf_dir))
+    return V.explode_vector(new, ["c"], "y").select("c", "pos", _r(F.col("v")).alias("v"))
+
+
+def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    final = kmeans.fit_frame(_points(spark, sf_dir), KPP_K, FIT_ITERATIONS, SEED)
+    return V.explode_vector(final, ["c"], "y").select("c", "pos", _r(F.col("v")).alias("v"))
+
+
+def kmeans_objective(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HM3's report: fit (V8) then the mean distance to the fitted centres (V9)."""
+    pts = _points(spark, sf_dir)
+    centers = kmeans.fit(pts, KPP_K, FIT_ITERATIONS, SEED)
+    return V.objective(pts, centers).select(_r(F.col("objective")).alias("objective"))
+
+
+def _coreset_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _points(spark, sf_dir).withColumn("part", F.pmod(F.col("id"), F.lit(CORESET_PARTS)))
+
+
+def kmedian_coreset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    core = kmedian.coreset(_coreset_points(spark, sf_dir), CORESET_K, CORESET_PARTS,
+                           CORESET_ITERATIONS, SEED, part_col="part")
+    return core.select("part", "c", _r(F.col("w")).alias("w"),
+                       _r(F.aggregate("y", F.lit(0.0), lambda a, b: a + b)).alias("sum_y"))
+
+
+def mr_kmedian(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obj = kmedian.mr_kmedian(_coreset_points(spark, sf_dir), CORESET_K, CORESET_PARTS,
+                             CORESET_ITERATIONS, SEED, part_col="part")
+    return obj.select(_r(F.col("objective")).alias("objective"))
+
+
+def row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = tables.table(spark, sf_dir, "embeddings").select("vec_id")
+    return paging.with_row_index(ids, ["vec_id"])
+
+
+def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = tables.table(spark, sf_dir, "embeddings").select("vec_id")
+    return paging.page(paging.with_row_index(ids, ["vec_id"]), PAGE_START, PAGE_END)
+
+
 QUERIES: dict[str, QueryFn] = {
     "num_sum_squares": num_sum_squares,
     "num_max": num_max,
@@ -98,4 +240,22 @@ QUERIES: dict[str, QueryFn] = {
     "wc_tokens": wc_tokens,
     "doc_count": doc_count,
     "wc_avg_len": wc_avg_len,
+    "vec_scan": vec_scan,
+    "vec_scan_ws": vec_scan_ws,
+    "vec_distance": vec_distance,
+    "vec_assign": vec_assign,
+    "vec_min_distance_update": vec_min_distance_update,
+    "vec_weights": vec_weights,
+    "vec_objective": vec_objective,
+    "vec_weighted_mean": vec_weighted_mean,
+    "pick_race": pick_race,
+    "pick_prefix": pick_prefix,
+    "seed_kpp": seed_kpp,
+    "lloyd_step": lloyd_step,
+    "kmeans_fit": kmeans_fit,
+    "kmeans_objective": kmeans_objective,
+    "kmedian_coreset": kmedian_coreset,
+    "mr_kmedian": mr_kmedian,
+    "row_index": row_index,
+    "page_rows": page_rows,
 }

@@ -7,6 +7,9 @@ indexes to INTEGER and every float is ``round(..., 6)``.
 
 from __future__ import annotations
 
+from ..functions.random import uniform_sql
+from . import catalog as Q
+from .cluster_sql import assign_cte, fit_ctes, lloyd_ctes, with_ctes
 from .catalog import SUM_SQ_SCALE, THRESHOLD
 
 _MAX = "(SELECT max(l_extendedprice) FROM lineitem)"
@@ -35,3 +38,108 @@ SQL: dict[str, str] = {
     "doc_count": "SELECT count(*)::BIGINT AS n FROM documents",
     "wc_avg_len": f"SELECT round(avg(length(word)), 6) AS avg_len FROM (SELECT DISTINCT word FROM {_TOKENS})",
 }
+
+
+# --------------------------------------------------------------------------- vectors
+
+_PTS = "pts AS (SELECT 0 AS g, vec_id AS id, embedding::DOUBLE[] AS x, 1.0::DOUBLE AS w, label FROM embeddings)"
+# label centres: mean embedding per label, c = rank of the label
+_CEN = [
+    _PTS,
+    "lab AS (SELECT label, (row_number() OVER (ORDER BY label) - 1)::INTEGER AS c"
+    " FROM (SELECT DISTINCT label FROM pts))",
+    "lmean AS (SELECT label, pos, avg(v) AS v FROM ("
+    "SELECT label, unnest(x) AS v, unnest(range(len(x))) AS pos FROM pts) GROUP BY label, pos)",
+    "cen AS (SELECT 0 AS g, lab.c, list(lmean.v ORDER BY lmean.pos) AS y FROM lab JOIN lmean USING (label)"
+    " GROUP BY lab.c)",
+    assign_cte("pts", "cen", "asg"),
+]
+
+
+def _long(cen: str) -> str:
+    return (f"SELECT c::INTEGER AS c, pos::INTEGER AS pos, round(v, 6) AS v FROM ("
+            f"SELECT c, unnest(y) AS v, unnest(range(len(y))) AS pos FROM {cen})")
+
+
+def _scan_sql() -> str:
+    return ("SELECT vec_id, len(embedding)::INTEGER AS dim, round(list_sum(embedding::DOUBLE[]), 6) AS sum_x"
+            " FROM embeddings")
+
+
+def _seed_sql() -> str:
+    ctes, _ = fit_ctes("pts", Q.KPP_K, 0, Q.SEED, False, "k")
+    return with_ctes([_PTS] + ctes, "SELECT c::INTEGER AS step, id AS vec_id FROM kseeds")
+
+
+def _fit_sql(objective: bool) -> str:
+    ctes, final = fit_ctes("pts", Q.KPP_K, Q.FIT_ITERATIONS, Q.SEED, False, "k")
+    ctes = [_PTS] + ctes
+    if not objective:
+        return with_ctes(ctes, _long(final))
+    ctes.append(assign_cte("pts", final, "fa"))
+    return with_ctes(ctes, "SELECT round(avg(d), 6) AS objective FROM fa")
+
+
+_CORE_PTS = ("cpts AS (SELECT (vec_id % {L}) AS g, vec_id AS id, embedding::DOUBLE[] AS x, 1.0::DOUBLE AS w"
+             " FROM embeddings)").format(L=Q.CORESET_PARTS)
+
+
+def _coreset_ctes() -> tuple[list[str], str]:
+    ctes, final = fit_ctes("cpts", Q.CORESET_K, Q.CORESET_ITERATIONS, Q.SEED, True, "r1")
+    ctes = [_CORE_PTS] + ctes + [
+        assign_cte("cpts", final, "r1fa"),
+        f"core AS (SELECT q.g AS part, q.c, q.y, count(a.id)::DOUBLE AS w FROM {final} q"
+        " LEFT JOIN r1fa a ON a.g = q.g AND a.c = q.c GROUP BY q.g, q.c, q.y)",
+    ]
+    return ctes, "core"
+
+
+def _coreset_sql() -> str:
+    ctes, core = _coreset_ctes()
+    return with_ctes(ctes, f"SELECT part::BIGINT AS part, c::INTEGER AS c, round(w, 6) AS w,"
+                           f" round(list_sum(y), 6) AS sum_y FROM {core}")
+
+
+def _mr_kmedian_sql() -> str:
+    ctes, core = _coreset_ctes()
+    ctes.append(f"r2pts AS (SELECT 0 AS g, part * {Q.CORESET_K} + c AS id, y AS x, w FROM {core})")
+    c2, final = fit_ctes("r2pts", Q.CORESET_K, Q.CORESET_ITERATIONS, Q.SEED, False, "r2")
+    ctes += c2
+    ctes.append(_PTS)
+    ctes.append(assign_cte("pts", final, "r3"))
+    return with_ctes(ctes, "SELECT round(avg(d), 6) AS objective FROM r3")
+
+
+SQL.update({
+    "vec_scan": _scan_sql(),
+    "vec_scan_ws": _scan_sql(),
+    "vec_distance": with_ctes(_CEN[:4], "SELECT p.id AS vec_id, q.c, round(list_distance(p.x, q.y), 6) AS d"
+                                        " FROM pts p JOIN cen q USING (g)"),
+    "vec_assign": with_ctes(_CEN, "SELECT id AS vec_id, c, round(d, 6) AS d FROM asg"),
+    "vec_min_distance_update": with_ctes(_CEN, "SELECT id AS vec_id, round(d, 6) AS d FROM asg"),
+    "vec_weights": with_ctes(_CEN, (
+        f"SELECT pp.part::BIGINT AS part, q.c, count(a.id)::BIGINT AS w"
+        f" FROM (SELECT DISTINCT id % {Q.WEIGHT_PARTS} AS part FROM pts) pp CROSS JOIN cen q"
+        f" LEFT JOIN asg a ON a.c = q.c AND a.id % {Q.WEIGHT_PARTS} = pp.part GROUP BY pp.part, q.c")),
+    "vec_objective": with_ctes(_CEN, "SELECT round(avg(d), 6) AS objective FROM asg"),
+    "vec_weighted_mean": with_ctes([_PTS], (
+        "SELECT label, pos::INTEGER AS pos, round(sum(w * v) / sum(w), 6) AS v FROM ("
+        "SELECT label, (vec_id % 5 + 1)::DOUBLE AS w, unnest(x) AS v, unnest(range(len(x))) AS pos"
+        " FROM (SELECT id AS vec_id, label, x FROM pts)) GROUP BY label, pos")),
+    "pick_race": with_ctes(_CEN, (
+        f"SELECT id AS vec_id FROM asg WHERE d > 0"
+        f" ORDER BY ln({uniform_sql('id', str(Q.SEED), str(Q.RACE_ROUND))}) / d DESC, id LIMIT 1")),
+    "pick_prefix": with_ctes(_CEN + [
+        "run AS (SELECT id, sum(d) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS r,"
+        " sum(d) OVER () AS tot FROM asg WHERE d > 0)"],
+        f"SELECT coalesce(min(id) FILTER (WHERE r > {Q.PREFIX_FRAC} * tot), max(id)) AS vec_id FROM run"),
+    "seed_kpp": _seed_sql(),
+    "lloyd_step": with_ctes(_CEN[:4] + lloyd_ctes("pts", "cen", 1, "l")[0], _long("lc1")),
+    "kmeans_fit": _fit_sql(objective=False),
+    "kmeans_objective": _fit_sql(objective=True),
+    "kmedian_coreset": _coreset_sql(),
+    "mr_kmedian": _mr_kmedian_sql(),
+    "row_index": "SELECT (row_number() OVER (ORDER BY vec_id) - 1)::BIGINT AS idx, vec_id FROM embeddings",
+    "page_rows": (f"SELECT idx, vec_id FROM (SELECT (row_number() OVER (ORDER BY vec_id) - 1)::BIGINT AS idx,"
+                  f" vec_id FROM embeddings) WHERE idx >= {Q.PAGE_START} AND idx < {Q.PAGE_END}"),
+})
