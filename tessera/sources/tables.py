@@ -18,6 +18,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` only when its scan is narrower than the cluster.
+
+    A Parquet file is split at row-group boundaries, so a small file with one
+    row group is read by one task; CPU-heavy per-row work (tokenising, vector
+    kernels) would then run on one core. When the scan already has at least as
+    many splits as there are cores — any large input — the frame is returned
+    unchanged and no shuffle is added. Hash partitioning (not round-robin) keeps
+    a retried task's input identical and leaves the data clustered by ``key``,
+    which satisfies a later ``groupBy(key, …)`` without another shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
+
+
 def numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``l_orderkey, l_linenumber, value`` from lineitem."""
     return table(spark, sf_dir, "lineitem").select(
@@ -26,8 +43,8 @@ def numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, text``."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    """``doc_id, text``, spread over the cores when the scan is narrow."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def points(spark: SparkSession, sf_dir: str, with_label: bool = False) -> DataFrame:
