@@ -33,7 +33,9 @@ def lloyd_step_frame(points: DataFrame, centers, x: str = "x", weight: str | Non
                              w.cast("double").alias("w"))
     sums = assigned.groupBy("c").agg(vector_sum_agg("x", "w").alias("s"), F.sum("w").alias("sw"))
     old = V.centers_frame(points.sparkSession, cs)
-    joined = F.broadcast(old).join(sums, "c", "left")  # k rows on both sides
+    # k rows on both sides. Null-safe keys: an inferred isnotnull(c) would be pushed
+    # below the kernel's projection and make Spark run the kernel twice.
+    joined = F.broadcast(old).join(sums, old["c"].eqNullSafe(sums["c"]), "left").drop(sums["c"])
     dmp = F.lit(float(damping))
     denom = dmp + F.coalesce(F.col("sw"), F.lit(0.0))
     new_y = F.when(

@@ -1,9 +1,13 @@
 """Per-part weighted coresets (V10) and 3-round MapReduce k-median.
 
-Round 1  points are split into L parts by a hash of their id (so parts are even
-         whatever the data); each part is clustered independently by a numpy
-         kernel inside ``groupBy(part).applyInPandas`` — seeding, Lloyd steps and
-         the per-centre point counts — and emits at most k weighted centres.
+Round 1  points are dealt round-robin into L parts (``repartition(L)``; Spark
+         sorts each input partition first, so a retried task gets the same
+         rows). Parts are even whatever the keys — copies of one id or one hot
+         value cannot pile up in one part. Each part is clustered independently
+         by a numpy kernel inside ``mapInPandas`` — seeding, Lloyd steps and the
+         per-centre point counts — and emits at most k weighted centres. With an
+         explicit part column the parts are the user's groups
+         (``groupBy(part).applyInPandas``).
 Round 2  the L·k weighted centres stay a DataFrame and go through the distributed
          fit (V8); they are never gathered into one task.
 Round 3  the mean distance of every point to the final centres (one aggregate).
@@ -38,11 +42,6 @@ def suggest_parts(n_points: int, dim: int, k: int, min_parts: int = 1,
     return max(int(min_parts), int(math.ceil(n_points * per_row / target_bytes)))
 
 
-def part_column(id: str, parts: int):
-    """Even split of points into ``parts`` by a hash of the id."""
-    return F.pmod(F.xxhash64(F.col(id)), F.lit(int(parts))).cast("long")
-
-
 # --------------------------------------------------------------------------- numpy kernel
 
 def _dist_to(X: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -88,21 +87,39 @@ def _cluster_part(X: np.ndarray, U: np.ndarray, k: int, iterations: int) -> tupl
     return C, w
 
 
+def _cluster_frame(pdf: pd.DataFrame, k: int, iterations: int) -> pd.DataFrame:
+    """Kernel over one part's rows ``part, id, x, u`` → ``part, c, y, w``."""
+    X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
+    U = np.stack(pdf["u"].to_numpy()).astype(np.float64)
+    ids = pdf["id"].to_numpy()
+    # total, repeatable row order: id, then the coordinates (rows arrive from a
+    # shuffle in fetch order; only exact copies remain tied, and they are equal)
+    order = np.lexsort(tuple(X[:, j] for j in range(X.shape[1] - 1, -1, -1)) + (ids,))
+    C, w = _cluster_part(X[order], U[order], k, iterations)
+    part = int(pdf["part"].iloc[0])
+    return pd.DataFrame({
+        "part": np.full(len(C), part, dtype=np.int64),
+        "c": np.arange(len(C), dtype=np.int32),
+        "y": [row.tolist() for row in C],
+        "w": w,
+    })
+
+
 def coreset_kernel(k: int, iterations: int):
+    """Grouped form: one call per part group."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty:
             return pd.DataFrame({"part": [], "c": [], "y": [], "w": []})
-        pdf = pdf.sort_values("id", kind="stable")
-        X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-        U = np.stack(pdf["u"].to_numpy()).astype(np.float64)
-        C, w = _cluster_part(X, U, k, iterations)
-        part = int(pdf["part"].iloc[0])
-        return pd.DataFrame({
-            "part": np.full(len(C), part, dtype=np.int64),
-            "c": np.arange(len(C), dtype=np.int32),
-            "y": [row.tolist() for row in C],
-            "w": w,
-        })
+        return _cluster_frame(pdf, k, iterations)
+    return run
+
+
+def coreset_partition_kernel(k: int, iterations: int):
+    """Partition form: the Arrow batches of one partition (= one part) are one part."""
+    def run(batches):
+        frames = [b for b in batches if len(b)]
+        if frames:
+            yield _cluster_frame(pd.concat(frames, ignore_index=True), k, iterations)
     return run
 
 
@@ -112,17 +129,23 @@ def coreset(points: DataFrame, k: int, parts: int, iterations: int, seed: int,
             x: str = "x", id: str = "id", part_col: str | None = None) -> DataFrame:
     """``part, c, y, w`` — at most k weighted centres per part.
 
-    ``part_col`` names an existing part column; by default parts are
-    ``pmod(xxhash64(id), parts)``.
+    By default the points are dealt round-robin into ``parts`` even parts and
+    ``part`` is the partition index. ``part_col`` names an existing part column
+    instead (its groups are the parts, whatever their sizes).
     """
-    part = F.col(part_col).cast("long") if part_col else part_column(id, parts)
     rounds = F.sequence(F.lit(0), F.lit(int(k) - 1))
-    prepared = points.select(
-        part.alias("part"), F.col(id).alias("id"), F.col(x).alias("x"),
-        F.transform(rounds, lambda r: uniform(F.col(id), seed, part, r)).alias("u"),
-    )
-    return prepared.groupBy("part").applyInPandas(coreset_kernel(int(k), int(iterations)),
-                                                  CORESET_SCHEMA)
+
+    def with_uniforms(df: DataFrame, part) -> DataFrame:
+        return df.select(part.alias("part"), F.col(id).alias("id"), F.col(x).alias("x"),
+                         F.transform(rounds, lambda r: uniform(F.col(id), seed, part, r)).alias("u"))
+
+    if part_col:
+        prepared = with_uniforms(points, F.col(part_col).cast("long"))
+        return prepared.groupBy("part").applyInPandas(coreset_kernel(int(k), int(iterations)),
+                                                      CORESET_SCHEMA)
+    dealt = points.select(id, x).repartition(int(parts))
+    prepared = with_uniforms(dealt, F.spark_partition_id().cast("long"))
+    return prepared.mapInPandas(coreset_partition_kernel(int(k), int(iterations)), CORESET_SCHEMA)
 
 
 def coreset_points(core: DataFrame, k: int) -> DataFrame:

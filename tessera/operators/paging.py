@@ -28,23 +28,28 @@ def running_offsets(small: DataFrame, order_cols: Sequence[str], count_col: str,
 
 def with_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "idx",
                    num_partitions: int | None = None) -> DataFrame:
-    """Add a 0-based consecutive ``index_col`` in ``order_by`` order."""
+    """Add a 0-based consecutive ``index_col`` in ``order_by`` order.
+
+    One range shuffle: the sorted, tagged rows are persisted, one small job
+    counts each partition (at most ``num_partitions`` rows reach the driver),
+    and the running offsets go back into the plan as a literal array.
+    """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # An explicit partition count keeps AQE from coalescing the range partitions
-    # differently for the two consumers of the same exchange.
+    # An explicit partition count keeps AQE from coalescing the range partitions.
     ordered = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
     tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
-                            F.monotonically_increasing_id().alias("_mid"))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
-                                        F.min("_mid").alias("_first"))
-    offsets = running_offsets(counts, ["_pid"], "_n", "_offset")
-    # `offsets` has exactly one row per range partition (n rows): a proven bound.
-    joined = tagged.join(F.broadcast(offsets.select("_pid", "_offset", "_first")), "_pid")
-    return joined.select(
-        (F.col("_offset") + F.col("_mid") - F.col("_first")).alias(index_col),
-        *df.columns,
-    )
+                            F.monotonically_increasing_id().alias("_mid")).persist()
+    counts = (tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+              .collect())
+    offsets, firsts = [0] * n, [0] * n
+    run = 0
+    for row in sorted(counts, key=lambda r: r["_pid"]):
+        offsets[row["_pid"]], firsts[row["_pid"]] = run, row["_first"]
+        run += row["_n"]
+    off = F.element_at(F.array(*[F.lit(v) for v in offsets]), F.col("_pid") + 1)
+    first = F.element_at(F.array(*[F.lit(v) for v in firsts]), F.col("_pid") + 1)
+    return tagged.select((off + F.col("_mid") - first).cast("long").alias(index_col), *df.columns)
 
 
 def page(indexed: DataFrame, start: int, end: int, index_col: str = "idx") -> DataFrame:
@@ -56,15 +61,12 @@ def iter_pages(df: DataFrame, order_by: Sequence[str], page_size: int,
                index_col: str = "idx") -> Iterator[DataFrame]:
     """K2: yield consecutive pages as DataFrames; the caller collects one at a time.
 
-    The indexed frame is persisted so each page is one cheap filtered job and the
-    driver never holds more than one page.
+    The indexed rows stay persisted, so each page is one cheap filtered job and
+    the driver never holds more than one page.
     """
     if page_size <= 0:
         raise ValueError("page_size must be positive")
-    indexed = with_row_index(df, order_by, index_col).persist()
-    try:
-        total = indexed.count()
-        for start in range(0, total, page_size):
-            yield page(indexed, start, start + page_size, index_col)
-    finally:
-        indexed.unpersist()
+    indexed = with_row_index(df, order_by, index_col)
+    total = indexed.count()
+    for start in range(0, total, page_size):
+        yield page(indexed, start, start + page_size, index_col)

@@ -51,32 +51,40 @@ def prefix_pick(points: DataFrame, frac: float, id: str = "id", d: str = "d",
                 weight: str | None = None, bucket_size: int = 1 << 16) -> DataFrame:
     """V5(b): one row ``id``: first point in id order with running Σ w·d > frac · Σ w·d.
 
-    If rounding leaves no running sum above the target inside the chosen
-    bucket, that bucket's last candidate is returned (D9 clamp). Points with
+    Pass 1 (all points) reduces to one row per id bucket: Σ w·d and the last
+    candidate id. That small table is checkpointed, its running totals give the
+    target and the bucket holding it (one row, brought to the driver). Pass 2
+    reads only that bucket — a literal id range, so Parquet can skip row groups —
+    and runs the running sum inside it. If rounding leaves no running sum above
+    the target, the bucket's last candidate is returned (D9 clamp). Points with
     w·d = 0 are never returned; no candidate gives no row.
     """
     if not 0.0 <= frac < 1.0:
         raise ValueError("frac must be in [0, 1)")
     w = F.col(weight) if weight else F.lit(1.0)
-    cand = (points.select(F.col(id).alias("id"), (w * F.col(d)).alias("m"))
-            .where(F.col("m") > 0)
-            .withColumn("b", F.floor(F.col("id") / F.lit(bucket_size)).cast("long")))
-    # One pass over the points; one row per bucket comes out of it.
-    buckets = cand.groupBy("b").agg(F.sum("m").alias("bm"), F.max("id").alias("last_id"))
+    mass = w * F.col(d)
+    # No filter on `mass` itself: a predicate on a kernel output would be pushed
+    # below it and evaluate the kernel twice; `when` keeps it a projection.
+    cand = points.select(F.col(id).alias("id"), F.when(mass > 0, mass).alias("m"))
+    buckets = (cand.withColumn("b", F.floor(F.col("id") / F.lit(bucket_size)).cast("long"))
+               .groupBy("b").agg(F.sum("m").alias("bm"),
+                                 F.max(F.when(F.col("m").isNotNull(), F.col("id"))).alias("last_id"))
+               .where(F.col("bm").isNotNull()))
+    buckets = buckets.checkpoint(eager=True)  # one row per bucket, in spark.checkpoint.dir
     wb = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
     ranked = buckets.withColumn("upto", F.sum("bm").over(wb))
-    target = F.lit(float(frac)) * ranked.agg(F.max("upto")).scalar()
-    chosen = (ranked.where(F.col("upto") > target)
-              .agg(F.min_by(F.struct("b", (F.col("upto") - F.col("bm")).alias("before"), "last_id"),
-                            "b").alias("s"))
-              .select("s.*"))
-    chosen_b = chosen.select("b").scalar()
-    wi = Window.partitionBy("b").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
-    inside = (cand.where(F.col("b") == chosen_b)
-              .withColumn("run", chosen.select("before").scalar() + F.sum("m").over(wi)))
-    hit = inside.where(F.col("run") > target).agg(F.min("id").alias("id"))
-    return (hit.select(F.coalesce(F.col("id"), chosen.select("last_id").scalar()).alias("id"))
-            .where(F.col("id").isNotNull()))
+    ranked = ranked.withColumn("target", F.lit(float(frac)) * F.max("upto").over(Window.partitionBy()))
+    chosen = ranked.where(F.col("upto") > F.col("target")).orderBy("b").first()
+    spark = points.sparkSession
+    if chosen is None:
+        return spark.createDataFrame([], "id long")
+    lo = int(chosen["b"]) * bucket_size
+    before, target = float(chosen["upto"] - chosen["bm"]), float(chosen["target"])
+    inside = cand.where((F.col("id") >= lo) & (F.col("id") < lo + bucket_size))
+    wi = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    run = inside.withColumn("run", F.lit(before) + F.sum("m").over(wi))
+    hit = run.agg(F.min(F.when(F.col("m").isNotNull() & (F.col("run") > target), F.col("id"))).alias("id"))
+    return hit.select(F.coalesce(F.col("id"), F.lit(int(chosen["last_id"]))).alias("id"))
 
 
 def seed_centers(points: DataFrame, k: int, seed: int, x: str = "x", id: str = "id",

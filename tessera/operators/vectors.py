@@ -99,11 +99,14 @@ def cluster_weights(points: DataFrame, centers, x: str = "x", part: str | None =
         index = points.select(part).distinct().select(
             part, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("c"))
         index = index.withColumn("c", F.col("c").cast("int"))
-        out = index.join(counts, keys, "left")
     else:
-        index = points.sparkSession.range(k).select(F.col("id").cast("int").alias("c"))
-        out = F.broadcast(index).join(counts, keys, "left")
-    return out.select(*keys, F.coalesce(F.col("w"), F.lit(0)).cast("long").alias("w"))
+        index = F.broadcast(points.sparkSession.range(k).select(F.col("id").cast("int").alias("c")))
+    # Null-safe keys: no isnotnull(c) is inferred and pushed below the kernel's
+    # projection, which would make Spark evaluate the kernel twice.
+    cond = [index[key].eqNullSafe(counts[key]) for key in keys]
+    out = index.join(counts, cond, "left")
+    return out.select(*[index[key] for key in keys],
+                      F.coalesce(counts["w"], F.lit(0)).cast("long").alias("w"))
 
 
 def weighted_mean(points: DataFrame, group: str, x: str = "x", w: str | None = None) -> DataFrame:

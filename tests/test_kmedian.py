@@ -77,3 +77,21 @@ def test_fit_zero_iterations_returns_seeds(blobs):
 def test_suggest_parts():
     assert kmedian.suggest_parts(1000, 64, 10) == 1
     assert kmedian.suggest_parts(10**9, 64, 10, min_parts=8) > 8
+
+
+def test_parts_stay_even_when_one_id_holds_a_third(spark):
+    rows = [(0 if i % 3 == 0 else i, [float(i % 17), float(i % 5)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, x array<double>")
+    core = kmedian.coreset(df, 2, 4, 1, seed=3).collect()
+    per_part = {}
+    for r in core:
+        per_part[r["part"]] = per_part.get(r["part"], 0) + r["w"]
+    assert sum(per_part.values()) == 600
+    assert max(per_part.values()) <= 600 / 4 + 8  # round-robin: even within the input-partition count
+
+
+def test_default_coreset_is_repeatable(blobs):
+    df, _ = blobs
+    a = sorted((r["part"], r["c"], tuple(r["y"]), r["w"]) for r in kmedian.coreset(df, 3, 3, 2, seed=8).collect())
+    b = sorted((r["part"], r["c"], tuple(r["y"]), r["w"]) for r in kmedian.coreset(df, 3, 3, 2, seed=8).collect())
+    assert a == b
