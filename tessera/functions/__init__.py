@@ -1,0 +1 @@
+"""Column expressions and Arrow kernels: tokens, hash-uniforms, vector distances."""

@@ -1,0 +1 @@
+"""Operators: numeric statistics, word counts, vector distances and clustering, paging."""

@@ -46,8 +46,11 @@ def lloyd_step_frame(points: DataFrame, centers, x: str = "x", weight: str | Non
 
 def lloyd_step(points: DataFrame, centers, x: str = "x", weight: str | None = None,
                damping: float = 1.0) -> list[list[float]]:
-    """V7: the k updated centres, collected (k·dim doubles, size-checked)."""
-    return V.collect_centers(lloyd_step_frame(points, centers, x, weight, damping))
+    """V7: the k updated centres, collected (k·dim doubles; same k as the checked input)."""
+    cs = V.as_center_list(centers)
+    if cs:
+        V.check_center_budget(len(cs), len(cs[0]))
+    return V.collect_centers(lloyd_step_frame(points, cs, x, weight, damping), expected_k=len(cs))
 
 
 def fit(points: DataFrame, k: int, iterations: int, seed: int, x: str = "x", id: str = "id",

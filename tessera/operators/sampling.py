@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.random import uniform
+from ..session import ensure_checkpoint_dir
 from . import vectors as V
 
 
@@ -70,6 +71,7 @@ def prefix_pick(points: DataFrame, frac: float, id: str = "id", d: str = "d",
                .groupBy("b").agg(F.sum("m").alias("bm"),
                                  F.max(F.when(F.col("m").isNotNull(), F.col("id"))).alias("last_id"))
                .where(F.col("bm").isNotNull()))
+    ensure_checkpoint_dir(points.sparkSession)
     buckets = buckets.checkpoint(eager=True)  # one row per bucket, in spark.checkpoint.dir
     wb = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
     ranked = buckets.withColumn("upto", F.sum("bm").over(wb))
@@ -110,6 +112,8 @@ def seed_centers(points: DataFrame, k: int, seed: int, x: str = "x", id: str = "
                         x=x, key_parts=parts).first()
         return None if row is None else (int(row["id"]), list(row["x"]))
 
+    if checkpoint_every and k > checkpoint_every:
+        ensure_checkpoint_dir(points.sparkSession)
     first = pick(base, 0, None)
     if first is None:
         return []

@@ -47,12 +47,19 @@ def centers_frame(spark: SparkSession, centers: Sequence[Sequence[float]]) -> Da
 
 
 def collect_centers(frame: DataFrame, c: str = "c", y: str = "y",
-                    max_bytes: int = MAX_CENTER_BYTES) -> list[list[float]]:
-    """Bring a centre frame (k rows) to the driver, ordered by ``c``, after a size check."""
-    stats = frame.agg(F.count(F.lit(1)).alias("k"), F.max(F.size(y)).alias("dim")).first()
-    k, dim = int(stats["k"]), int(stats["dim"] or 0)
-    check_center_budget(k, dim, max_bytes)
+                    max_bytes: int = MAX_CENTER_BYTES, expected_k: int | None = None) -> list[list[float]]:
+    """Bring a centre frame (k rows) to the driver, ordered by ``c``, after a size check.
+
+    ``expected_k`` states a bound already proven by the caller (e.g. a Lloyd step
+    returns exactly the k centres it was given): the separate counting job is
+    skipped and the row count is verified after the pull instead.
+    """
+    if expected_k is None:
+        stats = frame.agg(F.count(F.lit(1)).alias("k"), F.max(F.size(y)).alias("dim")).first()
+        check_center_budget(int(stats["k"]), int(stats["dim"] or 0), max_bytes)
     rows = frame.select(c, y).orderBy(c).collect()
+    if expected_k is not None and len(rows) != expected_k:
+        raise ValueError(f"expected {expected_k} centres, got {len(rows)}")
     return [list(r[y]) for r in rows]
 
 

@@ -40,14 +40,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/...) folder and
-    is used as is. Only when it is unset (a bare test session) do we fall back to
-    a fresh scratch folder.
+    is used as is. Only a ``local[...]`` session with nothing configured (a bare
+    test session) gets a fresh scratch folder; a cluster session without a
+    shared folder is an error, never a machine-local fallback.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or tempfile.mkdtemp(prefix="tessera-ckpt-")
-    sc.setCheckpointDir(target)
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) on a cluster")
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

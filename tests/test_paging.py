@@ -33,3 +33,18 @@ def test_line_numbers_across_files(spark, tmp_path):
     lines = with_line_number(read_lines(spark, str(tmp_path)), "n").orderBy("n").collect()
     assert [(r["n"], r["value"]) for r in lines] == [(0, "a0"), (1, "a1"), (2, ""), (3, "a3"),
                                                     (4, "b0"), (5, "b1")]
+
+
+def test_line_numbers_when_one_file_has_many_splits(spark, tmp_path):
+    lines = [f"line {i:05d} " + "x" * (i % 40) for i in range(3000)]
+    (tmp_path / "big.txt").write_text("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = read_lines(spark, str(tmp_path / "big.txt"))
+        assert df.rdd.getNumPartitions() > 5
+        got = with_line_number(df, "n").orderBy("n").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert [r["n"] for r in got] == list(range(3000))
+    assert [r["value"] for r in got] == lines
