@@ -16,6 +16,8 @@ sum inside that bucket only.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,8 +50,17 @@ def race_pick(points: DataFrame, seed: int, round_no: int, id: str = "id", d: st
     return best.where(F.col("best").isNotNull()).select("best.*")
 
 
+def _bucket_size(points: DataFrame, id: str) -> int:
+    """Power of two ≥ √(id range): both the bucket table and one bucket stay ~√n rows."""
+    row = points.agg(F.min(id).alias("lo"), F.max(id).alias("hi")).first()
+    if row["lo"] is None:
+        return 1
+    span = int(row["hi"]) - int(row["lo"]) + 1
+    return max(1024, 1 << max(0, math.ceil(math.log2(max(1.0, math.sqrt(span))))))
+
+
 def prefix_pick(points: DataFrame, frac: float, id: str = "id", d: str = "d",
-                weight: str | None = None, bucket_size: int = 1 << 16) -> DataFrame:
+                weight: str | None = None, bucket_size: int | None = None) -> DataFrame:
     """V5(b): one row ``id``: first point in id order with running Σ w·d > frac · Σ w·d.
 
     Pass 1 (all points) reduces to one row per id bucket: Σ w·d and the last
@@ -62,6 +73,8 @@ def prefix_pick(points: DataFrame, frac: float, id: str = "id", d: str = "d",
     """
     if not 0.0 <= frac < 1.0:
         raise ValueError("frac must be in [0, 1)")
+    if bucket_size is None:
+        bucket_size = _bucket_size(points.select(id), id)  # reads the id column only
     w = F.col(weight) if weight else F.lit(1.0)
     mass = w * F.col(d)
     # No filter on `mass` itself: a predicate on a kernel output would be pushed

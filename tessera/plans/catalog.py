@@ -29,7 +29,7 @@ KPP_K = 4                # V6 / V8: k
 FIT_ITERATIONS = 2       # V8: Lloyd steps after seeding
 WEIGHT_PARTS = 4         # A15: part = vec_id mod 4
 CORESET_K = 3            # V10 / V11: k
-CORESET_PARTS = 2        # V10 / V11: L, part = vec_id mod L
+CORESET_MIN_PARTS = 2    # V10 / V11: L = max(2, parts of ~128 MB), part = vec_id mod L
 CORESET_ITERATIONS = 1   # V10 / V11: Lloyd steps in rounds 1 and 2
 PAGE_START, PAGE_END = 100, 200   # P7 / K2: one page of the row index
 
@@ -192,26 +192,35 @@ def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kmeans_objective(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """HM3's report: fit (V8) then the mean distance to the fitted centres (V9)."""
+    """Seeded fit (V8) followed by the mean distance to the fitted centres (V9)."""
     pts = _points(spark, sf_dir)
     centers = kmeans.fit(pts, KPP_K, FIT_ITERATIONS, SEED)
     return V.objective(pts, centers).select(_r(F.col("objective")).alias("objective"))
 
 
-def _coreset_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _points(spark, sf_dir).withColumn("part", F.pmod(F.col("id"), F.lit(CORESET_PARTS)))
+def coreset_parts(spark: SparkSession, sf_dir: str) -> int:
+    """L sized from the data (one small aggregate): parts of about 128 MB, at least 2."""
+    row = tables.table(spark, sf_dir, "embeddings").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
+    return kmedian.suggest_parts(int(row["n"]), int(row["dim"] or 0), CORESET_K,
+                                 min_parts=CORESET_MIN_PARTS)
+
+
+def _coreset_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    parts = coreset_parts(spark, sf_dir)
+    return _points(spark, sf_dir).withColumn("part", F.pmod(F.col("id"), F.lit(parts))), parts
 
 
 def kmedian_coreset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    core = kmedian.coreset(_coreset_points(spark, sf_dir), CORESET_K, CORESET_PARTS,
-                           CORESET_ITERATIONS, SEED, part_col="part")
+    pts, parts = _coreset_points(spark, sf_dir)
+    core = kmedian.coreset(pts, CORESET_K, parts, CORESET_ITERATIONS, SEED, part_col="part")
     return core.select("part", "c", _r(F.col("w")).alias("w"),
                        _r(F.aggregate("y", F.lit(0.0), lambda a, b: a + b)).alias("sum_y"))
 
 
 def mr_kmedian(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obj = kmedian.mr_kmedian(_coreset_points(spark, sf_dir), CORESET_K, CORESET_PARTS,
-                             CORESET_ITERATIONS, SEED, part_col="part")
+    pts, parts = _coreset_points(spark, sf_dir)
+    obj = kmedian.mr_kmedian(pts, CORESET_K, parts, CORESET_ITERATIONS, SEED, part_col="part")
     return obj.select(_r(F.col("objective")).alias("objective"))
 
 

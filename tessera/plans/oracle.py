@@ -8,6 +8,7 @@ indexes to INTEGER and every float is ``round(..., 6)``.
 from __future__ import annotations
 
 from ..functions.random import uniform_sql
+from ..operators import kmedian
 from . import catalog as Q
 from .cluster_sql import assign_cte, fit_ctes, lloyd_ctes, with_ctes
 from .catalog import SUM_SQ_SCALE, THRESHOLD
@@ -80,13 +81,15 @@ def _fit_sql(objective: bool) -> str:
     return with_ctes(ctes, "SELECT round(avg(d), 6) AS objective FROM fa")
 
 
-_CORE_PTS = ("cpts AS (SELECT (vec_id % {L}) AS g, vec_id AS id, embedding::DOUBLE[] AS x, 1.0::DOUBLE AS w"
-             " FROM embeddings)").format(L=Q.CORESET_PARTS)
+_PARTS = (f"nparts AS (SELECT greatest({Q.CORESET_MIN_PARTS}, ceil(count(*) * (max(len(embedding)) + {Q.CORESET_K}"
+          f" + 2) * 8 / {kmedian.TARGET_PART_BYTES}))::BIGINT AS L FROM embeddings)")
+_CORE_PTS = ("cpts AS (SELECT (vec_id % (SELECT L FROM nparts)) AS g, vec_id AS id, embedding::DOUBLE[] AS x,"
+             " 1.0::DOUBLE AS w FROM embeddings)")
 
 
 def _coreset_ctes() -> tuple[list[str], str]:
     ctes, final = fit_ctes("cpts", Q.CORESET_K, Q.CORESET_ITERATIONS, Q.SEED, True, "r1")
-    ctes = [_CORE_PTS] + ctes + [
+    ctes = [_PARTS, _CORE_PTS] + ctes + [
         assign_cte("cpts", final, "r1fa"),
         f"core AS (SELECT q.g AS part, q.c, q.y, count(a.id)::DOUBLE AS w FROM {final} q"
         " LEFT JOIN r1fa a ON a.g = q.g AND a.c = q.c GROUP BY q.g, q.c, q.y)",
