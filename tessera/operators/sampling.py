@@ -102,36 +102,54 @@ def prefix_pick(points: DataFrame, frac: float, id: str = "id", d: str = "d",
     return hit.select(F.coalesce(F.col("id"), F.lit(int(chosen["last_id"]))).alias("id"))
 
 
+# Up to this k, each seeding round recomputes d over all chosen centres in the
+# kernel (no per-round cache of the point set); above it, d is carried (V4).
+RECOMPUTE_MAX_K = 32
+
+
 def seed_centers(points: DataFrame, k: int, seed: int, x: str = "x", id: str = "id",
                  weight: str | None = None, checkpoint_every: int = 8,
-                 key_prefix=None) -> list[tuple[int, list[float]]]:
+                 carry: bool | None = None) -> list[tuple[int, list[float]]]:
     """V6: k-means++-style seeding with D¹ sampling; returns ``[(id, vector), …]``.
 
-    Round 0 draws a point uniformly; round r ≥ 1 draws ∝ w·d where d is the
-    distance to the nearest centre chosen so far, carried as a column and
-    updated against the newest centre only (V4). The carried frame is persisted
-    per round (one pass per round) and checkpointed to the shared checkpoint
-    folder every ``checkpoint_every`` rounds to cut lineage. Stops early when
-    no point has d > 0 (fewer distinct points than k).
+    Round 0 draws a point uniformly; round r ≥ 1 draws ∝ w·d, d being the
+    distance to the nearest centre chosen so far. Each round is one pass over
+    the points ending in one race aggregate. ``d`` is either
+
+    * recomputed over the r chosen centres inside the distance kernel (default
+      for k ≤ ``RECOMPUTE_MAX_K``): no per-round cache of the point set, plan
+      size constant; or
+    * carried as a column and updated against the newest centre only (V4,
+      O(n·k) distance work): the carried frame is persisted per round and
+      checkpointed into the shared checkpoint folder every
+      ``checkpoint_every`` rounds to cut lineage.
+
+    Both give the same doubles. Stops early when no point has d > 0 (fewer
+    distinct points than k).
     """
     if k < 1:
         raise ValueError("k must be >= 1")
+    carry = (k > RECOMPUTE_MAX_K) if carry is None else carry
     base = points.select(id, x, *([weight] if weight else []))
-    prefix = list(key_prefix) if key_prefix else []
 
     def pick(frame: DataFrame, r: int, dcol: str | None):
-        parts = (F.col(id), *prefix, seed, r)
-        row = race_pick(frame, seed, r, id=id, d=dcol, weight=weight if dcol else None,
-                        x=x, key_parts=parts).first()
+        row = race_pick(frame, seed, r, id=id, d=dcol, weight=weight if dcol else None, x=x).first()
         return None if row is None else (int(row["id"]), list(row["x"]))
 
-    if checkpoint_every and k > checkpoint_every:
-        ensure_checkpoint_dir(points.sparkSession)
     first = pick(base, 0, None)
     if first is None:
         return []
     chosen = [first]
     V.check_center_budget(k, len(first[1]))
+    if not carry:
+        for r in range(1, k):
+            won = pick(base.withColumn("d", V.min_distance_col(x, [y for _, y in chosen])), r, "d")
+            if won is None:
+                break
+            chosen.append(won)
+        return chosen
+    if checkpoint_every and k > checkpoint_every:
+        ensure_checkpoint_dir(points.sparkSession)
     state = None
     for r in range(1, k):
         src = base if state is None else state

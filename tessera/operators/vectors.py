@@ -85,6 +85,11 @@ def update_min_distance(points: DataFrame, newest: Sequence[float], x: str = "x"
     return points.withColumn(d, F.least(F.col(d), dn) if d in points.columns else dn)
 
 
+def min_distance_col(x: str, centers):
+    """V3 as a column: distance to the nearest of ``centers``."""
+    return nearest(x, as_center_list(centers)).getField("d")
+
+
 def objective(points: DataFrame, centers, x: str = "x") -> DataFrame:
     """Mean distance of the points to their nearest centre, ``objective``."""
     best = nearest(x, as_center_list(centers))

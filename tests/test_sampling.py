@@ -89,18 +89,20 @@ def brute_seeds(X, k, seed):
     return chosen
 
 
-def test_seeding_matches_brute_force(spark):
+@pytest.mark.parametrize("carry", [False, True])
+def test_seeding_matches_brute_force(spark, carry):
     rng = np.random.default_rng(3)
     X = rng.integers(0, 20, size=(60, 3)).astype(float)
     df = spark.createDataFrame([(i, list(map(float, x))) for i, x in enumerate(X)], "id long, x array<double>")
-    got = [i for i, _ in sampling.seed_centers(df, 5, 11, checkpoint_every=2)]
+    got = [i for i, _ in sampling.seed_centers(df, 5, 11, checkpoint_every=2, carry=carry)]
     assert got == brute_seeds(X, 5, 11)
 
 
-def test_seeding_fewer_distinct_points_than_k(spark):
+@pytest.mark.parametrize("carry", [False, True])
+def test_seeding_fewer_distinct_points_than_k(spark, carry):
     df = spark.createDataFrame([(i, [1.0, 1.0]) for i in range(3)], "id long, x array<double>")
-    assert len(sampling.seed_centers(df, 2, 1)) == 1
-    assert len(sampling.seed_centers(df, 1, 1)) == 1
+    assert len(sampling.seed_centers(df, 2, 1, carry=carry)) == 1
+    assert len(sampling.seed_centers(df, 1, 1, carry=carry)) == 1
 
 
 def test_seeding_is_repeatable(spark):
