@@ -20,28 +20,43 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+# Largest per-block offset table broadcast to the tasks (rows of 4 longs).
+MAX_BROADCAST_BLOCKS = 1 << 21
+
+
 def with_line_number(lines: DataFrame, col: str = "line_no") -> DataFrame:
     """0-based line number of a ``spark.read.text`` frame, in file and line order.
 
-    Rows are ordered by (file path, block start, position in the task). Only a
-    small table with one row per input block (count and first row id) is
-    aggregated, ranked and broadcast back: the text itself is never shuffled.
+    Like ``zipWithIndex``, two passes over the text and no shuffle of it: pass 1
+    counts the lines of every input block (one row per block, ordered by file
+    path and block start, turned into running offsets and checkpointed); pass 2
+    adds the block's offset to the line's position in its task. Blocks are keyed
+    by a 64-bit hash of the path (checked for collisions), so the offset table
+    is four longs per block; it is broadcast when its exact row count is under
+    ``MAX_BROADCAST_BLOCKS`` and joined by a shuffle otherwise.
     """
+    from ..operators.paging import running_offsets
+    from ..session import ensure_checkpoint_dir
+
     tagged = lines.select(
         "*",
-        F.col("_metadata.file_path").alias("_path"),
+        F.xxhash64(F.col("_metadata.file_path")).alias("_key"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_mid"),
     )
-    blocks = tagged.groupBy("_path", "_block").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")
-    )
-    from ..operators.paging import running_offsets
-
-    offsets = running_offsets(blocks, ["_path", "_block"], "_n", "_offset")
-    # One row per input split: bounded by input size / split size.
-    joined = tagged.join(F.broadcast(offsets.select("_path", "_block", "_offset", "_first")),
-                         ["_path", "_block"])
+    blocks = tagged.groupBy(F.col("_metadata.file_path").alias("_path"), "_key", "_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    ensure_checkpoint_dir(lines.sparkSession)
+    offsets = (running_offsets(blocks, ["_path", "_block"], "_n", "_offset")
+               .select("_key", "_block", "_offset", "_first", "_path")
+               .checkpoint(eager=True))
+    stats = offsets.agg(F.count(F.lit(1)).alias("n"),
+                        F.count_distinct("_key", "_block").alias("keys")).first()
+    if stats["n"] != stats["keys"]:
+        raise RuntimeError("file path hash collision; cannot key line offsets by hash")
+    small = offsets.select("_key", "_block", "_offset", "_first")
+    side = F.broadcast(small) if stats["n"] <= MAX_BROADCAST_BLOCKS else small
+    joined = tagged.join(side, ["_key", "_block"])
     return joined.select(
         *[c for c in lines.columns],
         (F.col("_offset") + F.col("_mid") - F.col("_first")).alias(col),
