@@ -44,7 +44,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     test session) gets a fresh scratch folder; a cluster session without a
     shared folder is an error, never a machine-local fallback.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

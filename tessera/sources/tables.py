@@ -29,10 +29,12 @@ def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFr
     a retried task's input identical and leaves the data clustered by ``key``,
     which satisfies a later ``groupBy(key, …)`` without another shuffle.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
+    except Exception:  # e.g. a Spark Connect session: no RDD view, leave the plan alone
         return df
-    return df.repartition(target, key)
+    return df if splits >= target else df.repartition(target, key)
 
 
 def numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
