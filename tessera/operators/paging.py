@@ -26,14 +26,9 @@ def running_offsets(small: DataFrame, order_cols: Sequence[str], count_col: str,
     return small.withColumn(out_col, F.coalesce(F.sum(count_col).over(w), F.lit(0)).cast("long"))
 
 
-def with_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "idx",
-                   num_partitions: int | None = None) -> DataFrame:
-    """Add a 0-based consecutive ``index_col`` in ``order_by`` order.
-
-    One range shuffle: the sorted, tagged rows are persisted, one small job
-    counts each partition (at most ``num_partitions`` rows reach the driver),
-    and the running offsets go back into the plan as a literal array.
-    """
+def _indexed(df: DataFrame, order_by: Sequence[str], index_col: str,
+             num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
+    """(indexed frame, persisted tagged frame it reads from)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # An explicit partition count keeps AQE from coalescing the range partitions.
@@ -49,7 +44,19 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "idx
         run += row["_n"]
     off = F.element_at(F.array(*[F.lit(v) for v in offsets]), F.col("_pid") + 1)
     first = F.element_at(F.array(*[F.lit(v) for v in firsts]), F.col("_pid") + 1)
-    return tagged.select((off + F.col("_mid") - first).cast("long").alias(index_col), *df.columns)
+    indexed = tagged.select((off + F.col("_mid") - first).cast("long").alias(index_col), *df.columns)
+    return indexed, tagged
+
+
+def with_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "idx",
+                   num_partitions: int | None = None) -> DataFrame:
+    """Add a 0-based consecutive ``index_col`` in ``order_by`` order.
+
+    One range shuffle: the sorted, tagged rows are persisted, one small job
+    counts each partition (at most ``num_partitions`` rows reach the driver),
+    and the running offsets go back into the plan as a literal array.
+    """
+    return _indexed(df, order_by, index_col, num_partitions)[0]
 
 
 def page(indexed: DataFrame, start: int, end: int, index_col: str = "idx") -> DataFrame:
@@ -61,12 +68,20 @@ def iter_pages(df: DataFrame, order_by: Sequence[str], page_size: int,
                index_col: str = "idx") -> Iterator[DataFrame]:
     """K2: yield consecutive pages as DataFrames; the caller collects one at a time.
 
-    The indexed rows stay persisted, so each page is one cheap filtered job and
-    the driver never holds more than one page.
+    The index column itself is cached: it increases along every cached
+    partition, so the in-memory column statistics (min/max per batch) let each
+    page job skip all batches outside its range instead of filtering the whole
+    table. The driver never holds more than one page.
     """
     if page_size <= 0:
         raise ValueError("page_size must be positive")
-    indexed = with_row_index(df, order_by, index_col)
-    total = indexed.count()
-    for start in range(0, total, page_size):
-        yield page(indexed, start, start + page_size, index_col)
+    indexed, tagged = _indexed(df, order_by, index_col, None)
+    indexed = indexed.persist()
+    try:
+        total = indexed.count()  # materialises the indexed cache
+        tagged.unpersist()
+        for start in range(0, total, page_size):
+            yield page(indexed, start, start + page_size, index_col)
+    finally:
+        tagged.unpersist()
+        indexed.unpersist()

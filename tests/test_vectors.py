@@ -125,3 +125,9 @@ def test_null_vector_gives_null_assignment(spark):
     rows = {r["id"]: (r["c"], r["d"]) for r in V.assign(df, [[0.0]]).collect()}
     assert rows[0] == (None, None) and rows[1] == (0, 1.0)
     assert not math.isnan(rows[1][1])
+
+
+def test_zero_weight_points_do_not_move_centres(spark):
+    # A coreset row with w = 0 takes part in the assignment but not in the mean
+    df = pts(spark, [[2], [4], [1000]], weights=[1, 1, 0])
+    assert kmeans.lloyd_step(df, [[0.0]], weight="w") == [[2.0]]
