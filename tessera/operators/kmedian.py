@@ -154,13 +154,27 @@ def coreset_points(core: DataFrame, k: int) -> DataFrame:
                        F.col("y").alias("x"), F.col("w"))
 
 
+def round_two_points(core: DataFrame, k: int) -> DataFrame:
+    """Round-2 input sized to its data: the coreset's L·k rows in a few partitions.
+
+    Counting the (persisted) coreset materialises round 1 once (D8). Its exact
+    size then sets the partition count — about ``TARGET_PART_BYTES`` each, by a
+    narrow ``coalesce`` — instead of one task per part: every round-2 job is
+    cheap when L is small and still spread over many tasks when L·k is large.
+    """
+    size = core.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("y")).alias("dim")).first()
+    n_core, dim = int(size["n"]), int(size["dim"] or 0)
+    if n_core == 0:
+        raise ValueError("empty point set")
+    return coreset_points(core, k).coalesce(suggest_parts(n_core, dim, 0))
+
+
 def mr_kmedian_centers(points: DataFrame, k: int, parts: int, iterations: int, seed: int,
                        x: str = "x", id: str = "id", part_col: str | None = None):
     """Rounds 1 and 2 of V11: the final k centres (driver list, size-checked)."""
     core = coreset(points, k, parts, iterations, seed, x, id, part_col).persist()
     try:
-        core.count()  # materialise round 1 once (D8)
-        return kmeans.fit(coreset_points(core, k), k, iterations, seed, weight="w")
+        return kmeans.fit(round_two_points(core, k), k, iterations, seed, weight="w")
     finally:
         core.unpersist()
 
