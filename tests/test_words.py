@@ -30,6 +30,11 @@ def test_variants_golden(docs, variant):
     assert _counts(words.word_count(docs, variant, buckets=3)) == GOLDEN
 
 
+@pytest.mark.parametrize("variant", words.VARIANTS)
+def test_variants_with_k_partitions(docs, variant):
+    assert _counts(words.word_count(docs, variant, buckets=2, partitions=3)) == GOLDEN
+
+
 def test_distinct_tokens_and_mean_length(docs):
     assert words.distinct_word_count(docs).first()["n"] == 18
     assert words.token_count(docs).first()["n"] == 45
