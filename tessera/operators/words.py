@@ -43,17 +43,41 @@ def salt(doc_id: str = "doc_id", word: str = "word", buckets: int = 8):
     return F.pmod(F.xxhash64(F.col(doc_id), F.col(word)), F.lit(buckets)).cast("int")
 
 
+# Per-partition combiner working set: texts are tokenised in slices of about
+# this many characters, and partial counts are folded every FOLD_EVERY slices.
+SLICE_CHARS = 8 << 20
+FOLD_EVERY = 16
+
+
 def _combine_partition(batches):
-    """Per-partition combiner (A10a): count the words of every text in the partition."""
+    """Per-partition combiner (A10a): count the words of every text in the partition.
+
+    Memory is bounded by one slice of text plus the partition's vocabulary, not
+    by the Arrow batch (batches are sized in rows, and texts can be long).
+    """
+    import numpy as np
     import pandas as pd
 
-    parts = []
+    parts: list = []
+
+    def fold():
+        merged = pd.concat(parts).groupby(level=0, sort=False).sum()
+        parts.clear()
+        parts.append(merged)
+
     for pdf in batches:
-        words = pdf["text"].dropna().str.split(WORD_SEPARATOR, regex=False).explode()
-        if len(words):
+        texts = pdf["text"].dropna()
+        if texts.empty:
+            continue
+        ends = np.cumsum(texts.str.len().to_numpy()) // SLICE_CHARS
+        for _, piece in texts.groupby(ends, sort=True):
+            words = piece.str.split(WORD_SEPARATOR, regex=False).explode()
             parts.append(words.value_counts(sort=False))
+            if len(parts) >= FOLD_EVERY:
+                fold()
     if parts:
-        total = pd.concat(parts).groupby(level=0, sort=False).sum()
+        fold()
+        total = parts[0]
         yield pd.DataFrame({"word": total.index.astype(object), "n": total.to_numpy(dtype="int64")})
 
 

@@ -86,3 +86,10 @@ def test_hot_word_salted_spreads(spark):
 def test_unknown_variant(docs):
     with pytest.raises(ValueError):
         words.word_count(docs, "nope")
+
+
+def test_partition_combiner_slices_and_folds(docs, monkeypatch):
+    # tiny slices and frequent folds exercise the bounded-memory path
+    monkeypatch.setattr(words, "SLICE_CHARS", 10)
+    monkeypatch.setattr(words, "FOLD_EVERY", 2)
+    assert _counts(words.word_count(docs, "partition")) == GOLDEN
