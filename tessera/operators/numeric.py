@@ -34,9 +34,12 @@ def global_max(df: DataFrame, col: str = "value") -> Column:
 def normalize(df: DataFrame, col: str = "value", out: str = "z") -> DataFrame:
     """``out = col / max(col)``.
 
-    A zero maximum raises (ANSI division by zero), as the reference does.
+    A zero maximum raises, as in the reference, whatever the session's ANSI
+    setting (the scalar subquery is computed once and reused).
     """
-    return df.withColumn(out, _c(col) / global_max(df, col))
+    m = global_max(df, col)
+    return df.withColumn(out, F.when(m == 0, F.raise_error(F.lit("division by zero: the maximum is 0")))
+                         .otherwise(_c(col) / m))
 
 
 def summary(df: DataFrame, col: str = "value", threshold: float | None = None) -> DataFrame:

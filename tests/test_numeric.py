@@ -1,5 +1,5 @@
 import pytest
-from pyspark.errors import ArithmeticException
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tessera.operators import numeric
@@ -42,8 +42,14 @@ def test_count_above_is_strict(spark):
 
 def test_zero_max_raises(spark):
     df = spark.createDataFrame([(0.0,), (0.0,)], "value double")
-    with pytest.raises(ArithmeticException):
+    with pytest.raises(PySparkException):
         numeric.normalize(df).collect()
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(PySparkException):
+            numeric.normalize(df).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def test_empty_input_gives_null_aggregates(spark):
