@@ -125,13 +125,17 @@ def coreset_partition_kernel(k: int, iterations: int):
 
 # --------------------------------------------------------------------------- operators
 
-def coreset(points: DataFrame, k: int, parts: int, iterations: int, seed: int,
+def coreset(points: DataFrame, k: int, parts: int | None, iterations: int, seed: int,
             x: str = "x", id: str = "id", part_col: str | None = None) -> DataFrame:
     """``part, c, y, w`` — at most k weighted centres per part.
 
-    By default the points are dealt round-robin into ``parts`` even parts and
-    ``part`` is the partition index. ``part_col`` names an existing part column
-    instead (its groups are the parts, whatever their sizes).
+    ``parts=L`` deals the points round-robin into L even parts (one shuffle of
+    the points, as the reference's ``repartition(L)``); ``part`` is the
+    partition index. ``parts=None`` uses the input partitions themselves as the
+    parts — file splits are already even (``spark.sql.files.maxPartitionBytes``)
+    and deterministic — so round 1 shuffles nothing: the recommended form on a
+    large input. ``part_col`` names an existing part column instead (its groups
+    are the parts, whatever their sizes).
     """
     rounds = F.sequence(F.lit(0), F.lit(int(k) - 1))
 
@@ -143,7 +147,9 @@ def coreset(points: DataFrame, k: int, parts: int, iterations: int, seed: int,
         prepared = with_uniforms(points, F.col(part_col).cast("long"))
         return prepared.groupBy("part").applyInPandas(coreset_kernel(int(k), int(iterations)),
                                                       CORESET_SCHEMA)
-    dealt = points.select(id, x).repartition(int(parts))
+    dealt = points.select(id, x)
+    if parts is not None:
+        dealt = dealt.repartition(int(parts))
     prepared = with_uniforms(dealt, F.spark_partition_id().cast("long"))
     return prepared.mapInPandas(coreset_partition_kernel(int(k), int(iterations)), CORESET_SCHEMA)
 
@@ -169,7 +175,7 @@ def round_two_points(core: DataFrame, k: int) -> DataFrame:
     return coreset_points(core, k).coalesce(suggest_parts(n_core, dim, 0))
 
 
-def mr_kmedian_centers(points: DataFrame, k: int, parts: int, iterations: int, seed: int,
+def mr_kmedian_centers(points: DataFrame, k: int, parts: int | None, iterations: int, seed: int,
                        x: str = "x", id: str = "id", part_col: str | None = None):
     """Rounds 1 and 2 of V11: the final k centres (driver list, size-checked)."""
     core = coreset(points, k, parts, iterations, seed, x, id, part_col).persist()
@@ -179,7 +185,7 @@ def mr_kmedian_centers(points: DataFrame, k: int, parts: int, iterations: int, s
         core.unpersist()
 
 
-def mr_kmedian(points: DataFrame, k: int, parts: int, iterations: int, seed: int,
+def mr_kmedian(points: DataFrame, k: int, parts: int | None, iterations: int, seed: int,
                x: str = "x", id: str = "id", part_col: str | None = None) -> DataFrame:
     """``objective`` — mean distance of all points to the k-median centres."""
     centers = mr_kmedian_centers(points, k, parts, iterations, seed, x, id, part_col)

@@ -95,3 +95,17 @@ def test_default_coreset_is_repeatable(blobs):
     a = sorted((r["part"], r["c"], tuple(r["y"]), r["w"]) for r in kmedian.coreset(df, 3, 3, 2, seed=8).collect())
     b = sorted((r["part"], r["c"], tuple(r["y"]), r["w"]) for r in kmedian.coreset(df, 3, 3, 2, seed=8).collect())
     assert a == b
+
+
+def test_input_partitions_as_parts_need_no_shuffle(blobs):
+    df, X = blobs
+    spread = df.repartition(5).persist()
+    core = kmedian.coreset(spread, 3, None, 1, seed=4)
+    plan = core._jdf.queryExecution().executedPlan().toString()
+    rows = core.collect()
+    assert sum(r["w"] for r in rows) == len(X)
+    assert len({r["part"] for r in rows}) == 5
+    # only the test's own repartition appears; the coreset adds no exchange
+    assert plan.count("Exchange") <= 1
+    obj = kmedian.mr_kmedian(spread, 3, None, 2, seed=4).first()["objective"]
+    assert obj > 0
