@@ -131,3 +131,19 @@ def test_zero_weight_points_do_not_move_centres(spark):
     # A coreset row with w = 0 takes part in the assignment but not in the mean
     df = pts(spark, [[2], [4], [1000]], weights=[1, 1, 0])
     assert kmeans.lloyd_step(df, [[0.0]], weight="w") == [[2.0]]
+
+
+def _python_evals(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    return final.count("ArrowEvalPython")
+
+
+def test_kernel_runs_once_per_row(spark):
+    # a filter on the kernel's output (e.g. an inferred isnotnull from a join) would be
+    # pushed below it and make Spark evaluate the kernel twice
+    df = pts(spark, [[0], [1], [5], [9]]).selectExpr("id", "x", "id % 2 AS part")
+    assert _python_evals(kmeans.lloyd_step_frame(df, [[0.0], [8.0]])) == 1
+    assert _python_evals(V.cluster_weights(df, [[0.0], [8.0]])) == 1
+    assert _python_evals(V.cluster_weights(df, [[0.0], [8.0]], part="part")) == 1
