@@ -109,3 +109,11 @@ def test_input_partitions_as_parts_need_no_shuffle(blobs):
     assert plan.count("Exchange") <= 1
     obj = kmedian.mr_kmedian(spread, 3, None, 2, seed=4).first()["objective"]
     assert obj > 0
+
+
+def test_fit_frame_matches_fit(blobs):
+    df, _ = blobs
+    frame = kmeans.fit_frame(df, 3, 2, seed=6).orderBy("c").collect()
+    assert [list(r["y"]) for r in frame] == kmeans.fit(df, 3, 2, seed=6)
+    seeds0 = kmeans.fit_frame(df, 3, 0, seed=6).orderBy("c").collect()
+    assert [list(r["y"]) for r in seeds0] == kmeans.fit(df, 3, 0, seed=6)

@@ -110,3 +110,14 @@ def test_seeding_is_repeatable(spark):
     a = sampling.seed_centers(df, 4, 9)
     b = sampling.seed_centers(df.repartition(3), 4, 9)
     assert a == b and len({i for i, _ in a}) == 4
+
+
+@pytest.mark.parametrize("carry", [False, True])
+def test_weighted_seeding_draws_by_weight_times_distance(spark, carry):
+    # D2 option: with w·d = 0 for every point but one, round 1 must pick that point
+    rows = [(i, [float(i)], 0.0) for i in range(10)] + [(10, [100.0], 1.0)]
+    df = spark.createDataFrame(rows, "id long, x array<double>, w double")
+    for seed in (1, 2, 3):
+        seeds = sampling.seed_centers(df, 2, seed, weight="w", carry=carry)
+        if seeds[0][0] != 10:
+            assert seeds[1][0] == 10
