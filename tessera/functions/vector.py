@@ -2,10 +2,11 @@
 
 Distances against a *literal centre set* (a small list of vectors held by the
 driver, size-checked by the caller) run in an Arrow-batched numpy kernel
-(``pandas_udf``): measured on 200k 64-dim points with 10 centres it is ~4x
-faster than the JVM higher-order-function form and does not recompile when the
-centres change between iterations (an unrolled JVM expression outgrows the
-64 KB method limit at k·dim ≈ 640 and recompiles per centre set).
+(``arrow_udf``; ``pandas_udf`` where Arrow UDFs are unavailable). Measured on
+200k 64-dim points with 10 centres: 0.65 s, against 0.9 s for the pandas form,
+4.0 s for the JVM higher-order-function form and 5.7 s for an unrolled JVM
+expression (which outgrows the 64 KB method limit at k·dim ≈ 640 and
+recompiles for every new centre set).
 
 Distances between two *columns* use ``aggregate(zip_with(...))``.
 
@@ -19,6 +20,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -90,17 +92,60 @@ def distance_matrix(X: np.ndarray, C: np.ndarray) -> np.ndarray:
 
 
 def _stack(xs: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of an Arrow list column as a 2-D array, plus the mask of non-null rows."""
+    """Rows of an Arrow list column (pandas form) as a 2-D array, plus the non-null mask."""
     valid = xs.notna().to_numpy()
     if not valid.any():
         return np.empty((0, 0)), valid
     return np.stack(xs[valid].to_numpy()).astype(np.float64, copy=False), valid
 
 
+def _matrix(xs) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a ``pyarrow`` list array as an (n_valid, d) matrix, plus the non-null mask.
+
+    No per-row Python objects: the list values are flattened in one call and
+    reshaped. Mixed lengths are rejected (D13).
+    """
+    import pyarrow.compute as pc
+
+    valid = xs.is_valid().to_numpy(zero_copy_only=False)
+    if not valid.any():
+        return np.empty((0, 0)), valid
+    lengths = pc.list_value_length(xs).to_numpy(zero_copy_only=False)[valid]
+    dim = int(lengths[0])
+    if (lengths != dim).any():
+        raise ValueError(f"mixed vector dimensions: {int(lengths.min())} .. {int(lengths.max())}")
+    flat = pc.list_flatten(xs).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(-1, dim), valid
+
+
+try:  # Arrow-native scalar UDFs (PySpark >= 4.1); the pandas form is the fallback
+    from pyspark.sql.functions import arrow_udf as _arrow_udf
+except ImportError:  # pragma: no cover
+    _arrow_udf = None
+
+
 def nearest_udf(centers: Sequence[Sequence[float]]):
-    """pandas UDF: ``array<double>`` → ``struct<d: double, c: int>`` (ties → lowest c)."""
+    """Kernel UDF: ``array<double>`` → ``struct<d: double, c: int>`` (ties → lowest c)."""
     C = np.asarray([_as_floats(y) for y in centers], dtype=np.float64)
 
+    if _arrow_udf is not None:
+        @_arrow_udf("struct<d: double, c: int>")
+        def nearest_center_arrow(xs: pa.Array) -> pa.Array:
+            n = len(xs)
+            d = np.zeros(n)
+            c = np.zeros(n, dtype=np.int32)
+            X, valid = _matrix(xs)
+            if len(X):
+                D = distance_matrix(X, C)
+                a = np.argmin(D, axis=0)
+                d[valid] = D[a, np.arange(len(a))]
+                c[valid] = a
+            null = None if valid.all() else pa.array(~valid)
+            return pa.StructArray.from_arrays([pa.array(d, mask=~valid), pa.array(c, mask=~valid)],
+                                              names=["d", "c"], mask=null)
+
+        return nearest_center_arrow
+
     @F.pandas_udf("struct<d: double, c: int>")
     def nearest_center(xs: pd.Series) -> pd.DataFrame:
         d = np.full(len(xs), np.nan)  # NaN → NULL on the way back through Arrow
@@ -120,8 +165,25 @@ def nearest_udf(centers: Sequence[Sequence[float]]):
 
 
 def distances_udf(centers: Sequence[Sequence[float]]):
-    """pandas UDF: ``array<double>`` → ``array<double>`` of the k centre distances."""
+    """Kernel UDF: ``array<double>`` → ``array<double>`` of the k centre distances."""
     C = np.asarray([_as_floats(y) for y in centers], dtype=np.float64)
+    k = len(C)
+
+    if _arrow_udf is not None:
+        @_arrow_udf("array<double>")
+        def center_distances_arrow(xs: pa.Array) -> pa.Array:
+            n = len(xs)
+            X, valid = _matrix(xs)
+            values = np.zeros((n, k))
+            if len(X):
+                values[valid] = distance_matrix(X, C).T
+            offsets = pa.array(np.arange(0, (n + 1) * k, k, dtype=np.int32))
+            out = pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
+            if valid.all():
+                return out
+            return pa.ListArray.from_arrays(offsets, pa.array(values.ravel()), mask=pa.array(~valid))
+
+        return center_distances_arrow
 
     @F.pandas_udf("array<double>")
     def center_distances(xs: pd.Series) -> pd.Series:

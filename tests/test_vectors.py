@@ -147,3 +147,25 @@ def test_kernel_runs_once_per_row(spark):
     assert _python_evals(kmeans.lloyd_step_frame(df, [[0.0], [8.0]])) == 1
     assert _python_evals(V.cluster_weights(df, [[0.0], [8.0]])) == 1
     assert _python_evals(V.cluster_weights(df, [[0.0], [8.0]], part="part")) == 1
+
+
+def test_pandas_fallback_matches_arrow_kernel(spark, monkeypatch):
+    from tessera.functions import vector as vec
+    rng = np.random.default_rng(4)
+    df = pts(spark, rng.normal(size=(40, 5)))
+    cs = [list(v) for v in rng.normal(size=(3, 5))]
+
+    def both():
+        a = [(r["c"], r["d"]) for r in V.assign(df, cs).orderBy("id").collect()]
+        p = [(r["id"], r["c"], r["d"]) for r in V.pairwise_distances(df, cs).orderBy("id", "c").collect()]
+        return a, p
+
+    arrow = both()
+    monkeypatch.setattr(vec, "_arrow_udf", None)
+    assert both() == arrow
+
+
+def test_kernel_rejects_mixed_dimensions(spark):
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0])], "id long, x array<double>").coalesce(1)
+    with pytest.raises(PySparkException):
+        V.assign(df, [[0.0, 0.0]]).collect()
