@@ -10,8 +10,9 @@ in their physical plan:
 ``salted``     tokens → group by (word, salt) → group by word. ``salt`` is a hash
                of (doc_id, word) in ``[0, K)``: two shuffles; a hot word is spread
                over K reducers in the first.
-``partition``  an explicit per-partition combiner (``mapInPandas``) emits one row
-               per distinct word of the input partition, then one shuffle.
+``partition``  an explicit per-partition combiner (``mapInArrow``: split, count and
+               fold in Arrow C++) emits one row per distinct word of the input
+               partition, then one shuffle.
 ``grouped``    per-document counts (A7) → group by word and add them up. The
                reference gathers all values of a key before folding; a gathered
                list per word is unbounded for a hot word, so here the fold is a
@@ -81,6 +82,49 @@ def _combine_partition(batches):
         yield pd.DataFrame({"word": total.index.astype(object), "n": total.to_numpy(dtype="int64")})
 
 
+def _combine_partition_arrow(batches):
+    """Per-partition combiner (A10a) on Arrow arrays: split, count and fold in Arrow C++.
+
+    ``split_pattern`` splits on the exact separator (empty tokens kept, as in
+    the reference). Texts are processed in slices of about ``SLICE_CHARS``
+    characters and partial counts are folded every ``FOLD_EVERY`` slices, so
+    memory is one slice plus the partition's vocabulary.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    parts: list = []
+
+    def fold():
+        merged = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")])
+        parts.clear()
+        parts.append(merged.rename_columns(["word", "n"]))
+
+    for rb in batches:
+        text = rb.column(0)
+        if len(text) == 0:
+            continue
+        sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
+        bounds = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_CHARS)) + 1
+        start = 0
+        for end in [*bounds.tolist(), len(text)]:
+            if end <= start:
+                continue
+            piece = text.slice(start, end - start)
+            start = end
+            words = pc.list_flatten(pc.split_pattern(piece, pattern=WORD_SEPARATOR))
+            if len(words) == 0:
+                continue
+            vc = pc.value_counts(words)
+            parts.append(pa.table({"word": vc.field("values"), "n": vc.field("counts")}))
+            if len(parts) >= FOLD_EVERY:
+                fold()
+    if parts:
+        fold()
+        yield from parts[0].to_batches()
+
+
 def word_count(docs: DataFrame, variant: str = "direct", buckets: int = 8,
                partitions: int | None = None) -> DataFrame:
     """``word, n`` over all documents.
@@ -99,7 +143,11 @@ def word_count(docs: DataFrame, variant: str = "direct", buckets: int = 8,
                  .groupBy("word", "salt").agg(F.count(F.lit(1)).alias("n")))
         return first.groupBy("word").agg(F.sum("n").alias("n"))
     if variant == "partition":
-        partial = docs.select("text").mapInPandas(_combine_partition, "word string, n long")
+        text = docs.select("text")
+        if hasattr(text, "mapInArrow"):
+            partial = text.mapInArrow(_combine_partition_arrow, "word string, n long")
+        else:  # pragma: no cover - PySpark without mapInArrow
+            partial = text.mapInPandas(_combine_partition, "word string, n long")
         return partial.groupBy("word").agg(F.sum("n").alias("n"))
     if variant == "grouped":
         return word_count_per_doc(docs).groupBy("word").agg(F.sum("n").alias("n"))
