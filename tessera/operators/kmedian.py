@@ -4,17 +4,18 @@ Round 1  points are dealt round-robin into L parts (``repartition(L)``; Spark
          sorts each input partition first, so a retried task gets the same
          rows). Parts are even whatever the keys — copies of one id or one hot
          value cannot pile up in one part. Each part is clustered independently
-         by a numpy kernel inside ``mapInPandas`` — seeding, Lloyd steps and the
+         by a numpy kernel inside ``mapInArrow`` — seeding, Lloyd steps and the
          per-centre point counts — and emits at most k weighted centres. With an
          explicit part column the parts are the user's groups
-         (``groupBy(part).applyInPandas``).
+         (``groupBy(part).applyInArrow``). Vectors reach the kernel as Arrow
+         lists, flattened into a matrix in one call.
 Round 2  the L·k weighted centres stay a DataFrame and go through the distributed
          fit (V8); they are never gathered into one task.
 Round 3  the mean distance of every point to the final centres (one aggregate).
 
 The kernel draws its random numbers from uniforms computed JVM-side from
 md5(id:seed:part:round), so round 1 is repeatable on retry and reproducible in
-SQL. Memory: one part is one pandas frame in one Python worker, so choose
+SQL. Memory: one part is one Arrow table in one Python worker, so choose
 L ≥ n·(dim + k)·8 bytes / (target part size); :func:`suggest_parts` does this.
 """
 
@@ -23,7 +24,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,39 +89,50 @@ def _cluster_part(X: np.ndarray, U: np.ndarray, k: int, iterations: int) -> tupl
     return C, w
 
 
-def _cluster_frame(pdf: pd.DataFrame, k: int, iterations: int) -> pd.DataFrame:
+def _flat_matrix(col) -> np.ndarray:
+    """An Arrow list column of equal-length numeric lists as an (n, d) float64 matrix."""
+    n = len(col)
+    if n == 0:
+        return np.empty((0, 0))
+    flat = pc.list_flatten(col).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if flat.size % n:
+        raise ValueError("mixed vector dimensions inside a part")
+    return flat.reshape(n, flat.size // n)
+
+
+def _cluster_table(table: pa.Table, k: int, iterations: int) -> pa.Table:
     """Kernel over one part's rows ``part, id, x, u`` → ``part, c, y, w``."""
-    X = np.stack(pdf["x"].to_numpy()).astype(np.float64)
-    U = np.stack(pdf["u"].to_numpy()).astype(np.float64)
-    ids = pdf["id"].to_numpy()
+    X = _flat_matrix(table.column("x").combine_chunks())
+    U = _flat_matrix(table.column("u").combine_chunks())
+    ids = table.column("id").to_numpy()
     # total, repeatable row order: id, then the coordinates (rows arrive from a
     # shuffle in fetch order; only exact copies remain tied, and they are equal)
     order = np.lexsort(tuple(X[:, j] for j in range(X.shape[1] - 1, -1, -1)) + (ids,))
     C, w = _cluster_part(X[order], U[order], k, iterations)
-    part = int(pdf["part"].iloc[0])
-    return pd.DataFrame({
-        "part": np.full(len(C), part, dtype=np.int64),
-        "c": np.arange(len(C), dtype=np.int32),
-        "y": [row.tolist() for row in C],
-        "w": w,
+    part = int(table.column("part")[0].as_py())
+    kc, dim = C.shape
+    offsets = pa.array(np.arange(0, (kc + 1) * dim, dim, dtype=np.int32))
+    return pa.table({
+        "part": pa.array(np.full(kc, part, dtype=np.int64)),
+        "c": pa.array(np.arange(kc, dtype=np.int32)),
+        "y": pa.ListArray.from_arrays(offsets, pa.array(C.ravel())),
+        "w": pa.array(w),
     })
 
 
 def coreset_kernel(k: int, iterations: int):
-    """Grouped form: one call per part group."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf.empty:
-            return pd.DataFrame({"part": [], "c": [], "y": [], "w": []})
-        return _cluster_frame(pdf, k, iterations)
+    """Grouped form (``applyInArrow``): one call per part group."""
+    def run(table: pa.Table) -> pa.Table:
+        return _cluster_table(table, k, iterations)
     return run
 
 
 def coreset_partition_kernel(k: int, iterations: int):
-    """Partition form: the Arrow batches of one partition (= one part) are one part."""
+    """Partition form (``mapInArrow``): the record batches of one partition are one part."""
     def run(batches):
-        frames = [b for b in batches if len(b)]
-        if frames:
-            yield _cluster_frame(pd.concat(frames, ignore_index=True), k, iterations)
+        kept = [b for b in batches if b.num_rows]
+        if kept:
+            yield from _cluster_table(pa.Table.from_batches(kept), k, iterations).to_batches()
     return run
 
 
@@ -145,13 +158,13 @@ def coreset(points: DataFrame, k: int, parts: int | None, iterations: int, seed:
 
     if part_col:
         prepared = with_uniforms(points, F.col(part_col).cast("long"))
-        return prepared.groupBy("part").applyInPandas(coreset_kernel(int(k), int(iterations)),
-                                                      CORESET_SCHEMA)
+        return prepared.groupBy("part").applyInArrow(coreset_kernel(int(k), int(iterations)),
+                                                     CORESET_SCHEMA)
     dealt = points.select(id, x)
     if parts is not None:
         dealt = dealt.repartition(int(parts))
     prepared = with_uniforms(dealt, F.spark_partition_id().cast("long"))
-    return prepared.mapInPandas(coreset_partition_kernel(int(k), int(iterations)), CORESET_SCHEMA)
+    return prepared.mapInArrow(coreset_partition_kernel(int(k), int(iterations)), CORESET_SCHEMA)
 
 
 def coreset_points(core: DataFrame, k: int) -> DataFrame:
