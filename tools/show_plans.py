@@ -49,7 +49,7 @@ def main() -> None:
         plan = final_only(re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString()))
         exchanges = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)",
                                    plan))
-        python = len(re.findall(r"ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas", plan))
+        python = len(re.findall(r"ArrowEvalPython|MapIn(?:Pandas|Arrow)|FlatMapGroupsIn(?:Pandas|Arrow)", plan))
         print(f"## {name}\n\nshuffle exchanges: {exchanges}, Python operators: {python}\n")
         print("```\n" + plan.strip() + "\n```\n")
     spark.stop()
