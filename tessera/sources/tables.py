@@ -8,14 +8,36 @@ reads just those (``ReadSchema`` in the plan).
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vector import as_vector
 
 
+# Schemas read from the files themselves, keyed by (path, modification time):
+# the first read of a table infers its schema (a small job touching a footer);
+# later reads pass it explicitly and skip that job.
+_SCHEMAS: dict = {}
+
+
+def _stamp(path: str):
+    try:
+        return os.stat(path).st_mtime_ns
+    except OSError:  # not a local path (HDFS, S3, ...): key by path only
+        return None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (path, _stamp(path))
+    schema = _SCHEMAS.get(key)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[key] = df.schema
+    return df
 
 
 def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
