@@ -46,11 +46,30 @@ def lloyd_step_frame(points: DataFrame, centers, x: str = "x", weight: str | Non
 
 def lloyd_step(points: DataFrame, centers, x: str = "x", weight: str | None = None,
                damping: float = 1.0) -> list[list[float]]:
-    """V7: the k updated centres, collected (k·dim doubles; same k as the checked input)."""
+    """V7: the k updated centres as a driver list — one job per step.
+
+    The distributed part is the same as :func:`lloyd_step_frame` (assignment +
+    per-centre Σ w·x and Σ w, combined map-side); the at most k aggregated rows
+    come back and the damped mean of each centre is finished on the driver,
+    k·dim arithmetic with the same operations (so the same doubles).
+    """
     cs = V.as_center_list(centers)
-    if cs:
-        V.check_center_budget(len(cs), len(cs[0]))
-    return V.collect_centers(lloyd_step_frame(points, cs, x, weight, damping), expected_k=len(cs))
+    if not cs:
+        return []
+    V.check_center_budget(len(cs), len(cs[0]))
+    w = F.col(weight) if weight else F.lit(1.0)
+    assigned = points.select(nearest(x, cs).getField("c").alias("c"), F.col(x).alias("x"),
+                             w.cast("double").alias("w"))
+    sums = assigned.groupBy("c").agg(vector_sum_agg("x", "w").alias("s"), F.sum("w").alias("sw"))
+    new = [list(y) for y in cs]
+    for row in sums.collect():  # at most k rows
+        if row["c"] is None:
+            continue
+        denom = float(damping) + float(row["sw"])
+        if denom != 0:
+            old = cs[row["c"]]
+            new[row["c"]] = [(float(damping) * o + s) / denom for o, s in zip(old, row["s"])]
+    return new
 
 
 def fit(points: DataFrame, k: int, iterations: int, seed: int, x: str = "x", id: str = "id",
