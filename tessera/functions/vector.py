@@ -229,15 +229,6 @@ def centers_literal(centers: Sequence[Sequence[float]]) -> Column:
     return F.array(*[vector_literal(y) for y in centers])
 
 
-def vector_add(a: Column | str, b: Column | str) -> Column:
-    return F.zip_with(_col(a), _col(b), lambda u, v: u + v)
-
-
-def vector_scale(a: Column | str, s: Column | float) -> Column:
-    s = s if isinstance(s, Column) else F.lit(float(s))
-    return F.transform(_col(a), lambda u: u * s)
-
-
 def vector_sum_agg(x: Column | str, weight: Column | str | None = None) -> Column:
     """Aggregate: coordinate-wise (weighted) sum Σ wᵢ·xᵢ as ``array<double>``.
 

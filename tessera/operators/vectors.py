@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vector import distances_udf, nearest, vector_sum_agg
+from ..functions.vector import distances_udf, min_distance, nearest, vector_sum_agg
 
 # Largest centre set (k·dim·8 bytes) embedded into a plan / shipped to tasks.
 MAX_CENTER_BYTES = 64 * 1024 * 1024
@@ -87,7 +87,7 @@ def update_min_distance(points: DataFrame, newest: Sequence[float], x: str = "x"
 
 def min_distance_col(x: str, centers):
     """V3 as a column: distance to the nearest of ``centers``."""
-    return nearest(x, as_center_list(centers)).getField("d")
+    return min_distance(x, as_center_list(centers))
 
 
 def objective(points: DataFrame, centers, x: str = "x") -> DataFrame:
