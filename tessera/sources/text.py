@@ -33,7 +33,8 @@ def with_line_number(lines: DataFrame, col: str = "line_no") -> DataFrame:
     adds the block's offset to the line's position in its task. Blocks are keyed
     by a 64-bit hash of the path (checked for collisions), so the offset table
     is four longs per block; it is broadcast when its exact row count is under
-    ``MAX_BROADCAST_BLOCKS`` and joined by a shuffle otherwise.
+    ``MAX_BROADCAST_BLOCKS``; above that the join strategy is left to Spark's
+    own size check (``autoBroadcastJoinThreshold``), i.e. a shuffle join.
     """
     from ..operators.paging import running_offsets
     from ..session import ensure_checkpoint_dir

@@ -48,3 +48,22 @@ def test_line_numbers_when_one_file_has_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert [r["n"] for r in got] == list(range(3000))
     assert [r["value"] for r in got] == lines
+
+
+def test_line_numbers_shuffle_join_fallback(spark, tmp_path, monkeypatch):
+    from tessera.sources import text as text_mod
+    # no broadcast hint: the join strategy is left to Spark's own size estimate of the table
+    monkeypatch.setattr(text_mod, "MAX_BROADCAST_BLOCKS", 0)
+    (tmp_path / "a.txt").write_text("a0\na1\n")
+    (tmp_path / "b.txt").write_text("b0\nb1\nb2\n")
+    df = with_line_number(read_lines(spark, str(tmp_path)), "n")
+    got = [(r["n"], r["value"]) for r in df.orderBy("n").collect()]
+    assert got == [(0, "a0"), (1, "a1"), (2, "b0"), (3, "b1"), (4, "b2")]
+
+
+def test_read_vectors_from_several_files(spark, tmp_path):
+    from tessera.sources.text import read_vectors
+    (tmp_path / "p1.txt").write_text("1 2\n3 4\n")
+    (tmp_path / "p2.txt").write_text("5 6\n")
+    got = [(r["id"], r["x"]) for r in read_vectors(spark, str(tmp_path)).orderBy("id").collect()]
+    assert got == [(0, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [5.0, 6.0])]
