@@ -125,6 +125,8 @@ def test_null_vector_gives_null_assignment(spark):
     rows = {r["id"]: (r["c"], r["d"]) for r in V.assign(df, [[0.0]]).collect()}
     assert rows[0] == (None, None) and rows[1] == (0, 1.0)
     assert not math.isnan(rows[1][1])
+    pairs = [(r["id"], r["c"], r["d"]) for r in V.pairwise_distances(df, [[0.0], [3.0]]).orderBy("c").collect()]
+    assert pairs == [(1, 0, 1.0), (1, 1, 2.0)]  # a NULL vector has no distances
 
 
 def test_zero_weight_points_do_not_move_centres(spark):
