@@ -93,3 +93,26 @@ def test_partition_combiner_slices_and_folds(docs, monkeypatch):
     monkeypatch.setattr(words, "SLICE_CHARS", 10)
     monkeypatch.setattr(words, "FOLD_EVERY", 2)
     assert _counts(words.word_count(docs, "partition")) == GOLDEN
+
+
+def test_variants_match_python_split_on_random_texts(spark):
+    import random
+    from collections import Counter
+
+    rng = random.Random(7)
+    alphabet = ["a", "b", "ciao", "É", "ß", "日本", " ", " ", " ", "\t", "\n", "x.", ""]
+    rows = []
+    for i in range(300):
+        if i % 50 == 0:
+            rows.append((i, None))
+            continue
+        rows.append((i, "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40)))))
+    want = Counter(w for _, t in rows if t is not None for w in t.split(" "))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for variant in words.VARIANTS:
+        assert _counts(words.word_count(df, variant, buckets=3)) == dict(want), variant
+    per_doc = {(r["doc_id"], r["word"]): r["n"] for r in words.word_count_per_doc(df).collect()}
+    assert per_doc == {(i, w): n for i, t in rows if t is not None for w, n in Counter(t.split(" ")).items()}
+    assert words.token_count(df).first()["n"] == sum(want.values())
+    avg = words.mean_distinct_word_length(words.word_count(df)).first()["avg_len"]
+    assert avg == pytest.approx(sum(len(w) for w in want) / len(want))
