@@ -171,3 +171,23 @@ def test_kernel_rejects_mixed_dimensions(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0])], "id long, x array<double>").coalesce(1)
     with pytest.raises(PySparkException):
         V.assign(df, [[0.0, 0.0]]).collect()
+
+
+def test_vector_operators_match_numpy_on_random_data(spark):
+    rng = np.random.default_rng(11)
+    X = rng.integers(-5, 6, size=(120, 4)).astype(float)  # small integers: exact distances, real ties
+    W = rng.integers(0, 4, size=120).astype(float)
+    C = [list(map(float, c)) for c in rng.integers(-5, 6, size=(5, 4))]
+    df = pts(spark, X, weights=W).repartition(3)
+    D = np.sqrt(((X[:, None, :] - np.array(C)[None]) ** 2).sum(-1))
+    a = D.argmin(axis=1)  # first minimum = lowest centre index
+    got = {r["id"]: (r["c"], r["d"]) for r in V.assign(df, C).collect()}
+    assert all(got[i] == (a[i], D[i, a[i]]) for i in range(len(X)))
+    w = {r["c"]: r["w"] for r in V.cluster_weights(df, C).collect()}
+    assert w == {c: int((a == c).sum()) for c in range(5)}
+    assert V.objective(df, C).first()["objective"] == pytest.approx(D.min(axis=1).mean())
+    new = kmeans.lloyd_step(df, C, weight="w")
+    for c in range(5):
+        m = a == c
+        want = (np.array(C[c]) + (W[m, None] * X[m]).sum(0)) / (1 + W[m].sum())
+        assert np.allclose(new[c], want)
