@@ -67,3 +67,19 @@ def test_negative_max_flips_sign(spark):
     df = spark.createDataFrame([(-2.0,), (-4.0,)], "value double")
     z = sorted(r["z"] for r in numeric.normalize(df).select(F.col("z")).collect())
     assert z == [1.0, 2.0]
+
+
+def test_report_matches_numpy_on_random_values(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    v = rng.uniform(-10, 1000, size=2000).round(2)
+    df = spark.createDataFrame([(float(x),) for x in v], "value double").repartition(4)
+    z = v / v.max()
+    s = numeric.normalized_summary(df, threshold=0.5).first()
+    assert s["n"] == len(v) and s["n_over"] == int((z > 0.5).sum())
+    assert s["mean"] == pytest.approx(z.mean(), rel=1e-12)
+    assert s["m2"] == pytest.approx(((z - z.mean()) ** 2).sum(), rel=1e-9)
+    assert s["stddev_pop"] == pytest.approx(z.std(), rel=1e-9)
+    assert (s["max_value"], s["min_value"]) == (z.max(), z.min())
+    assert numeric.sum_of_squares(df).first()["sum_sq"] == pytest.approx((v * v).sum(), rel=1e-12)
