@@ -14,8 +14,9 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-QUERIES = ["num_stats", "wc_direct", "wc_salted", "wc_partition", "wc_grouped", "wc_per_doc",
-           "vec_assign", "lloyd_step", "kmedian_coreset", "pick_prefix", "page_rows"]
+QUERIES = ["num_normalized", "num_stats", "wc_direct", "wc_salted", "wc_partition", "wc_grouped", "wc_per_doc",
+           "wc_distinct", "vec_distance", "vec_assign", "vec_weights", "pick_race", "pick_prefix", "lloyd_step",
+           "kmedian_coreset", "mr_kmedian", "row_index", "page_rows"]
 
 
 def final_only(plan: str) -> str:
