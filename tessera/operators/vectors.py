@@ -66,8 +66,12 @@ def collect_centers(frame: DataFrame, c: str = "c", y: str = "y",
 def pairwise_distances(points: DataFrame, centers, x: str = "x", id: str = "id") -> DataFrame:
     """V1: ``id, c, d`` for every point and every centre (n·k rows, k small)."""
     ds = distances_udf(as_center_list(centers))(F.col(x))
+    # posexplode_outer: a plain posexplode makes Catalyst infer size(_ds) > 0 and push
+    # it below the kernel's projection, which would run the kernel twice. The rows of
+    # NULL vectors are dropped on the generator's own output instead.
     return (points.select(F.col(id), ds.alias("_ds"))
-            .select(id, F.posexplode("_ds").alias("c", "d"))
+            .select(id, F.posexplode_outer("_ds").alias("c", "d"))
+            .where(F.col("c").isNotNull())
             .select(id, F.col("c").cast("int").alias("c"), "d"))
 
 

@@ -149,6 +149,7 @@ def test_kernel_runs_once_per_row(spark):
     assert _python_evals(kmeans.lloyd_step_frame(df, [[0.0], [8.0]])) == 1
     assert _python_evals(V.cluster_weights(df, [[0.0], [8.0]])) == 1
     assert _python_evals(V.cluster_weights(df, [[0.0], [8.0]], part="part")) == 1
+    assert _python_evals(V.pairwise_distances(df, [[0.0], [8.0]])) == 1
 
 
 def test_pandas_fallback_matches_arrow_kernel(spark, monkeypatch):
