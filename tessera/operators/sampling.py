@@ -67,7 +67,8 @@ def prefix_pick(points: DataFrame, frac: float, id: str = "id", d: str = "d",
     candidate id. That small table is checkpointed, its running totals give the
     target and the bucket holding it (one row, brought to the driver). Pass 2
     reads only that bucket — a literal id range, so Parquet can skip row groups —
-    and runs the running sum inside it. If rounding leaves no running sum above
+    sums the mass per id (rows sharing an id collapse map-side, so a hot id is
+    one row) and runs the running sum over at most ``bucket_size`` ids. If rounding leaves no running sum above
     the target, the bucket's last candidate is returned (D9 clamp). Points with
     w·d = 0 are never returned; no candidate gives no row.
     """
@@ -95,7 +96,10 @@ def prefix_pick(points: DataFrame, frac: float, id: str = "id", d: str = "d",
         return spark.createDataFrame([], "id long")
     lo = int(chosen["b"]) * bucket_size
     before, target = float(chosen["upto"] - chosen["bm"]), float(chosen["target"])
-    inside = cand.where((F.col("id") >= lo) & (F.col("id") < lo + bucket_size))
+    # Rows sharing an id collapse into one (map-side) before the ordered pass, so the
+    # window holds at most bucket_size distinct ids however often one id repeats.
+    inside = (cand.where((F.col("id") >= lo) & (F.col("id") < lo + bucket_size))
+              .groupBy("id").agg(F.sum("m").alias("m")))
     wi = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     run = inside.withColumn("run", F.lit(before) + F.sum("m").over(wi))
     hit = run.agg(F.min(F.when(F.col("m").isNotNull() & (F.col("run") > target), F.col("id"))).alias("id"))

@@ -121,3 +121,21 @@ def test_weighted_seeding_draws_by_weight_times_distance(spark, carry):
         seeds = sampling.seed_centers(df, 2, seed, weight="w", carry=carry)
         if seeds[0][0] != 10:
             assert seeds[1][0] == 10
+
+
+@pytest.mark.parametrize("frac", [0.05, 0.3, 0.6, 0.95])
+def test_prefix_pick_with_a_hot_id(spark, frac):
+    # a third of the rows share id 7: they collapse before the ordered pass
+    rng = np.random.default_rng(9)
+    rows = [(7 if i % 3 == 0 else i, float(np.round(rng.uniform(0.1, 2), 3))) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, d double")
+    mass = {}
+    for i, d in rows:
+        mass[i] = mass.get(i, 0.0) + d
+    total, run, want = sum(mass.values()), 0.0, None
+    for i in sorted(mass):
+        run += mass[i]
+        if run > frac * total:
+            want = i
+            break
+    assert sampling.prefix_pick(df, frac, bucket_size=64).first()["id"] == want
