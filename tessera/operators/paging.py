@@ -31,8 +31,13 @@ def _indexed(df: DataFrame, order_by: Sequence[str], index_col: str,
     """(indexed frame, persisted tagged frame it reads from)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Tiebreaker: a hash of the row's (hashable) columns. With a unique key it never
+    # decides anything; when one key value holds many rows it spreads them over
+    # several range partitions instead of one, and fixes their order.
+    hashable = [c for c, t in df.dtypes if not t.startswith("map")]
+    keys = [F.col(c) for c in order_by] + [F.xxhash64(*[F.col(c) for c in hashable])]
     # An explicit partition count keeps AQE from coalescing the range partitions.
-    ordered = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
                             F.monotonically_increasing_id().alias("_mid")).persist()
     counts = (tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import paging
 from tessera.sources.text import read_lines, with_line_number
@@ -67,3 +68,15 @@ def test_read_vectors_from_several_files(spark, tmp_path):
     (tmp_path / "p2.txt").write_text("5 6\n")
     got = [(r["id"], r["x"]) for r in read_vectors(spark, str(tmp_path)).orderBy("id").collect()]
     assert got == [(0, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [5.0, 6.0])]
+
+
+def test_row_index_spreads_a_hot_key(spark):
+    # a third of the rows share key 5: the hash tiebreaker spreads them over several partitions
+    rows = [(5 if i % 3 == 0 else i, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "key long, payload long")
+    idx = paging.with_row_index(df, ["key"], num_partitions=6)
+    got = idx.orderBy("idx").collect()
+    assert [r["idx"] for r in got] == list(range(900))
+    assert [r["key"] for r in got] == sorted(k for k, _ in rows)
+    sizes = idx.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 900 / 3  # the 300 rows of key 5 are not all in one partition
