@@ -1,10 +1,10 @@
 """Damped weighted Lloyd iterations (V7) and the seeded fit (V8).
 
-One Lloyd step is one pass over the points: a codegen'd projection assigns each
-point to its nearest centre, then ``groupBy(c)`` sums w·x and w with partial
-aggregation (at most k rows leave each task, whatever the cluster sizes — a
-cluster holding a third of the points costs the same shuffle as any other).
-The k new centres are the only data that comes back to the driver.
+One Lloyd step is one pass over the points: the Arrow distance kernel assigns
+each point to its nearest centre, then ``groupBy(c)`` sums w·x (ML's
+``Summarizer``) and w with partial aggregation — at most k rows leave each task,
+whatever the cluster sizes, so a cluster holding a third of the points costs the
+same shuffle as any other. Only the ≤ k aggregated rows come back to the driver.
 
 Update rule (D3, kept from the reference): the old centre takes part in the
 mean with weight ``damping`` (1 by default):
