@@ -4,7 +4,7 @@ import sys
 
 __version__ = "0.1.0"
 
-# Ship the package's Python code (pandas UDF kernels and their helpers) by value
+# Ship the package's Python code (Arrow UDF kernels and their helpers) by value
 # inside each task closure, so executors need not have it installed or on path.
 try:
     from pyspark import cloudpickle as _cloudpickle
