@@ -35,6 +35,8 @@ from . import vectors as V
 
 CORESET_SCHEMA = "part long, c int, y array<double>, w double"
 TARGET_PART_BYTES = 128 * 1024 * 1024
+# Largest caller-defined part (explicit part column) one Python worker may receive.
+MAX_PART_BYTES = 1 << 30
 
 
 def suggest_parts(n_points: int, dim: int, k: int, min_parts: int = 1,
@@ -157,6 +159,7 @@ def coreset(points: DataFrame, k: int, parts: int | None, iterations: int, seed:
                          F.transform(rounds, lambda r: uniform(F.col(id), seed, part, r)).alias("u"))
 
     if part_col:
+        check_part_sizes(points, part_col, x, k)
         prepared = with_uniforms(points, F.col(part_col).cast("long"))
         return prepared.groupBy("part").applyInArrow(coreset_kernel(int(k), int(iterations)),
                                                      CORESET_SCHEMA)
@@ -167,6 +170,25 @@ def coreset(points: DataFrame, k: int, parts: int | None, iterations: int, seed:
     return prepared.mapInArrow(coreset_partition_kernel(int(k), int(iterations)), CORESET_SCHEMA)
 
 
+def check_part_sizes(points: DataFrame, part_col: str, x: str, k: int,
+                     max_bytes: int | None = None) -> None:
+    """Refuse caller-defined parts that one Python worker could not hold.
+
+    One aggregate (per-part counts, combined map-side) finds the largest part;
+    its size in vectors and uniforms must stay under ``MAX_PART_BYTES``.
+    """
+    limit = MAX_PART_BYTES if max_bytes is None else max_bytes
+    sizes = points.groupBy(part_col).agg(F.count(F.lit(1)).alias("n"), F.max(F.size(x)).alias("dim"))
+    row = sizes.agg(F.max("n").alias("n"), F.max("dim").alias("dim")).first()
+    if row["n"] is None:
+        return
+    need = int(row["n"]) * (int(row["dim"] or 0) + int(k) + 2) * 8
+    if need > limit:
+        raise ValueError(
+            f"the largest part holds {row['n']} points (~{need} bytes), more than one worker should "
+            f"take ({limit} bytes); use parts=None (input splits) or an explicit L instead of {part_col!r}")
+
+
 def coreset_points(core: DataFrame, k: int) -> DataFrame:
     """Round-2 input: coreset rows as weighted points ``id = part·k + c, x, w``."""
     return core.select((F.col("part") * F.lit(int(k)) + F.col("c")).alias("id"),

@@ -117,3 +117,11 @@ def test_fit_frame_matches_fit(blobs):
     assert [list(r["y"]) for r in frame] == kmeans.fit(df, 3, 2, seed=6)
     seeds0 = kmeans.fit_frame(df, 3, 0, seed=6).orderBy("c").collect()
     assert [list(r["y"]) for r in seeds0] == kmeans.fit(df, 3, 0, seed=6)
+
+
+def test_oversized_caller_parts_are_refused(blobs, monkeypatch):
+    df, _ = blobs
+    parts = df.withColumn("part", F.lit(0))
+    monkeypatch.setattr(kmedian, "MAX_PART_BYTES", 1000)  # 120 points x (2 + 3 + 2) x 8 B > 1000 B
+    with pytest.raises(ValueError):
+        kmedian.coreset(parts, 3, 1, 1, seed=1, part_col="part")
