@@ -4,5 +4,6 @@ Deliberately empty: the reference has no streaming operator (no watermarks,
 windows, state or late data), so none is built here. The batch operators are
 plain DataFrame transformations; ``words.word_count(df, "direct")`` over a
 ``spark.readStream.text(...)`` frame with ``doc_id`` added is already a valid
-streaming aggregation (complete output mode) without extra code.
+streaming aggregation (complete output mode) without extra code
+(``tests/test_streaming.py``).
 """
