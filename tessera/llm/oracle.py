@@ -15,4 +15,32 @@ SELECT conv_id, count(*) AS n_turns,
 FROM m GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op9_chat_formatting": OP9}
+OP8 = r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d),
+win AS (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8),
+win2 AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 7], ' ')) AS n FROM win),
+rep AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM win2 WHERE n > 1),
+cov AS (SELECT doc_id, sum(CASE WHEN after IS NULL THEN 8 ELSE least(8, after - i) END)::BIGINT AS n FROM rep GROUP BY doc_id),
+ln AS (SELECT doc_id, source, hash(text) AS th, unnest(string_split(text, chr(10))) AS line FROM d),
+ln2 AS (SELECT *, lower(regexp_replace(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')), '\p{Nd}+', '0', 'g')) AS norm
+        FROM ln WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+hosts AS (SELECT source, count(DISTINCT hash(text)) AS n FROM d GROUP BY source),
+often AS (SELECT l.source, l.norm FROM ln2 l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
+          GROUP BY l.source, l.norm, h.n HAVING count(DISTINCT th) > greatest(10, 0.1 * h.n)),
+gone AS (SELECT doc_id, sum(len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')))::BIGINT AS n
+         FROM ln2 JOIN often ON ln2.norm = often.norm AND ln2.source IS NOT DISTINCT FROM often.source GROUP BY doc_id),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM ln2 GROUP BY doc_id),
+base AS (
+  SELECT w.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(gone.n, 0)::BIGINT AS n_removed_words
+  FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN gone USING (doc_id))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
+         AND n_words - n_removed_words >= 20 AND n_words - n_removed_words >= 0.5 * n_words AS kept
+FROM base
+"""
+
+SQL: dict[str, str] = {"op8_quality_rules": OP8, "op9_chat_formatting": OP9}

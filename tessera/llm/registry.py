@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat
+from . import chat, quality
 from .common import table
 from .oracle import SQL  # noqa: F401
 
@@ -32,6 +32,13 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                      "n_repeat_words", "base_failed", "kept", F.col("n_gone").alias("n_removed_words"))
+
+
 QUERIES: dict[str, QueryFn] = {
+    "op8_quality_rules": op8_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,
 }
