@@ -43,4 +43,22 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 FROM base
 """
 
-SQL: dict[str, str] = {"op8_quality_rules": OP8, "op9_chat_formatting": OP9}
+OP7 = r"""
+WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+ln AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS idx FROM d),
+st AS (SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS worded FROM ln),
+st2 AS (SELECT *, greatest(1, sum(CASE WHEN worded THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY idx)) AS pos FROM st),
+w AS (SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM st2 WHERE worded),
+win AS (SELECT doc_id, pos, t AS a, lead(t) OVER o AS b, lead(t, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+rep AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) AS nth FROM win WHERE c IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS pos FROM rep WHERE nth > 1),
+n_gone AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+n_lines AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id),
+rest AS (SELECT st2.doc_id, string_agg(line, chr(10) ORDER BY idx) AS text FROM st2 ANTI JOIN gone
+         ON st2.doc_id = gone.doc_id AND st2.pos = gone.pos GROUP BY st2.doc_id)
+SELECT d.doc_id, coalesce(n_lines.n, 0) AS n_lines, coalesce(n_gone.n, 0) AS n_deleted,
+       sha256(CASE WHEN n_gone.n IS NULL THEN coalesce(d.text, '') ELSE coalesce(rest.text, '') END) AS text_sha256
+FROM d LEFT JOIN n_lines USING (doc_id) LEFT JOIN n_gone USING (doc_id) LEFT JOIN rest USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op7_line_dedup": OP7, "op8_quality_rules": OP8, "op9_chat_formatting": OP9}
