@@ -84,7 +84,7 @@ def deleted_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text:
 
 def dedup_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with later repeated runs taken out of ``text``, and ``n_lines``, ``n_deleted`` (lines with a word)."""
-    gone = written(deleted_lines(docs, run, id_col, text))
+    gone = deleted_lines(docs, run, id_col, text).hint("merge")  # one plan at every size
     out = docs.withColumn("_k", row_key(text)).join(
         gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left")
     out = out.withColumn("_lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
