@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, lines, quality
+from . import bpe, chat, lines, quality, simhash
 from .common import table
 from .oracle import SQL  # noqa: F401
 
@@ -46,6 +46,12 @@ def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        F.col("first.id").alias("component_id"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
@@ -59,6 +65,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op1_bpe_encoding": op1_bpe_encoding,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,
