@@ -61,4 +61,23 @@ SELECT d.doc_id, coalesce(n_lines.n, 0) AS n_lines, coalesce(n_gone.n, 0) AS n_d
 FROM d LEFT JOIN n_lines USING (doc_id) LEFT JOIN n_gone USING (doc_id) LEFT JOIN rest USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op7_line_dedup": OP7, "op8_quality_rules": OP8, "op9_chat_formatting": OP9}
+# lower() alone would also fold letters beyond A-Z
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP2 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+it AS (SELECT item_id, w, least(13, len(w)) AS m FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+iw AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS win
+       FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM it)),
+sizes AS (SELECT DISTINCT m FROM iw),
+dw AS (SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS win
+       FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d CROSS JOIN sizes WHERE len(w) >= m)),
+hit AS (SELECT doc_id, i, dw.m, item_id FROM dw JOIN iw ON dw.m = iw.m AND dw.win = iw.win),
+words AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS place FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n > 0 AND 20 * words.n >= len(w), false) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op2_decontamination": OP2, "op7_line_dedup": OP7, "op8_quality_rules": OP8, "op9_chat_formatting": OP9}

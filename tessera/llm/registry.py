@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, lines, quality, simhash
+from . import bpe, chat, decontam, lines, quality, simhash
 from .common import table
 from .oracle import SQL  # noqa: F401
 
@@ -46,6 +46,13 @@ def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -65,6 +72,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op1_bpe_encoding": op1_bpe_encoding,
+    "op2_decontamination": op2_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
