@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, lines, quality, simhash
+from . import bpe, chat, decontam, html, lines, quality, simhash
 from .common import table
 from .oracle import SQL  # noqa: F401
 
@@ -59,6 +59,11 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("first.id").alias("component_id"))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_deleted", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
@@ -74,6 +79,7 @@ QUERIES: dict[str, QueryFn] = {
     "op1_bpe_encoding": op1_bpe_encoding,
     "op2_decontamination": op2_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op6_html_extraction": op6_html_extraction,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,

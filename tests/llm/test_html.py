@@ -1,0 +1,59 @@
+import html as H
+import re
+
+from tessera.llm import html
+
+
+def article(page):
+    body = re.search(r"<article>(.*)</article>", page, re.S)[1]
+    parts = (" ".join(H.unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", body))
+    return "\n".join(x for x in parts if x)
+
+
+def test_query_gives_the_articles_of_the_driver_pages(spark, sf):
+    from tessera.llm.registry import QUERIES
+
+    want = {r.page_id: article(r.html) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = QUERIES["op6_html_extraction"](spark, sf).collect()
+    assert len(got) == len(want)
+    assert all(r.text == want[r.page_id] and r.n_chars == len(r.text) for r in got)
+
+
+PAGE = """<html><body><div class="top-menu"><ul><li>Menu one<li>Menu two</ul></div>
+<div class="cookie-notice">We use cookies, many of them, for all that you do here and there</div>
+<div class="wrap has-sidebar id{i}"><div class="story"><h2>Title {i}</h2><p>First &amp; foremost&nbsp;text {i},
+ with   <b>bold</b>, a <a href="/x">link</a> &#x41;&lt;b&gt;<br>and more of it.<p>Second paragraph {i} is here too.
+<ul><li>point one<li>point two</ul><form><input><p>sign up now</p></form><script>var x = "<p>no</p>";</script></div>
+<div class="sidebar">Other news that is long enough to matter here, and more of it, and more</div></div>
+<div id="comments"><p>I am a reader and have a lot to say about this, far more than the story has itself, you know.</p></div>
+<footer>Imprint</footer></body></html>"""
+
+
+def text_of(i):
+    return f"Title {i}\nFirst & foremost text {i}, with bold, a link A<b> and more of it.\nSecond paragraph {i} is here too.\npoint one\npoint two"
+
+
+def test_menus_notices_forms_and_comments_are_left_out(spark):
+    rows = [(i, "https://www.Example.org/p%d" % i, PAGE.replace("{i}", str(i))) for i in range(5)]
+    rows += [(10, "http://m.example.org/odd", "<p>An odd page</p> tail"), (11, None, None), (12, None, ""), (13, "x", "plain &lt; text"),
+             (14, "http://a.b", "<nav>only a menu</nav>"), (15, "http://a.b", "<div>" * 30000 + "deep" + "<p>x" * 10), (0,) + rows[0][1:]]
+    df = spark.createDataFrame([(*r, 1, "y") for r in rows], "page_id long, url string, html string, path int, text string")
+    out = html.main_text(df)
+    assert out.columns == ["page_id", "url", "html", "path", "text"]
+    got = sorted((r.page_id, r.text) for r in out.collect())
+    want = [(i, text_of(i)) for i in (0, *range(5))] + [
+        (10, "An odd page\ntail"), (11, ""), (12, ""), (13, "plain < text"), (14, ""), (15, "deep\n" + "\n".join("x" * 10))]
+    assert got == want
+    assert html.main_text(df.limit(0)).count() == 0
+
+
+def test_the_host_decides_over_a_page(spark):
+    # on one page the comments, under a class that says nothing, are longer than the story
+    def page(story, talk):
+        return f'<div class="a1">{"".join(f"<p>{s}</p>" for s in story)}</div><div class="b2">{"".join(f"<p>{s}</p>" for s in talk)}</div>'
+    story = ["The story goes on and on, with many words in it."] * 3
+    rows = [(i, "http://h.org/%d" % i, page(story, ["short"])) for i in range(9)] + [(9, "http://h.org/9", page(story[:2], ["much longer talk " * 4] * 3))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.main_text(df).collect()}
+    assert got[9] == "\n".join(story[:2])
+    assert html.page_text(rows[9][2], []) != got[9]
