@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, html, lines, quality, simhash
+from . import bpe, chat, decontam, html, lines, quality, simhash, toxicity
 from .common import table
 from .oracle import SQL  # noqa: F401
 
@@ -59,6 +59,16 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("first.id").alias("component_id"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    code = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_id"), F.col("toxic").alias("label"))
+    labelled = docs.filter(code % 5 != 0).join(labels, F.col("doc_id") == F.col("_id"))
+    model = toxicity.fit(labelled.select("text", "label", "doc_id"), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)))
+    return model.score(docs).select("doc_id", (code % 5 == 0).alias("held_out"), "score",
+                                    (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
@@ -79,6 +89,7 @@ QUERIES: dict[str, QueryFn] = {
     "op1_bpe_encoding": op1_bpe_encoding,
     "op2_decontamination": op2_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_toxicity": op4_toxicity,
     "op6_html_extraction": op6_html_extraction,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
