@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, html, lines, quality, simhash, toxicity
+from . import bpe, chat, decontam, html, lines, quality, simhash, toxicity, wordpiece
 from .common import table
 from .oracle import SQL  # noqa: F401
 
@@ -69,6 +69,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path()).drop("text")
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
@@ -90,6 +94,7 @@ QUERIES: dict[str, QueryFn] = {
     "op2_decontamination": op2_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_token_counts": op5_token_counts,
     "op6_html_extraction": op6_html_extraction,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
