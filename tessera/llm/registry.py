@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, html, lines, quality, simhash, toxicity, wordpiece
+from . import bpe, chat, decontam, html, lines, quality, simhash, suffixes, toxicity, wordpiece
 from .common import table
-from .oracle import SQL  # noqa: F401
+from .oracle import SQL as _SQL
+from .vocab import tokenizer_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -32,12 +34,6 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
-def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = bpe.encode_decode(docs, tokenizer_path())
@@ -89,6 +85,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "n_repeat_words", "base_failed", "kept", F.col("n_gone").alias("n_removed_words"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return out.select("doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_bpe_encoding": op1_bpe_encoding,
     "op2_decontamination": op2_decontamination,
@@ -99,4 +102,8 @@ QUERIES: dict[str, QueryFn] = {
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_suffix_dedup": op10_suffix_dedup,
+    "pipeline": corpus_pipeline.run,
 }
+
+SQL: dict[str, str] = {**_SQL, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}

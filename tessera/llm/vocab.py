@@ -89,3 +89,10 @@ class Vocabulary:
             for token, i in table.items():
                 out[i] = token
         return out
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Place of one of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -28,7 +28,8 @@ def test_counts_equal_greedy_matching():
 
 
 def test_query_on_the_driver_table(spark, sf):
-    from tessera.llm.registry import QUERIES, tokenizer_path
+    from tessera.llm.registry import QUERIES
+    from tessera.llm.vocab import tokenizer_path
 
     vocab = Vocabulary(open(tokenizer_path(), "rb").read())
     tokens = {symbols(t) for t in vocab.ids}
@@ -42,7 +43,7 @@ def test_query_on_the_driver_table(spark, sf):
 
 
 def test_edge_rows(spark, docs_of):
-    from tessera.llm.registry import tokenizer_path
+    from tessera.llm.vocab import tokenizer_path
     from tessera.llm.wordpiece import token_counts
 
     docs = docs_of([(1, None), (2, ""), (3, " \n"), (4, "the"), (4, "the"), (5, "x" * 5000)])
