@@ -84,8 +84,9 @@ def deleted_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text:
 
 def dedup_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with later repeated runs taken out of ``text``, and ``n_lines``, ``n_deleted`` (lines with a word)."""
-    gone = deleted_lines(docs, run, id_col, text).hint("merge")  # one plan at every size
-    out = docs.withColumn("_k", row_key(text)).join(
+    gone = deleted_lines(docs, run, id_col, text).withColumnRenamed("gone", "_gone").hint("merge")  # one plan at every size
+    keep = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_deleted")])
+    out = keep.withColumn("_k", row_key(text)).join(
         gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left")
     out = out.withColumn("_lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
     # a line's number is that of the last line with a word up to it: a running count by position lists
@@ -94,10 +95,10 @@ def dedup_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text: s
     # stretches of \n-split lines: from one line with a word up to the next
     stretch = F.concat(F.array(F.lit(0)), F.expr("slice(_worded, 2, greatest(size(_worded) - 1, 0))"), F.array(F.size("_lines")))
     out = out.withColumn("_from", F.when(F.size("_worded") > 0, stretch))
-    out = out.withColumn("_stay", F.array_except(F.sequence(F.lit(1), F.size("_worded")), F.col("gone")))
+    out = out.withColumn("_stay", F.array_except(F.sequence(F.lit(1), F.size("_worded")), F.col("_gone")))
     rest = F.array_join(F.flatten(F.transform("_stay", lambda p: F.slice(
         F.col("_lines"), F.col("_from")[p - 1] + 1, F.col("_from")[p] - F.col("_from")[p - 1]))), "\n")
     out = out.withColumns({"n_lines": F.size("_worded").cast("long"),
-                           "n_deleted": F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long"),
-                           text: F.when(F.col("gone").isNull(), F.col(text)).otherwise(rest)})
-    return out.select(*docs.columns, "n_lines", "n_deleted")
+                           "n_deleted": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long"),
+                           text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(rest)})
+    return out.select(*keep.columns, "n_lines", "n_deleted")

@@ -137,7 +137,14 @@ def judge(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: s
 
 def apply_quality(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: str = "text", **limits) -> DataFrame:
     """The documents kept, without their removed lines; the columns of ``docs``."""
-    kept = judge(docs, id_col, host, text, **limits).filter("kept").withColumn("_all", lines_of(F.col(text)))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), F.col("gone"))
+    verdict = judge(docs.select(id_col, host, text), id_col, host, text, **limits).select(
+        F.col(id_col).alias("_id"), F.col(host).alias("_host"), row_key(text).alias("_key"), "kept", "gone")
+    # written, so that the filter is on a stored column and not on all that leads to it
+    verdict = written(verdict).filter("kept").select("_id", "_host", "_key", "gone").dropDuplicates(["_id", "_host", "_key"])
+    out = docs.withColumn("_k", row_key(text)).join(
+        verdict.withColumnRenamed("gone", "_gone").hint("merge"),
+        F.col(id_col).eqNullSafe(F.col("_id")) & F.col(host).eqNullSafe(F.col("_host")) & (F.col("_k") == F.col("_key")))
+    out = out.withColumn("_all", lines_of(F.col(text)))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), F.col("_gone"))
     rest = F.array_join(F.transform(left, lambda i: F.col("_all")[i]), "\n")
-    return kept.withColumn(text, F.when(F.col("gone").isNull(), F.col(text)).otherwise(rest)).select(*docs.columns)
+    return out.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(rest)).select(*docs.columns)
