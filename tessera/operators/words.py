@@ -7,16 +7,14 @@ in their physical plan:
 ``direct``     tokens → group by word. Catalyst's partial ``HashAggregate`` combines
                each task's tokens before the one shuffle, so a hot word sends at
                most one row per map task.
-``salted``     tokens → group by (word, salt) → group by word. ``salt`` is a hash
-               of (doc_id, word) in ``[0, K)``: two shuffles; a hot word is spread
-               over K reducers in the first.
-``partition``  an explicit per-partition combiner (``mapInArrow``: split, count and
-               fold in Arrow C++) emits one row per distinct word of the input
-               partition, then one shuffle.
-``grouped``    per-document counts (A7) → group by word and add them up. The
-               reference gathers all values of a key before folding; a gathered
-               list per word is unbounded for a hot word, so here the fold is a
-               ``sum`` that Spark also combines map-side.
+``salted``     tokens → group by (word, salt) → group by word. The salt is the
+               task's number modulo K, so tokens are still combined inside a task
+               and the rows of a hot word go to K reducers in the first shuffle.
+``partition``  documents dealt to K partitions, then ``direct``: the combiner per
+               partition is the engine's own partial aggregate.
+``grouped``    per-document counts (A7) → group by word and add them up. A document
+               is one row, so its words are counted inside the row and only the
+               second step shuffles.
 """
 
 from __future__ import annotations
@@ -24,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tokens import WORD_SEPARATOR, split_words, word_length
+from ..functions.tokens import split_words, word_length
 
 VARIANTS = ("direct", "salted", "partition", "grouped")
 
@@ -35,105 +33,35 @@ def tokens(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
 
 
 def word_count_per_doc(docs: DataFrame) -> DataFrame:
-    """``doc_id, word, n`` — occurrences of each word inside each document."""
-    return tokens(docs).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    """``doc_id, word, n`` — occurrences of each word inside each document (row).
 
-
-def salt(doc_id: str = "doc_id", word: str = "word", buckets: int = 8):
-    """P5: repeatable salt in ``[0, buckets)`` (same value on task retry)."""
-    return F.pmod(F.xxhash64(F.col(doc_id), F.col(word)), F.lit(buckets)).cast("int")
-
-
-# Per-partition combiner working set: texts are tokenised in slices of about
-# this many characters, and partial counts are folded every FOLD_EVERY slices.
-SLICE_CHARS = 8 << 20
-FOLD_EVERY = 16
+    The row's tokens are sorted and cut into runs, all inside the row: no shuffle.
+    """
+    words = docs.select("doc_id", F.array_sort(split_words("text")).alias("w"))
+    starts = words.select("doc_id", "w", F.filter(
+        F.sequence(F.lit(0), F.size("w") - 1),
+        lambda i: (i == 0) | (F.col("w")[i] != F.col("w")[F.greatest(i - 1, F.lit(0))])).alias("s"))
+    ends = F.concat(F.expr("slice(s, 2, size(s))"), F.array(F.size("w")))
+    runs = starts.select("doc_id", "w", F.arrays_zip("s", ends.alias("e")).alias("runs"))
+    return (runs.select("doc_id", F.explode(F.transform("runs", lambda r: F.struct(
+        F.col("w")[r["s"]].alias("word"), (r["e"] - r["s"]).cast("long").alias("n")))).alias("r"))
+        .select("doc_id", "r.word", "r.n"))
 
 
-def _combine_partition(batches):
-    """Per-partition combiner (A10a): count the words of every text in the partition.
-
-    Memory is bounded by one slice of text plus the partition's vocabulary, not
-    by the Arrow batch (batches are sized in rows, and texts can be long).
-    """
-    import numpy as np
-    import pandas as pd
-
-    parts: list = []
-
-    def fold():
-        merged = pd.concat(parts).groupby(level=0, sort=False).sum()
-        parts.clear()
-        parts.append(merged)
-
-    for pdf in batches:
-        texts = pdf["text"].dropna()
-        if texts.empty:
-            continue
-        ends = np.cumsum(texts.str.len().to_numpy()) // SLICE_CHARS
-        for _, piece in texts.groupby(ends, sort=True):
-            words = piece.str.split(WORD_SEPARATOR, regex=False).explode()
-            parts.append(words.value_counts(sort=False))
-            if len(parts) >= FOLD_EVERY:
-                fold()
-    if parts:
-        fold()
-        total = parts[0]
-        yield pd.DataFrame({"word": total.index.astype(object), "n": total.to_numpy(dtype="int64")})
-
-
-def _combine_partition_arrow(batches):
-    """Per-partition combiner (A10a) on Arrow arrays: split, count and fold in Arrow C++.
-
-    ``split_pattern`` splits on the exact separator (empty tokens kept, as in
-    the reference). Texts are processed in slices of about ``SLICE_CHARS``
-    characters and partial counts are folded every ``FOLD_EVERY`` slices, so
-    memory is one slice plus the partition's vocabulary.
-    """
-    import numpy as np
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    parts: list = []
-
-    def fold():
-        merged = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")])
-        parts.clear()
-        parts.append(merged.rename_columns(["word", "n"]))
-
-    for rb in batches:
-        text = rb.column(0)
-        if len(text) == 0:
-            continue
-        sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
-        bounds = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_CHARS)) + 1
-        start = 0
-        for end in [*bounds.tolist(), len(text)]:
-            if end <= start:
-                continue
-            piece = text.slice(start, end - start)
-            start = end
-            words = pc.list_flatten(pc.split_pattern(piece, pattern=WORD_SEPARATOR))
-            if len(words) == 0:
-                continue
-            vc = pc.value_counts(words)
-            parts.append(pa.table({"word": vc.field("values"), "n": vc.field("counts")}))
-            if len(parts) >= FOLD_EVERY:
-                fold()
-    if parts:
-        fold()
-        yield from parts[0].to_batches()
+def salt(buckets: int = 8):
+    """P5: the task's number modulo ``buckets``; a retried task has the same number."""
+    return F.pmod(F.spark_partition_id(), F.lit(buckets)).cast("int")
 
 
 def word_count(docs: DataFrame, variant: str = "direct", buckets: int = 8,
                partitions: int | None = None) -> DataFrame:
     """``word, n`` over all documents.
 
-    ``partitions`` (R1, the reference's K) first hash-partitions the documents
-    by ``doc_id`` into that many partitions: it sets the number of
-    per-partition combiners of the ``partition`` variant and keeps the
-    per-document step of ``grouped`` free of a second shuffle.
+    ``partitions`` (R1, K) first hash-partitions the documents by ``doc_id`` into that many
+    partitions; ``partition`` always does, into ``buckets`` of them where it is not given.
     """
+    if variant == "partition":
+        partitions, variant = partitions or buckets, "direct"
     if partitions:
         docs = docs.repartition(int(partitions), "doc_id")
     if variant == "direct":
@@ -142,13 +70,6 @@ def word_count(docs: DataFrame, variant: str = "direct", buckets: int = 8,
         first = (tokens(docs).withColumn("salt", salt(buckets=buckets))
                  .groupBy("word", "salt").agg(F.count(F.lit(1)).alias("n")))
         return first.groupBy("word").agg(F.sum("n").alias("n"))
-    if variant == "partition":
-        text = docs.select("text")
-        if hasattr(text, "mapInArrow"):
-            partial = text.mapInArrow(_combine_partition_arrow, "word string, n long")
-        else:  # pragma: no cover - PySpark without mapInArrow
-            partial = text.mapInPandas(_combine_partition, "word string, n long")
-        return partial.groupBy("word").agg(F.sum("n").alias("n"))
     if variant == "grouped":
         return word_count_per_doc(docs).groupBy("word").agg(F.sum("n").alias("n"))
     raise ValueError(f"unknown variant {variant!r}; expected one of {VARIANTS}")
@@ -172,9 +93,3 @@ def document_count(docs: DataFrame) -> DataFrame:
 def mean_distinct_word_length(word_counts: DataFrame) -> DataFrame:
     """A13 (P8): mean code-point length of the distinct words; each word weighs 1."""
     return word_counts.agg(F.avg(word_length("word")).alias("avg_len"))
-
-
-def word_stats(docs: DataFrame, variant: str = "direct", buckets: int = 8) -> DataFrame:
-    """Distinct words and their mean length in one aggregate over a word count."""
-    wc = word_count(docs, variant, buckets)
-    return wc.agg(F.count(F.lit(1)).alias("n_words"), F.avg(word_length("word")).alias("avg_len"))

@@ -91,7 +91,7 @@ def doc_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wc_avg_len(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wc = words.word_count(tables.documents(spark, sf_dir), "partition", SALT_BUCKETS)
+    wc = words.word_count(tables.documents(spark, sf_dir))
     return words.mean_distinct_word_length(wc).select(_r(F.col("avg_len")).alias("avg_len"))
 
 

@@ -2,18 +2,6 @@ from tessera.sources import tables
 from tessera.sources.text import parse_numbers
 
 
-def test_spread_only_when_narrow(spark, tmp_path):
-    path = str(tmp_path / "t.parquet")
-    spark.range(1000).selectExpr("id AS doc_id", "cast(id AS string) AS text").coalesce(1).write.parquet(path)
-    narrow = spark.read.parquet(path)
-    assert narrow.rdd.getNumPartitions() == 1
-    spread = tables.spread(narrow, "doc_id", min_partitions=4)
-    assert spread.rdd.getNumPartitions() == 4
-    assert sorted(r["doc_id"] for r in spread.collect()) == list(range(1000))
-    wide = spark.range(1000).repartition(6)
-    assert tables.spread(wide, "id", min_partitions=4) is wide  # no shuffle added
-
-
 def test_tolerant_number_parse(spark):
     lines = spark.createDataFrame([(" 1.5 ",), ("x",), ("",), ("2e3",), ("\t-4\r",)], "value string")
     got = sorted(r["value"] for r in parse_numbers(lines, strict=False).collect())
