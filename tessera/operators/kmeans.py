@@ -74,11 +74,12 @@ def lloyd_step(points: DataFrame, centers, x: str = "x", weight: str | None = No
 
 def fit(points: DataFrame, k: int, iterations: int, seed: int, x: str = "x", id: str = "id",
         weight: str | None = None, weighted_seeding: bool = False, damping: float = 1.0,
-        persist: bool = True) -> list[list[float]]:
+        persist: bool = False) -> list[list[float]]:
     """V8: seeding (V6) then exactly ``iterations`` Lloyd steps; no convergence test.
 
     Seeding uses unit weights unless ``weighted_seeding`` (D2); the Lloyd steps
-    use ``weight``. 0 iterations returns the seeds.
+    use ``weight``. 0 iterations returns the seeds. ``persist`` keeps the point set on the
+    executors between rounds; without it every round reads its source.
     """
     data = points.select(id, x, *([weight] if weight else []))
     if persist:

@@ -13,72 +13,66 @@ Round 2  the L·k weighted centres stay a DataFrame and go through the distribut
          fit (V8); they are never gathered into one task.
 Round 3  the mean distance of every point to the final centres (one aggregate).
 
-The kernel draws its random numbers from uniforms computed JVM-side from
-md5(id:seed:part:round), so round 1 is repeatable on retry and reproducible in
-SQL. Memory: one part is one Arrow table in one Python worker, so choose
-L ≥ n·(dim + k)·8 bytes / (target part size); :func:`suggest_parts` does this.
+The kernel draws its random numbers from md5(id:seed:part:round) for the round in hand, so
+round 1 is repeatable on retry and reproducible in SQL, and points cross a shuffle without
+them. Memory: one part is one Arrow table in one Python worker, so choose
+L ≥ n·(dim + k)·8 bytes / (target part size); :func:`suggest_parts` does this. With an explicit
+part column the caller answers for the sizes; :func:`hashed_part` makes an even one.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.random import uniform
+from ..functions.random import uniform, uniform_py
+from ..functions.vector import distance_matrix, matrix
+from ..session import written
 from . import kmeans
 from . import vectors as V
 
 CORESET_SCHEMA = "part long, c int, y array<double>, w double"
+CORESET_ARROW = pa.schema([("part", pa.int64()), ("c", pa.int32()), ("y", pa.list_(pa.float64())), ("w", pa.float64())])
 TARGET_PART_BYTES = 128 * 1024 * 1024
-# Largest caller-defined part (explicit part column) one Python worker may receive.
-MAX_PART_BYTES = 1 << 30
 
 
 def suggest_parts(n_points: int, dim: int, k: int, min_parts: int = 1,
                   target_bytes: int = TARGET_PART_BYTES) -> int:
-    """Smallest L whose parts hold about ``target_bytes`` of vectors and uniforms."""
+    """Smallest L whose parts hold about ``target_bytes`` of vectors and k distances."""
     per_row = (dim + k + 2) * 8
     return max(int(min_parts), int(math.ceil(n_points * per_row / target_bytes)))
 
 
 # --------------------------------------------------------------------------- numpy kernel
 
-def _dist_to(X: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Distances of all rows of X to y; squared differences added in coordinate order."""
-    acc = np.zeros(X.shape[0])
-    for j in range(X.shape[1]):
-        diff = X[:, j] - y[j]
-        acc += diff * diff
-    return np.sqrt(acc)
-
-
 def _assign(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nearest centre per row (ties → lowest index) and its distance."""
-    D = np.stack([_dist_to(X, c) for c in C])
+    D = distance_matrix(X, C)
     a = np.argmin(D, axis=0)
     return a, D[a, np.arange(X.shape[0])]
 
 
-def _cluster_part(X: np.ndarray, U: np.ndarray, k: int, iterations: int) -> tuple[np.ndarray, np.ndarray]:
-    """Seeding + damped Lloyd + final weights for one part. Rows must be in id order."""
+def _cluster_part(X: np.ndarray, u: Callable[[int], np.ndarray], k: int, iterations: int) -> tuple[np.ndarray, np.ndarray]:
+    """Seeding + damped Lloyd + final weights for one part. Rows must be in id order; ``u(r)`` are
+    their uniforms of round r."""
     n = X.shape[0]
-    first = int(np.argmax(np.log(U[:, 0])))  # uniform draw; ties → lowest id
+    first = int(np.argmax(np.log(u(0))))  # uniform draw; ties → lowest id
     C = [X[first]]
-    d = _dist_to(X, X[first])
+    d = distance_matrix(X, X[first:first + 1])[0]
     for r in range(1, k):
         cand = d > 0
         if not cand.any():
             break
         key = np.full(n, -np.inf)
-        key[cand] = np.log(U[cand, r]) / d[cand]
+        key[cand] = np.log(u(r)[cand]) / d[cand]
         i = int(np.argmax(key))
         C.append(X[i])
-        d = np.minimum(d, _dist_to(X, X[i]))
+        d = np.minimum(d, distance_matrix(X, X[i:i + 1])[0])
     C = np.array(C)
     for _ in range(iterations):
         a, _ = _assign(X, C)
@@ -91,27 +85,18 @@ def _cluster_part(X: np.ndarray, U: np.ndarray, k: int, iterations: int) -> tupl
     return C, w
 
 
-def _flat_matrix(col) -> np.ndarray:
-    """An Arrow list column of equal-length numeric lists as an (n, d) float64 matrix."""
-    n = len(col)
-    if n == 0:
-        return np.empty((0, 0))
-    flat = pc.list_flatten(col).to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    if flat.size % n:
-        raise ValueError("mixed vector dimensions inside a part")
-    return flat.reshape(n, flat.size // n)
-
-
-def _cluster_table(table: pa.Table, k: int, iterations: int) -> pa.Table:
-    """Kernel over one part's rows ``part, id, x, u`` → ``part, c, y, w``."""
-    X = _flat_matrix(table.column("x").combine_chunks())
-    U = _flat_matrix(table.column("u").combine_chunks())
-    ids = table.column("id").to_numpy()
+def _cluster_table(table: pa.Table, k: int, iterations: int, seed: int) -> pa.Table:
+    """Kernel over one part's rows ``part, id, x`` → ``part, c, y, w``; NULL vectors are ignored."""
+    X, valid = matrix(table.column("x"))
+    ids = table.column("id").to_numpy()[valid]
+    if len(X) == 0:
+        return CORESET_ARROW.empty_table()
+    part = int(table.column("part")[0].as_py())
     # total, repeatable row order: id, then the coordinates (rows arrive from a
     # shuffle in fetch order; only exact copies remain tied, and they are equal)
     order = np.lexsort(tuple(X[:, j] for j in range(X.shape[1] - 1, -1, -1)) + (ids,))
-    C, w = _cluster_part(X[order], U[order], k, iterations)
-    part = int(table.column("part")[0].as_py())
+    ids = ids[order].tolist()
+    C, w = _cluster_part(X[order], lambda r: np.array([uniform_py(i, seed, part, r) for i in ids]), k, iterations)
     kc, dim = C.shape
     offsets = pa.array(np.arange(0, (kc + 1) * dim, dim, dtype=np.int32))
     return pa.table({
@@ -122,19 +107,19 @@ def _cluster_table(table: pa.Table, k: int, iterations: int) -> pa.Table:
     })
 
 
-def coreset_kernel(k: int, iterations: int):
+def coreset_kernel(k: int, iterations: int, seed: int):
     """Grouped form (``applyInArrow``): one call per part group."""
     def run(table: pa.Table) -> pa.Table:
-        return _cluster_table(table, k, iterations)
+        return _cluster_table(table, k, iterations, seed)
     return run
 
 
-def coreset_partition_kernel(k: int, iterations: int):
+def coreset_partition_kernel(k: int, iterations: int, seed: int):
     """Partition form (``mapInArrow``): the record batches of one partition are one part."""
     def run(batches):
         kept = [b for b in batches if b.num_rows]
         if kept:
-            yield from _cluster_table(pa.Table.from_batches(kept), k, iterations).to_batches()
+            yield from _cluster_table(pa.Table.from_batches(kept), k, iterations, seed).to_batches()
     return run
 
 
@@ -152,41 +137,23 @@ def coreset(points: DataFrame, k: int, parts: int | None, iterations: int, seed:
     large input. ``part_col`` names an existing part column instead (its groups
     are the parts, whatever their sizes).
     """
-    rounds = F.sequence(F.lit(0), F.lit(int(k) - 1))
+    args = int(k), int(iterations), int(seed)
 
-    def with_uniforms(df: DataFrame, part) -> DataFrame:
-        return df.select(part.alias("part"), F.col(id).alias("id"), F.col(x).alias("x"),
-                         F.transform(rounds, lambda r: uniform(F.col(id), seed, part, r)).alias("u"))
+    def prepared(df: DataFrame, part) -> DataFrame:
+        return df.select(part.alias("part"), F.col(id).alias("id"), F.col(x).alias("x"))
 
     if part_col:
-        check_part_sizes(points, part_col, x, k)
-        prepared = with_uniforms(points, F.col(part_col).cast("long"))
-        return prepared.groupBy("part").applyInArrow(coreset_kernel(int(k), int(iterations)),
-                                                     CORESET_SCHEMA)
+        return (prepared(points, F.col(part_col).cast("long")).groupBy("part")
+                .applyInArrow(coreset_kernel(*args), CORESET_SCHEMA))
     dealt = points.select(id, x)
     if parts is not None:
         dealt = dealt.repartition(int(parts))
-    prepared = with_uniforms(dealt, F.spark_partition_id().cast("long"))
-    return prepared.mapInArrow(coreset_partition_kernel(int(k), int(iterations)), CORESET_SCHEMA)
-
+    return prepared(dealt, F.spark_partition_id().cast("long")).mapInArrow(coreset_partition_kernel(*args), CORESET_SCHEMA)
 
-def check_part_sizes(points: DataFrame, part_col: str, x: str, k: int,
-                     max_bytes: int | None = None) -> None:
-    """Refuse caller-defined parts that one Python worker could not hold.
 
-    One aggregate (per-part counts, combined map-side) finds the largest part;
-    its size in vectors and uniforms must stay under ``MAX_PART_BYTES``.
-    """
-    limit = MAX_PART_BYTES if max_bytes is None else max_bytes
-    sizes = points.groupBy(part_col).agg(F.count(F.lit(1)).alias("n"), F.max(F.size(x)).alias("dim"))
-    row = sizes.agg(F.max("n").alias("n"), F.max("dim").alias("dim")).first()
-    if row["n"] is None:
-        return
-    need = int(row["n"]) * (int(row["dim"] or 0) + int(k) + 2) * 8
-    if need > limit:
-        raise ValueError(
-            f"the largest part holds {row['n']} points (~{need} bytes), more than one worker should "
-            f"take ({limit} bytes); use parts=None (input splits) or an explicit L instead of {part_col!r}")
+def hashed_part(id: str, parts: int, seed: int) -> Column:
+    """Part of a point in ``[0, parts)``: a portable hash of its id, so the parts are even whatever the ids."""
+    return F.least(F.floor(uniform(F.col(id), seed) * F.lit(int(parts))), F.lit(int(parts) - 1)).cast("long")
 
 
 def coreset_points(core: DataFrame, k: int) -> DataFrame:
@@ -195,29 +162,17 @@ def coreset_points(core: DataFrame, k: int) -> DataFrame:
                        F.col("y").alias("x"), F.col("w"))
 
 
-def round_two_points(core: DataFrame, k: int) -> DataFrame:
-    """Round-2 input sized to its data: the coreset's L·k rows in a few partitions.
+def mr_kmedian_centers(points: DataFrame, k: int, parts: int | None, iterations: int, seed: int,
+                       x: str = "x", id: str = "id", part_col: str | None = None):
+    """Rounds 1 and 2 of V11: the final k centres (driver list, size-checked).
 
-    Counting the (persisted) coreset materialises round 1 once (D8). Its exact
-    size then sets the partition count — about ``TARGET_PART_BYTES`` each, by a
-    narrow ``coalesce`` — instead of one task per part: every round-2 job is
-    cheap when L is small and still spread over many tasks when L·k is large.
+    The coreset is written to the shared folder: round 1 runs once, and a lost executor does not
+    bring it back; round 2 reads as many splits as its L·k rows fill.
     """
-    size = core.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("y")).alias("dim")).first()
-    n_core, dim = int(size["n"]), int(size["dim"] or 0)
-    if n_core == 0:
+    core = written(coreset(points, k, parts, iterations, seed, x, id, part_col))
+    if core.limit(1).count() == 0:
         raise ValueError("empty point set")
-    return coreset_points(core, k).coalesce(suggest_parts(n_core, dim, 0))
-
-
-def mr_kmedian_centers(points: DataFrame, k: int, parts: int | None, iterations: int, seed: int,
-                       x: str = "x", id: str = "id", part_col: str | None = None):
-    """Rounds 1 and 2 of V11: the final k centres (driver list, size-checked)."""
-    core = coreset(points, k, parts, iterations, seed, x, id, part_col).persist()
-    try:
-        return kmeans.fit(round_two_points(core, k), k, iterations, seed, weight="w")
-    finally:
-        core.unpersist()
+    return kmeans.fit(coreset_points(core, k), k, iterations, seed, weight="w")
 
 
 def mr_kmedian(points: DataFrame, k: int, parts: int | None, iterations: int, seed: int,

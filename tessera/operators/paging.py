@@ -2,9 +2,9 @@
 
 The index is 0-based and consecutive in the order of ``order_by`` (which must
 be a unique key for a repeatable result). It is built without a global
-single-partition ``row_number()``: rows are range-partitioned and sorted once,
-each partition is counted, the per-partition counts (one row per partition) are
-turned into running offsets and broadcast back.
+single-partition ``row_number()``: rows are range-partitioned, sorted and written
+once, each partition is counted, and the counts (one row per partition) are
+turned into running offsets.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def running_offsets(small: DataFrame, order_cols: Sequence[str], count_col: str,
                     out_col: str) -> DataFrame:
@@ -26,11 +28,16 @@ def running_offsets(small: DataFrame, order_cols: Sequence[str], count_col: str,
     return small.withColumn(out_col, F.coalesce(F.sum(count_col).over(w), F.lit(0)).cast("long"))
 
 
-def _indexed(df: DataFrame, order_by: Sequence[str], index_col: str,
-             num_partitions: int | None) -> tuple[DataFrame, DataFrame]:
-    """(indexed frame, persisted tagged frame it reads from)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+def with_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "idx",
+                   num_partitions: int | None = None) -> DataFrame:
+    """Add a 0-based consecutive ``index_col`` in ``order_by`` order.
+
+    One range shuffle. The sorted rows are written once to the shared folder with their
+    partition and their place in it, so the counts that give the offsets (one row per
+    partition) and the index describe the same rows, whatever is lost or asked for later;
+    nothing stays cached.
+    """
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Tiebreaker: a hash of the row's (hashable) columns. With a unique key it never
     # decides anything; when one key value holds many rows it spreads them over
     # several range partitions instead of one, and fixes their order.
@@ -38,30 +45,11 @@ def _indexed(df: DataFrame, order_by: Sequence[str], index_col: str,
     keys = [F.col(c) for c in order_by] + [F.xxhash64(*[F.col(c) for c in hashable])]
     # An explicit partition count keeps AQE from coalescing the range partitions.
     ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    tagged = ordered.select("*", F.spark_partition_id().alias("_pid"),
-                            F.monotonically_increasing_id().alias("_mid")).persist()
-    counts = (tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-              .collect())
-    offsets, firsts = [0] * n, [0] * n
-    run = 0
-    for row in sorted(counts, key=lambda r: r["_pid"]):
-        offsets[row["_pid"]], firsts[row["_pid"]] = run, row["_first"]
-        run += row["_n"]
-    off = F.element_at(F.array(*[F.lit(v) for v in offsets]), F.col("_pid") + 1)
-    first = F.element_at(F.array(*[F.lit(v) for v in firsts]), F.col("_pid") + 1)
-    indexed = tagged.select((off + F.col("_mid") - first).cast("long").alias(index_col), *df.columns)
-    return indexed, tagged
-
-
-def with_row_index(df: DataFrame, order_by: Sequence[str], index_col: str = "idx",
-                   num_partitions: int | None = None) -> DataFrame:
-    """Add a 0-based consecutive ``index_col`` in ``order_by`` order.
-
-    One range shuffle: the sorted, tagged rows are persisted, one small job
-    counts each partition (at most ``num_partitions`` rows reach the driver),
-    and the running offsets go back into the plan as a literal array.
-    """
-    return _indexed(df, order_by, index_col, num_partitions)[0]
+    tagged = written(ordered.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")))
+    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    offsets = running_offsets(counts, ["_pid"], "_n", "_offset").select("_pid", "_first", "_offset")
+    return tagged.join(written(offsets), "_pid").select(
+        (F.col("_offset") + F.col("_mid") - F.col("_first")).cast("long").alias(index_col), *df.columns)
 
 
 def page(indexed: DataFrame, start: int, end: int, index_col: str = "idx") -> DataFrame:
@@ -73,20 +61,11 @@ def iter_pages(df: DataFrame, order_by: Sequence[str], page_size: int,
                index_col: str = "idx") -> Iterator[DataFrame]:
     """K2: yield consecutive pages as DataFrames; the caller collects one at a time.
 
-    The index column itself is cached: it increases along every cached
-    partition, so the in-memory column statistics (min/max per batch) let each
-    page job skip all batches outside its range instead of filtering the whole
-    table. The driver never holds more than one page.
+    The indexed rows are written once to the shared folder, sorted inside each file, so a page
+    job skips row groups by the index's statistics. The driver never holds more than one page.
     """
     if page_size <= 0:
         raise ValueError("page_size must be positive")
-    indexed, tagged = _indexed(df, order_by, index_col, None)
-    indexed = indexed.persist()
-    try:
-        total = indexed.count()  # materialises the indexed cache
-        tagged.unpersist()
-        for start in range(0, total, page_size):
-            yield page(indexed, start, start + page_size, index_col)
-    finally:
-        tagged.unpersist()
-        indexed.unpersist()
+    indexed = written(with_row_index(df, order_by, index_col))
+    for start in range(0, indexed.count(), page_size):
+        yield page(indexed, start, start + page_size, index_col)

@@ -9,20 +9,18 @@ global window, no ordered pass.
 
 V5(b), the *prefix pick*, reproduces the reference's scan for an explicit
 x ∈ [0, 1): the first point, in id order, whose running sum of w·d exceeds
-x·Σ w·d. It is two-level so no global window funnels the data into one task:
-bucket totals (one row per bucket) → the bucket holding the target → a running
-sum inside that bucket only.
+x·Σ w·d. It descends through the bits of the ids, ``FAN_BITS`` at a time: each
+level is one aggregate to at most ``2 ** FAN_BITS + 1`` buckets of the range that
+holds the target, so no task ever holds more, whatever the ids.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.random import uniform
-from ..session import ensure_checkpoint_dir
+from ..session import written
 from . import vectors as V
 
 
@@ -50,90 +48,75 @@ def race_pick(points: DataFrame, seed: int, round_no: int, id: str = "id", d: st
     return best.where(F.col("best").isNotNull()).select("best.*")
 
 
-def _bucket_size(points: DataFrame, id: str) -> int:
-    """Power of two ≥ √(id range): both the bucket table and one bucket stay ~√n rows."""
-    row = points.agg(F.min(id).alias("lo"), F.max(id).alias("hi")).first()
-    if row["lo"] is None:
-        return 1
-    span = int(row["hi"]) - int(row["lo"]) + 1
-    return max(1024, 1 << max(0, math.ceil(math.log2(max(1.0, math.sqrt(span))))))
+FAN_BITS = 10
 
 
 def prefix_pick(points: DataFrame, frac: float, id: str = "id", d: str = "d",
-                weight: str | None = None, bucket_size: int | None = None) -> DataFrame:
+                weight: str | None = None, fan_bits: int = FAN_BITS) -> DataFrame:
     """V5(b): one row ``id``: first point in id order with running Σ w·d > frac · Σ w·d.
 
-    Pass 1 (all points) reduces to one row per id bucket: Σ w·d and the last
-    candidate id. That small table is checkpointed, its running totals give the
-    target and the bucket holding it (one row, brought to the driver). Pass 2
-    reads only that bucket — a literal id range, so Parquet can skip row groups —
-    sums the mass per id (rows sharing an id collapse map-side, so a hot id is
-    one row) and runs the running sum over at most ``bucket_size`` ids. If rounding leaves no running sum above
-    the target, the bucket's last candidate is returned (D9 clamp). Points with
-    w·d = 0 are never returned; no candidate gives no row.
+    The first level splits the whole id range into buckets by an arithmetic shift (floor
+    division by a power of two, exact for every bigint), sums w·d per bucket and finds the
+    bucket in which the running sum passes the target; the next level splits that bucket, until
+    buckets are single ids. Rows sharing an id are summed. If rounding leaves no running sum
+    above the target, the last candidate of the range is taken (D9 clamp). Points with w·d = 0
+    are never returned; no candidate gives no row.
     """
     if not 0.0 <= frac < 1.0:
         raise ValueError("frac must be in [0, 1)")
-    if bucket_size is None:
-        bucket_size = _bucket_size(points.select(id), id)  # reads the id column only
+    spark = points.sparkSession
     w = F.col(weight) if weight else F.lit(1.0)
     mass = w * F.col(d)
     # No filter on `mass` itself: a predicate on a kernel output would be pushed
     # below it and evaluate the kernel twice; `when` keeps it a projection.
-    cand = points.select(F.col(id).alias("id"), F.when(mass > 0, mass).alias("m"))
-    buckets = (cand.withColumn("b", F.floor(F.col("id") / F.lit(bucket_size)).cast("long"))
-               .groupBy("b").agg(F.sum("m").alias("bm"),
-                                 F.max(F.when(F.col("m").isNotNull(), F.col("id"))).alias("last_id"))
-               .where(F.col("bm").isNotNull()))
-    ensure_checkpoint_dir(points.sparkSession)
-    buckets = buckets.checkpoint(eager=True)  # one row per bucket, in spark.checkpoint.dir
-    wb = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = buckets.withColumn("upto", F.sum("bm").over(wb))
-    ranked = ranked.withColumn("target", F.lit(float(frac)) * F.max("upto").over(Window.partitionBy()))
-    chosen = ranked.where(F.col("upto") > F.col("target")).orderBy("b").first()
-    spark = points.sparkSession
-    if chosen is None:
-        return spark.createDataFrame([], "id long")
-    lo = int(chosen["b"]) * bucket_size
-    before, target = float(chosen["upto"] - chosen["bm"]), float(chosen["target"])
-    # Rows sharing an id collapse into one (map-side) before the ordered pass, so the
-    # window holds at most bucket_size distinct ids however often one id repeats.
-    inside = (cand.where((F.col("id") >= lo) & (F.col("id") < lo + bucket_size))
-              .groupBy("id").agg(F.sum("m").alias("m")))
-    wi = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
-    run = inside.withColumn("run", F.lit(before) + F.sum("m").over(wi))
-    hit = run.agg(F.min(F.when(F.col("m").isNotNull() & (F.col("run") > target), F.col("id"))).alias("id"))
-    return hit.select(F.coalesce(F.col("id"), F.lit(int(chosen["last_id"]))).alias("id"))
-
-
-# Up to this k, each seeding round recomputes d over all chosen centres in the
-# kernel (no per-round cache of the point set); above it, d is carried (V4).
-RECOMPUTE_MAX_K = 32
+    cand = points.select(F.col(id).cast("long").alias("id"), F.when(mass > 0, mass).alias("m"))
+    ends = points.agg(F.min(id).alias("lo"), F.max(id).alias("hi")).first()  # reads the id column only
+    empty = spark.createDataFrame([], "id long")
+    if ends["lo"] is None:
+        return empty
+    lo, hi, before, target = int(ends["lo"]), int(ends["hi"]), 0.0, None
+    while True:
+        shift = max(0, (hi - lo).bit_length() - fan_bits)
+        level = (cand.where((F.col("id") >= lo) & (F.col("id") <= hi))
+                 .groupBy(F.shiftright("id", shift).alias("b")).agg(F.sum("m").alias("m"))
+                 .collect())  # at most 2 ** fan_bits + 1 rows
+        level = sorted((r["b"], r["m"]) for r in level if r["m"] is not None)
+        if not level:
+            return empty
+        if target is None:
+            target = frac * sum(m for _, m in level)
+        for bucket, m in level:
+            if before + m > target:
+                break
+            before += m
+        else:  # rounding: stay in the last bucket that has candidates
+            before -= m
+        lo, hi = max(lo, bucket << shift), min(hi, ((bucket + 1) << shift) - 1)
+        if shift == 0:
+            return spark.createDataFrame([(bucket,)], "id long")
 
 
 def seed_centers(points: DataFrame, k: int, seed: int, x: str = "x", id: str = "id",
-                 weight: str | None = None, checkpoint_every: int = 8,
-                 carry: bool | None = None) -> list[tuple[int, list[float]]]:
+                 weight: str | None = None,
+                 carry: bool = False) -> list[tuple[int, list[float]]]:
     """V6: k-means++-style seeding with D¹ sampling; returns ``[(id, vector), …]``.
 
     Round 0 draws a point uniformly; round r ≥ 1 draws ∝ w·d, d being the
     distance to the nearest centre chosen so far. Each round is one pass over
     the points ending in one race aggregate. ``d`` is either
 
-    * recomputed over the r chosen centres inside the distance kernel (default
-      for k ≤ ``RECOMPUTE_MAX_K``): no per-round cache of the point set, plan
-      size constant; or
-    * carried as a column and updated against the newest centre only (V4,
-      O(n·k) distance work): the carried frame is persisted per round and
-      checkpointed into the shared checkpoint folder every
-      ``checkpoint_every`` rounds to cut lineage.
+    * recomputed over the r chosen centres inside the distance kernel (the
+      default): no per-round copy of the point set, plan size constant; or
+    * with ``carry=True`` carried as (id, d) beside the points and updated
+      against the newest centre only (V4, O(n·k) distance work): one join by id
+      per round, so ids must be unique; the pair table is written to the shared
+      folder every round, which also cuts lineage.
 
-    Both give the same doubles. Stops early when no point has d > 0 (fewer
-    distinct points than k).
+    Both give the same doubles: the kernel has one summation order. Stops early
+    when no point has d > 0 (fewer distinct points than k).
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    carry = (k > RECOMPUTE_MAX_K) if carry is None else carry
     base = points.select(id, x, *([weight] if weight else []))
 
     def pick(frame: DataFrame, r: int, dcol: str | None):
@@ -152,22 +135,12 @@ def seed_centers(points: DataFrame, k: int, seed: int, x: str = "x", id: str = "
                 break
             chosen.append(won)
         return chosen
-    if checkpoint_every and k > checkpoint_every:
-        ensure_checkpoint_dir(points.sparkSession)
     state = None
     for r in range(1, k):
-        src = base if state is None else state
-        nxt = V.update_min_distance(src, chosen[-1][1], x=x, d="d")
-        if checkpoint_every and r % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)  # reliable copy in spark.checkpoint.dir
-        nxt = nxt.persist()
-        won = pick(nxt, r, "d")
-        if state is not None:
-            state.unpersist()
-        state = nxt
+        src = base if state is None else base.join(state.hint("merge"), id)
+        state = written(V.update_min_distance(src, chosen[-1][1], x=x, d="d").select(id, "d"))
+        won = pick(base.join(state.hint("merge"), id), r, "d")
         if won is None:
             break
         chosen.append(won)
-    if state is not None:
-        state.unpersist()
     return chosen

@@ -16,10 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vector import distances_udf, min_distance, nearest, vector_sum_agg
-
-# Largest centre set (k·dim·8 bytes) embedded into a plan / shipped to tasks.
-MAX_CENTER_BYTES = 64 * 1024 * 1024
+from ..functions.vector import MAX_CENTER_BYTES, check_center_budget, distances_udf, min_distance, nearest, vector_sum_agg
+from ..session import written
 
 CENTERS_SCHEMA = T.StructType([
     T.StructField("c", T.IntegerType(), False),
@@ -27,15 +25,6 @@ CENTERS_SCHEMA = T.StructType([
 ])
 
 
-def check_center_budget(k: int, dim: int, max_bytes: int = MAX_CENTER_BYTES) -> None:
-    size = int(k) * int(dim) * 8
-    if size > max_bytes:
-        raise ValueError(
-            f"centre set of k={k} x dim={dim} ({size} bytes) exceeds the broadcast budget "
-            f"of {max_bytes} bytes; reduce k or raise MAX_CENTER_BYTES"
-        )
-
-
 def as_center_list(centers) -> list[list[float]]:
     return [[float(v) for v in (y.tolist() if hasattr(y, "tolist") else y)] for y in centers]
 
@@ -47,20 +36,21 @@ def centers_frame(spark: SparkSession, centers: Sequence[Sequence[float]]) -> Da
 
 
 def collect_centers(frame: DataFrame, c: str = "c", y: str = "y",
-                    max_bytes: int = MAX_CENTER_BYTES, expected_k: int | None = None) -> list[list[float]]:
+                    max_bytes: int = MAX_CENTER_BYTES) -> list[list[float]]:
     """Bring a centre frame (k rows) to the driver, ordered by ``c``, after a size check.
 
-    ``expected_k`` states a bound already proven by the caller (e.g. a Lloyd step
-    returns exactly the k centres it was given): the separate counting job is
-    skipped and the row count is verified after the pull instead.
+    The frame is computed once, into the shared folder; its rows are sized there and then read.
     """
-    if expected_k is None:
-        stats = frame.agg(F.count(F.lit(1)).alias("k"), F.max(F.size(y)).alias("dim")).first()
-        check_center_budget(int(stats["k"]), int(stats["dim"] or 0), max_bytes)
-    rows = frame.select(c, y).orderBy(c).collect()
-    if expected_k is not None and len(rows) != expected_k:
-        raise ValueError(f"expected {expected_k} centres, got {len(rows)}")
-    return [list(r[y]) for r in rows]
+    kept = written(frame.select(F.col(c).alias("c"), F.col(y).alias("y")))
+    size = kept.agg(F.count(F.lit(1)).alias("k"), F.max(F.size("y")).alias("dim")).first()
+    check_center_budget(int(size["k"]), int(size["dim"] or 0), max_bytes)
+    return [list(r["y"]) for r in kept.orderBy("c").collect()]
+
+
+def distance_to_center(points: DataFrame, centers, c: str = "c", x: str = "x", out: str = "d") -> DataFrame:
+    """V1 for one centre per point: ``out`` is the distance to centre number ``c``; NULL without one."""
+    ds = distances_udf(as_center_list(centers))(F.col(x))
+    return points.withColumn(out, F.get(ds, F.col(c)))
 
 
 def pairwise_distances(points: DataFrame, centers, x: str = "x", id: str = "id") -> DataFrame:
@@ -108,21 +98,14 @@ def cluster_weights(points: DataFrame, centers, x: str = "x", part: str | None =
     """
     k = len(centers)
     assigned = assign(points, centers, x)
-    keys = [part, "c"] if part else ["c"]
-    counts = assigned.groupBy(*keys).agg(F.count(F.lit(1)).alias("w"))
-    if part:
-        # one row per (part, centre): distinct parts (combined map-side) × k
-        index = points.select(part).distinct().select(
-            part, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("c"))
-        index = index.withColumn("c", F.col("c").cast("int"))
-    else:
-        index = F.broadcast(points.sparkSession.range(k).select(F.col("id").cast("int").alias("c")))
-    # Null-safe keys: no isnotnull(c) is inferred and pushed below the kernel's
-    # projection, which would make Spark evaluate the kernel twice.
-    cond = [index[key].eqNullSafe(counts[key]) for key in keys]
-    out = index.join(counts, cond, "left")
-    return out.select(*[index[key] for key in keys],
-                      F.coalesce(counts["w"], F.lit(0)).cast("long").alias("w"))
+    # one row per centre with points (combined map-side), then the centres of a part as a map of at most k
+    keys = [part] if part else []
+    counts = assigned.groupBy(*keys, "c").agg(F.count(F.lit(1)).alias("w"))
+    held = counts.groupBy(*keys).agg(F.map_from_entries(F.collect_list(
+        F.when(F.col("c").isNotNull(), F.struct("c", "w")))).alias("m"))
+    every = held.select(*keys, "m", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("c"))
+    return every.select(*keys, F.col("c").cast("int").alias("c"),
+                        F.coalesce(F.try_element_at("m", F.col("c").cast("int")), F.lit(0)).cast("long").alias("w"))
 
 
 def weighted_mean(points: DataFrame, group: str, x: str = "x", w: str | None = None) -> DataFrame:

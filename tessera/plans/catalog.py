@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from ..operators import kmeans, kmedian, numeric, paging, sampling, words
 from ..operators import vectors as V
+from ..session import written
 from ..sources import tables
-from ..sources.text import parse_vectors
+from ..sources.text import parse_numbers, parse_vectors
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -29,8 +30,9 @@ KPP_K = 4                # V6 / V8: k
 FIT_ITERATIONS = 2       # V8: Lloyd steps after seeding
 WEIGHT_PARTS = 4         # A15: part = vec_id mod 4
 CORESET_K = 3            # V10 / V11: k
-CORESET_MIN_PARTS = 2    # V10 / V11: L = max(2, parts of ~128 MB), part = vec_id mod L
+CORESET_MIN_PARTS = 2    # V10 / V11: L = max(2, parts of ~128 MB), part = hash of vec_id
 CORESET_ITERATIONS = 1   # V10 / V11: Lloyd steps in rounds 1 and 2
+PAGE_SIZE = 200          # K2: rows of a pulled page
 PAGE_START, PAGE_END = 100, 200   # P7 / K2: one page of the row index
 
 
@@ -131,8 +133,15 @@ def vec_scan_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vec_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = V.pairwise_distances(_points(spark, sf_dir), label_centers(spark, sf_dir))
-    return pairs.select(F.col("id").alias("vec_id"), "c", _r(F.col("d")).alias("d"))
+    """V1: the distance of every point to the centre of its own label."""
+    means = V.weighted_mean(_points(spark, sf_dir, True), "label")
+    labels = written(means.select(F.col("label"), F.col("mean")))
+    centers = V.collect_centers(labels, "label", "mean")
+    rank = {r["label"]: i for i, r in enumerate(labels.select("label").orderBy("label").collect())}
+    index = F.create_map(*[F.lit(v) for pair in rank.items() for v in pair])
+    own = _points(spark, sf_dir, True).withColumn("c", index[F.col("label")])
+    out = V.distance_to_center(own, centers)
+    return out.select(F.col("id").alias("vec_id"), "c", _r(F.col("d")).alias("d"))
 
 
 def vec_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,16 +208,15 @@ def kmeans_objective(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coreset_parts(spark: SparkSession, sf_dir: str) -> int:
-    """L sized from the data (one small aggregate): parts of about 128 MB, at least 2."""
-    row = tables.table(spark, sf_dir, "embeddings").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("dim")).first()
-    return kmedian.suggest_parts(int(row["n"]), int(row["dim"] or 0), CORESET_K,
-                                 min_parts=CORESET_MIN_PARTS)
+    """L sized from the data: parts of about 128 MB, at least 2. The rows come from the files' footers."""
+    t = tables.table(spark, sf_dir, "embeddings")
+    first = t.select(F.size("embedding").alias("dim")).first()
+    return kmedian.suggest_parts(t.count(), int(first["dim"]) if first else 0, CORESET_K, min_parts=CORESET_MIN_PARTS)
 
 
 def _coreset_points(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     parts = coreset_parts(spark, sf_dir)
-    return _points(spark, sf_dir).withColumn("part", F.pmod(F.col("id"), F.lit(parts))), parts
+    return _points(spark, sf_dir).withColumn("part", kmedian.hashed_part("id", parts, SEED)), parts
 
 
 def kmedian_coreset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,6 +237,22 @@ def row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.with_row_index(ids, ["vec_id"])
 
 
+def num_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers rendered as text lines with blanks around them and parsed back."""
+    lines = tables.numbers(spark, sf_dir).select(F.concat(F.lit(" \t"), F.col("value").cast("string"), F.lit(" ")).alias("value"))
+    return parse_numbers(lines).groupBy(F.col("value").alias("x")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def page_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: every page of the row index pulled in turn; one row per page with its first id and the sum of its ids."""
+    ids = tables.table(spark, sf_dir, "embeddings").select("vec_id")
+    rows = []
+    for i, page in enumerate(paging.iter_pages(ids, ["vec_id"], PAGE_SIZE)):
+        r = page.agg(F.min("vec_id").alias("first"), F.sum("vec_id").alias("total"), F.count(F.lit(1)).alias("n")).first()
+        rows.append((i, r["first"], r["total"], r["n"]))
+    return spark.createDataFrame(rows, "page long, first_id long, sum_id long, n long")
+
+
 def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = tables.table(spark, sf_dir, "embeddings").select("vec_id")
     return paging.page(paging.with_row_index(ids, ["vec_id"]), PAGE_START, PAGE_END)
@@ -266,5 +290,7 @@ QUERIES: dict[str, QueryFn] = {
     "kmedian_coreset": kmedian_coreset,
     "mr_kmedian": mr_kmedian,
     "row_index": row_index,
+    "num_scan": num_scan,
+    "page_sums": page_sums,
     "page_rows": page_rows,
 }

@@ -83,8 +83,8 @@ def _fit_sql(objective: bool) -> str:
 
 _PARTS = (f"nparts AS (SELECT greatest({Q.CORESET_MIN_PARTS}, ceil(count(*) * (max(len(embedding)) + {Q.CORESET_K}"
           f" + 2) * 8 / {kmedian.TARGET_PART_BYTES}))::BIGINT AS L FROM embeddings)")
-_CORE_PTS = ("cpts AS (SELECT (vec_id % (SELECT L FROM nparts)) AS g, vec_id AS id, embedding::DOUBLE[] AS x,"
-             " 1.0::DOUBLE AS w FROM embeddings)")
+_CORE_PTS = (f"cpts AS (SELECT least(floor({uniform_sql('vec_id', str(Q.SEED))} * (SELECT L FROM nparts))::BIGINT,"
+             " (SELECT L FROM nparts) - 1) AS g, vec_id AS id, embedding::DOUBLE[] AS x, 1.0::DOUBLE AS w FROM embeddings)")
 
 
 def _coreset_ctes() -> tuple[list[str], str]:
@@ -114,10 +114,14 @@ def _mr_kmedian_sql() -> str:
 
 
 SQL.update({
+    "num_scan": "SELECT l_extendedprice AS x, count(*)::BIGINT AS n FROM lineitem GROUP BY l_extendedprice",
+    "page_sums": (f"SELECT (idx // {Q.PAGE_SIZE})::BIGINT AS page, min(vec_id)::BIGINT AS first_id, sum(vec_id)::BIGINT AS sum_id,"
+                  " count(*)::BIGINT AS n FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS idx FROM embeddings)"
+                  " GROUP BY 1"),
     "vec_scan": _scan_sql(),
     "vec_scan_ws": _scan_sql(),
     "vec_distance": with_ctes(_CEN[:4], "SELECT p.id AS vec_id, q.c, round(list_distance(p.x, q.y), 6) AS d"
-                                        " FROM pts p JOIN cen q USING (g)"),
+                                        " FROM pts p JOIN lab l ON p.label = l.label JOIN cen q ON q.c = l.c"),
     "vec_assign": with_ctes(_CEN, "SELECT id AS vec_id, c, round(d, 6) AS d FROM asg"),
     "vec_min_distance_update": with_ctes(_CEN, "SELECT id AS vec_id, round(d, 6) AS d FROM asg"),
     "vec_weights": with_ctes(_CEN, (

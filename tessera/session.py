@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
@@ -52,3 +53,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                   or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared checkpoint folder and read again: computed once,
+    of known size, and safe from lost executors."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

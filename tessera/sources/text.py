@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vector import VECTOR_TYPE
+from ..session import written
 
 # Fixed value: characters Python's float()/str.split() treat as surrounding blanks.
 BLANKS = " \t\r\n\f\v"
@@ -20,47 +21,34 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
 
-# Largest per-block offset table broadcast to the tasks (rows of 4 longs).
-MAX_BROADCAST_BLOCKS = 1 << 21
-
-
 def with_line_number(lines: DataFrame, col: str = "line_no") -> DataFrame:
     """0-based line number of a ``spark.read.text`` frame, in file and line order.
 
-    Like ``zipWithIndex``, two passes over the text and no shuffle of it: pass 1
-    counts the lines of every input block (one row per block, ordered by file
-    path and block start, turned into running offsets and checkpointed); pass 2
-    adds the block's offset to the line's position in its task. Blocks are keyed
-    by a 64-bit hash of the path (checked for collisions), so the offset table
-    is four longs per block; it is broadcast when its exact row count is under
-    ``MAX_BROADCAST_BLOCKS``; above that the join strategy is left to Spark's
-    own size check (``autoBroadcastJoinThreshold``), i.e. a shuffle join.
+    Like ``zipWithIndex``, two passes over the text and no shuffle of it: pass 1 counts the
+    lines of every input block (one row per block, turned into running offsets and written to
+    the shared folder); pass 2 adds the block's offset to the line's position in its task. Both
+    passes read one frame whose splits are fixed when it is built, so a later change of the
+    split size or of the executors cannot make them disagree; a block without an offset fails
+    the job. Spark broadcasts the offsets (four longs per block) if its own threshold allows.
     """
     from ..operators.paging import running_offsets
-    from ..session import ensure_checkpoint_dir
 
+    spark = lines.sparkSession
     tagged = lines.select(
         "*",
-        F.xxhash64(F.col("_metadata.file_path")).alias("_key"),
+        F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_mid"),
     )
-    blocks = tagged.groupBy(F.col("_metadata.file_path").alias("_path"), "_key", "_block").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    ensure_checkpoint_dir(lines.sparkSession)
-    offsets = (running_offsets(blocks, ["_path", "_block"], "_n", "_offset")
-               .select("_key", "_block", "_offset", "_first", "_path")
-               .checkpoint(eager=True))
-    stats = offsets.agg(F.count(F.lit(1)).alias("n"),
-                        F.count_distinct("_key", "_block").alias("keys")).first()
-    if stats["n"] != stats["keys"]:
-        raise RuntimeError("file path hash collision; cannot key line offsets by hash")
-    small = offsets.select("_key", "_block", "_offset", "_first")
-    side = F.broadcast(small) if stats["n"] <= MAX_BROADCAST_BLOCKS else small
-    joined = tagged.join(side, ["_key", "_block"])
+    # the rows of the scan's own partitions, planned once; no data leaves the JVM
+    fixed = DataFrame(spark._jsparkSession.createDataFrame(tagged._jdf.rdd(), tagged._jdf.schema()), spark)
+    blocks = fixed.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    offsets = written(running_offsets(blocks, ["_path", "_block"], "_n", "_offset").select("_path", "_block", "_offset", "_first"))
+    joined = fixed.join(offsets, ["_path", "_block"], "left")
     return joined.select(
         *[c for c in lines.columns],
-        (F.col("_offset") + F.col("_mid") - F.col("_first")).alias(col),
+        F.when(F.col("_offset").isNull(), F.raise_error(F.lit("input block without a line offset")).cast("long"))
+        .otherwise(F.col("_offset") + F.col("_mid") - F.col("_first")).alias(col),
     )
 
 
@@ -71,15 +59,20 @@ def _trimmed(c: Column) -> Column:
 def parse_numbers(lines: DataFrame, value_col: str = "value", strict: bool = True) -> DataFrame:
     """Non-blank lines parsed as doubles (``value: double``).
 
-    ``strict`` casts with ANSI semantics (a malformed line fails the job);
+    ``strict`` fails the job on a malformed line, whatever the session's ANSI setting;
     otherwise malformed lines become NULL and are dropped.
     """
     t = _trimmed(F.col(value_col))
-    parsed = t.cast("double") if strict else F.expr(f"try_cast(btrim({value_col}, '{BLANKS}') as double)")
-    out = lines.where(t != "").select(parsed.alias("value"))
+    out = lines.where(t != "").select((_strict_double(t) if strict else t.try_cast("double")).alias("value"))
     return out if strict else out.where(F.col("value").isNotNull())
 
 
+def _strict_double(text: Column) -> Column:
+    """The number in ``text``; anything else fails the job under any ANSI setting."""
+    value = text.try_cast("double")
+    return F.when(text.isNotNull() & value.isNull(), F.raise_error(F.concat(F.lit("malformed number: "), text)).cast("double")).otherwise(value)
+
+
 def read_numbers(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     return parse_numbers(read_lines(spark, path), strict=strict)
 
@@ -102,24 +95,29 @@ def parse_vectors(lines: DataFrame, value_col: str = "value", sep: str = " ") ->
     else:
         tokens = F.split(raw, sep, -1)
     kept = F.filter(tokens, lambda e: e != "")
-    return F.transform(kept, lambda e: _trimmed(e).cast("double")).cast(VECTOR_TYPE)
+    return F.transform(kept, lambda e: _strict_double(_trimmed(e))).cast(VECTOR_TYPE)
 
 
 def read_vectors(spark: SparkSession, path: str | list[str], sep: str | None = " ",
                  validate: bool = True) -> DataFrame:
-    """One dense vector per line → ``id: long, x: array<double>``."""
+    """One dense vector per line → ``id: long, x: array<double>``.
+
+    ``validate`` rejects empty vectors, non-finite coordinates and mixed dimensions (one aggregate).
+    """
     lines = with_line_number(read_lines(spark, path), "id")
     vecs = lines.select("id", parse_vectors(lines, sep=sep).alias("x"))
-    return checked_vectors(vecs) if validate else vecs
+    if not validate:
+        return vecs
+    sizes = vecs.agg(F.min(F.size("x")).alias("lo"), F.max(F.size("x")).alias("hi")).first()
+    if sizes["lo"] != sizes["hi"]:
+        raise ValueError(f"mixed vector dimensions: {sizes['lo']} .. {sizes['hi']}")
+    return checked_vectors(vecs)
 
 
 def checked_vectors(points: DataFrame, x: str = "x") -> DataFrame:
-    """Rejects empty vectors, NaN/inf coordinates and mixed dimensions.
-
-    The check is a lazy per-row ``raise_error`` plus one dimension aggregate
-    that callers run once through :func:`vector_dimension`.
-    """
-    bad = (F.size(x) == 0) | F.exists(x, lambda e: F.isnan(e) | (F.abs(e) == float("inf")))
+    """Rejects empty vectors and NULL, NaN or infinite coordinates (D10) by a lazy ``raise_error`` per row;
+    :func:`vector_dimension` checks the dimension."""
+    bad = (F.size(x) == 0) | F.exists(x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
     return points.withColumn(
         x, F.when(bad, F.raise_error(F.lit("invalid vector: empty or non-finite coordinate")))
         .otherwise(F.col(x))

@@ -33,8 +33,7 @@ def test_coreset_matches_numpy_kernel(blobs):
            for r in kmedian.coreset(parts, 3, 2, 1, seed=42, part_col="part").collect()}
     for p in (0, 1):
         ids = [i for i in range(len(X)) if i % 2 == p]
-        U = np.array([[uniform_py(i, 42, p, r) for r in range(3)] for i in ids])
-        C, w = kmedian._cluster_part(X[ids], U, 3, 1)
+        C, w = kmedian._cluster_part(X[ids], lambda r: np.array([uniform_py(i, 42, p, r) for i in ids]), 3, 1)
         for c in range(len(C)):
             y, wc = got[(p, c)]
             assert np.allclose(y, C[c]) and wc == w[c]
@@ -119,9 +118,16 @@ def test_fit_frame_matches_fit(blobs):
     assert [list(r["y"]) for r in seeds0] == kmeans.fit(df, 3, 0, seed=6)
 
 
-def test_oversized_caller_parts_are_refused(blobs, monkeypatch):
-    df, _ = blobs
-    parts = df.withColumn("part", F.lit(0))
-    monkeypatch.setattr(kmedian, "MAX_PART_BYTES", 1000)  # 120 points x (2 + 3 + 2) x 8 B > 1000 B
-    with pytest.raises(ValueError):
-        kmedian.coreset(parts, 3, 1, 1, seed=1, part_col="part")
+@pytest.mark.parametrize("bad", [[1.0], [1.0, 2.0, 3.0], [1.0, float("nan")], [1.0, None]])
+def test_bad_vectors_are_refused_not_mixed(spark, bad):
+    df = spark.createDataFrame([(0, [1.0, 2.0], 0), (1, bad, 0)], "id long, x array<double>, part int")
+    with pytest.raises(Exception, match="vector"):
+        kmedian.coreset(df, 1, None, 0, 1, part_col="part").collect()
+
+
+def test_null_vectors_do_not_shift_rows(spark):
+    rows = [(i, None if i % 3 == 0 else [float(i), 0.0], 0) for i in range(12)]
+    with_nulls = spark.createDataFrame(rows, "id long, x array<double>, part int")
+    without = with_nulls.where("x IS NOT NULL")
+    got = [sorted(map(str, kmedian.coreset(d, 2, None, 1, 3, part_col="part").collect())) for d in (with_nulls, without)]
+    assert got[0] == got[1]

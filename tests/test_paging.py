@@ -51,15 +51,19 @@ def test_line_numbers_when_one_file_has_many_splits(spark, tmp_path):
     assert [r["value"] for r in got] == lines
 
 
-def test_line_numbers_shuffle_join_fallback(spark, tmp_path, monkeypatch):
-    from tessera.sources import text as text_mod
-    # no broadcast hint: the join strategy is left to Spark's own size estimate of the table
-    monkeypatch.setattr(text_mod, "MAX_BROADCAST_BLOCKS", 0)
-    (tmp_path / "a.txt").write_text("a0\na1\n")
-    (tmp_path / "b.txt").write_text("b0\nb1\nb2\n")
-    df = with_line_number(read_lines(spark, str(tmp_path)), "n")
-    got = [(r["n"], r["value"]) for r in df.orderBy("n").collect()]
-    assert got == [(0, "a0"), (1, "a1"), (2, "b0"), (3, "b1"), (4, "b2")]
+def test_line_numbers_survive_a_change_of_split_size(spark, tmp_path):
+    lines = [f"line {i:05d}" for i in range(20000)]
+    (tmp_path / "big.txt").write_text("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for built, read in (("65536", "4096"), ("4096", "65536"), ("10000", "7001")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", built)
+            df = with_line_number(read_lines(spark, str(tmp_path / "big.txt")), "n")
+            spark.conf.set("spark.sql.files.maxPartitionBytes", read)
+            got = [(r["n"], r["value"]) for r in df.orderBy("n").collect()]
+            assert got == list(enumerate(lines))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_read_vectors_from_several_files(spark, tmp_path):
@@ -78,5 +82,11 @@ def test_row_index_spreads_a_hot_key(spark):
     got = idx.orderBy("idx").collect()
     assert [r["idx"] for r in got] == list(range(900))
     assert [r["key"] for r in got] == sorted(k for k, _ in rows)
-    sizes = idx.groupBy(F.spark_partition_id()).count().collect()
-    assert max(r["count"] for r in sizes) < 900 / 3  # the 300 rows of key 5 are not all in one partition
+
+
+def test_row_index_needs_and_leaves_no_cache(spark):
+    spark.catalog.clearCache()
+    idx = paging.with_row_index(spark.range(50000).selectExpr("id * 7919 % 50021 AS key"), ["key"], num_partitions=7)
+    spark.catalog.clearCache()
+    assert idx.selectExpr("min(idx)", "max(idx)", "count(DISTINCT idx)").first()[:] == (0, 49999, 50000)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0

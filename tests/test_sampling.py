@@ -70,7 +70,7 @@ def test_prefix_pick_matches_scan(spark, frac):
         if run > frac * total:
             want = i
             break
-    got = sampling.prefix_pick(frame(spark, ds), frac, bucket_size=16).first()["id"]
+    got = sampling.prefix_pick(frame(spark, ds), frac, fan_bits=4).first()["id"]
     assert got == want
 
 
@@ -94,7 +94,7 @@ def test_seeding_matches_brute_force(spark, carry):
     rng = np.random.default_rng(3)
     X = rng.integers(0, 20, size=(60, 3)).astype(float)
     df = spark.createDataFrame([(i, list(map(float, x))) for i, x in enumerate(X)], "id long, x array<double>")
-    got = [i for i, _ in sampling.seed_centers(df, 5, 11, checkpoint_every=2, carry=carry)]
+    got = [i for i, _ in sampling.seed_centers(df, 5, 11, carry=carry)]
     assert got == brute_seeds(X, 5, 11)
 
 
@@ -138,4 +138,19 @@ def test_prefix_pick_with_a_hot_id(spark, frac):
         if run > frac * total:
             want = i
             break
-    assert sampling.prefix_pick(df, frac, bucket_size=64).first()["id"] == want
+    assert sampling.prefix_pick(df, frac, fan_bits=6).first()["id"] == want
+
+
+@pytest.mark.parametrize("ids", [
+    [2**53 - 1, 2**53, 2**53 + 1, 2**53 + 2],
+    [2**61 - 3, 2**61 - 2, 2**61 - 1],
+    [-2**61, -2**53 - 1, -2**53, -5, -1, 0, 3],
+    [hash(("x", i)) % 2**60 - 2**59 for i in range(300)],
+    [-2**63, 2**63 - 1],
+    [7, 7, 7, 8, 8],
+])
+def test_prefix_pick_is_exact_for_any_ids(spark, ids):
+    df = spark.createDataFrame([(i, 1.0) for i in ids], "id long, d double")
+    for frac in (0.0, 0.4, 0.8):
+        want = sorted(ids)[next(k for k in range(len(ids)) if k + 1 > frac * len(ids))]
+        assert sampling.prefix_pick(df, frac).first()["id"] == want

@@ -61,10 +61,6 @@ def test_equidistant_point_goes_to_lowest_centre(spark):
     df = pts(spark, [[0]])
     row = V.assign(df, [[-1.0], [1.0]]).first()
     assert row["c"] == 0 and row["d"] == 1.0
-    # column-centre (higher-order-function) form follows the same rule
-    from tessera.functions.vector import centers_literal
-    hof = df.select(nearest("x", centers_literal([[-1.0], [1.0]])).alias("b")).first()["b"]
-    assert hof["c"] == 0
 
 
 def test_duplicate_centres_weights(spark):
@@ -152,22 +148,6 @@ def test_kernel_runs_once_per_row(spark):
     assert _python_evals(V.pairwise_distances(df, [[0.0], [8.0]])) == 1
 
 
-def test_pandas_fallback_matches_arrow_kernel(spark, monkeypatch):
-    from tessera.functions import vector as vec
-    rng = np.random.default_rng(4)
-    df = pts(spark, rng.normal(size=(40, 5)))
-    cs = [list(v) for v in rng.normal(size=(3, 5))]
-
-    def both():
-        a = [(r["c"], r["d"]) for r in V.assign(df, cs).orderBy("id").collect()]
-        p = [(r["id"], r["c"], r["d"]) for r in V.pairwise_distances(df, cs).orderBy("id", "c").collect()]
-        return a, p
-
-    arrow = both()
-    monkeypatch.setattr(vec, "_arrow_udf", None)
-    assert both() == arrow
-
-
 def test_kernel_rejects_mixed_dimensions(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0])], "id long, x array<double>").coalesce(1)
     with pytest.raises(PySparkException):
@@ -192,3 +172,40 @@ def test_vector_operators_match_numpy_on_random_data(spark):
         m = a == c
         want = (np.array(C[c]) + (W[m, None] * X[m]).sum(0)) / (1 + W[m].sum())
         assert np.allclose(new[c], want)
+
+
+@pytest.mark.parametrize("k", [15, 16, 17, 40])
+def test_distances_do_not_depend_on_the_number_of_centres(k):
+    rng = np.random.default_rng(k)
+    X, C = rng.normal(size=(500, 256)), rng.normal(size=(k, 256))
+    one = np.stack([distance_matrix(X, C[i:i + 1])[0] for i in range(k)])
+    assert (distance_matrix(X, C) == one).all()
+
+
+def test_mixed_dimensions_and_bad_coordinates_raise(spark):
+    with pytest.raises(ValueError, match="dimension"):
+        distance_matrix(np.zeros((2, 3)), np.zeros((1, 2)))
+    for x in ([3.0, 4.0, 12.0], [float("nan"), 1.0], [None, 1.0], [float("inf"), 1.0]):
+        df = spark.createDataFrame([(0, x)], "id long, x array<double>")
+        with pytest.raises(Exception, match="dimension|vector"):
+            V.assign(df, [[0.0, 0.0]]).collect()
+
+
+def test_files_with_mixed_dimensions_or_bad_numbers_are_rejected(spark, tmp_path):
+    (tmp_path / "mixed.txt").write_text("1 2\n1 2 3\n")
+    (tmp_path / "bad.txt").write_text("1.0 abc\n2.0 3.0\n")
+    with pytest.raises(ValueError, match="mixed"):
+        read_vectors(spark, str(tmp_path / "mixed.txt"))
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="malformed"):
+                read_vectors(spark, str(tmp_path / "bad.txt")).collect()
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_distance_to_own_centre(spark):
+    df = spark.createDataFrame([(0, [0.0], 1), (1, [5.0], 0), (2, [1.0], None)], "id long, x array<double>, c int")
+    got = sorted(tuple(r) for r in V.distance_to_center(df, [[1.0], [4.0]]).select("id", "d").collect())
+    assert got == [(0, 4.0), (1, 4.0), (2, None)]
