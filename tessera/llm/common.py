@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import written  # noqa: F401
 
 SLICE_BYTES = 1 << 20  # text handled at a time inside a task; one longer text is handled alone
 
@@ -20,18 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` as Parquet to the shared checkpoint folder and read it again.
-
-    Unlike executor-local storage the files survive a lost executor, and the reread table has
-    a known size, so Spark's own threshold decides whether a join may broadcast it.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def row_key(*cols: str) -> Column:
     """64-bit key of a row's content. Rows that share it with their id are repeats of one row."""
     return F.xxhash64(*cols)
