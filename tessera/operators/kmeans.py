@@ -79,7 +79,8 @@ def fit(points: DataFrame, k: int, iterations: int, seed: int, x: str = "x", id:
 
     Seeding uses unit weights unless ``weighted_seeding`` (D2); the Lloyd steps
     use ``weight``. 0 iterations returns the seeds. ``persist`` keeps the point set on the
-    executors between rounds; without it every round reads its source.
+    executors between rounds; without it every round reads its source. Partial sums are added in
+    the order in which tasks end, so without it a retried task may change the last bits.
     """
     data = points.select(id, x, *([weight] if weight else []))
     if persist:

@@ -49,8 +49,8 @@ def main():
     baseline = core_rows(pts.mapInPandas(passthrough, pts.schema))
     map_side = core_rows(pts.mapInPandas(flaky, pts.schema))
     reduce_side = core_rows(pts, after=True)
-    fit_clean = kmeans.fit(pts, 3, 2, seed=9)
-    fit_flaky = kmeans.fit(pts.mapInPandas(flaky, pts.schema), 3, 2, seed=9)
+    fit_clean = kmeans.fit(pts, 3, 2, seed=9, persist=True)
+    fit_flaky = kmeans.fit(pts.mapInPandas(flaky, pts.schema), 3, 2, seed=9, persist=True)
     print(json.dumps({
         "map_side_equal": baseline == map_side,
         "reduce_side_equal": clean == reduce_side,
