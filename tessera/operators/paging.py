@@ -68,4 +68,4 @@ def iter_pages(df: DataFrame, order_by: Sequence[str], page_size: int,
         raise ValueError("page_size must be positive")
     indexed = written(with_row_index(df, order_by, index_col))
     for start in range(0, indexed.count(), page_size):
-        yield page(indexed, start, start + page_size, index_col)
+        yield page(indexed, start, start + page_size, index_col).orderBy(index_col)
