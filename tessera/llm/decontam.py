@@ -187,7 +187,7 @@ def _verified(found: DataFrame, prefixes: DataFrame) -> DataFrame:
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, min_pct: int = MIN_PCT,
                   id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``id, key, n_words, n_hit, items`` (sorted ids as strings), ``contaminated`` for each row of ``docs``."""
-    sc = docs.sparkSession.sparkContext
+    sc, shingle = docs.sparkSession.sparkContext, min(shingle, window)
     rows = docs.select(F.col(id_col).alias("id"), row_key(text).alias("key"), F.col(text).alias("text"))
     shingles = written(_item_shingles(benchmark, item_id, item_text, window, shingle))
     sizes = sorted(r["size"] for r in shingles.select("size").distinct().collect())  # at most ``shingle``
