@@ -45,7 +45,7 @@ from .common import byte_buffers, row_key, slices, written
 from .hashing import PrefixHash, filter_of, passes
 
 LENGTH = 400    # bytes of a repeated string
-SAMPLE = 128    # a position is sampled from every so many
+SAMPLE = 96     # a position is sampled from every so many
 GRAM = 16       # bytes that decide which
 PIECE = 1 << 22  # window starts of one text handled at a time
 _PLACE = np.uint64((1 << 26) - 1)
