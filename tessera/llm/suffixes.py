@@ -47,7 +47,8 @@ from .hashing import PrefixHash, filter_of, passes
 LENGTH = 400    # bytes of a repeated string
 SAMPLE = 96     # a position is sampled from every so many
 GRAM = 16       # bytes that decide which
-PIECE = 1 << 22  # window starts of one text handled at a time
+SLICE = 1 << 18  # bytes of texts handled at a time (numpy holds about a hundred times that)
+PIECE = 1 << 20  # window starts of one long text handled at a time
 _PLACE = np.uint64((1 << 26) - 1)
 
 
@@ -67,7 +68,7 @@ def _sampled(h: PrefixHash, n: int, sample: int, gram: int) -> np.ndarray:
 
 def _pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, int]]:
     """``(batch, bytes, offsets, rows, place)``: texts long enough; a very long one in overlapping pieces."""
-    for b in slices(batches, "text"):
+    for b in slices(batches, "text", SLICE):
         data, off = byte_buffers(b.column(b.schema.get_field_index("text")))
         if b.num_rows == 1:
             for at in range(0, max(1, len(data) - length + 1), PIECE):
@@ -128,7 +129,7 @@ def _members(rows: DataFrame, bitmap, length: int, sample: int, gram: int) -> Da
 def _passing(rows: DataFrame, bitmap, wanted: bool) -> DataFrame:
     """Rows whose key passes the filter, or the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(at, 1024) for x in batches for at in range(0, x.num_rows, 1024)):
             hit = passes(bitmap.value, b.column(b.schema.get_field_index("key")).to_numpy().view(np.uint64))
             yield b.filter(pa.array(hit == wanted))
 
@@ -211,7 +212,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     span = "array<struct<start: bigint, stop: bigint>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (x.slice(at, 128) for x in batches for at in range(0, x.num_rows, 128)):
             own = b.column(0).flatten()
             texts, kept, spans = own[field].cast(pa.binary()), [], []
             for t, r in zip(texts, b.column(1)):
