@@ -12,9 +12,12 @@ make up the maximal run, whatever its length.
 So a line is deleted exactly when it lies in a run of at least ``run`` lines that occurs earlier,
 in another document or in its own; the first occurrence stays.
 
+With ``words`` (off by default, as the SQL of the query knows runs of lines only) shorter runs of at least
+that many words count too: each window of fewer than ``run`` lines that holds them is compared whole.
+
 Defined results: NULL or empty texts have no lines and stay as they are; lines without a word are
 not part of runs and go or stay with the line with a word before them (leading ones, after them);
-documents with fewer than ``run`` lines lose nothing; a repeated row (same id, same text) is the
+documents with fewer than ``run`` lines lose nothing (but to ``words``); a repeated row (same id, same text) is the
 same document and is treated alike; NULL ids sort first; other columns pass through; an empty
 table gives an empty result.
 
@@ -29,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import row_key, written
+from .quality import words_of
 
 RUN = 3  # least lines of a repeated run
 
@@ -37,11 +41,11 @@ def _line_hash(line: Column) -> Column:
     return F.xxhash64(F.btrim(line, F.lit(" \t\n\x0b\f\r")))
 
 
-def _sequences(docs: DataFrame, id_col: str, text: str, run: int) -> DataFrame:
-    """``id, key, hashes`` (lines with a word, in order), one row per document long enough."""
+def _sequences(docs: DataFrame, id_col: str, text: str, run: int, *more: Column) -> DataFrame:
+    """``id, key, hashes`` (lines with a word, in order) and ``more``, one row per document long enough."""
     lines = F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return (docs.filter(F.col(text).isNotNull())
-            .select(F.col(id_col).alias("id"), row_key(text).alias("key"), F.transform(lines, _line_hash).alias("hashes"))
+            .select(F.col(id_col).alias("id"), row_key(text).alias("key"), F.transform(lines, _line_hash).alias("hashes"), *more)
             .filter(F.size("hashes") >= run))
 
 
@@ -74,17 +78,38 @@ def repeated_windows(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", te
             .select("id", "key", "start").distinct())
 
 
-def deleted_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_passages(docs: DataFrame, words: int, run: int = RUN, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """``id, key, start, n`` of windows of ``n < run`` lines with at least ``words`` words that occur earlier."""
+    lines = F.filter(F.split(F.col(text), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    seq = _sequences(docs, id_col, text, 1, F.transform(lines, lambda x: F.size(words_of(x))).alias("counts"))
+    sized = [F.transform(F.sequence(F.lit(1), F.size("hashes")), lambda i: F.struct(
+        i.alias("start"), F.lit(n).alias("n"), F.aggregate(F.slice("counts", i, n), F.lit(0), lambda a, b: a + b).alias("held"),
+        F.xxhash64(F.slice("hashes", i, n)).alias("h1"), F.hash(F.slice("hashes", i, n)).alias("h2"))) for n in range(1, run)]
+    windows = written(seq.select("id", "key", F.explode(F.filter(F.flatten(F.array(*sized)), lambda w: (w["held"] >= words)
+                                 & (w["start"] + w["n"] - 1 <= F.size("hashes")))).alias("w"))
+                      .select("id", "key", "w.start", "w.n", "w.h1", "w.h2"))
+    place = F.struct("id", "key", "start")
+    first = (windows.groupBy("n", "h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+             .filter(~F.col("first").eqNullSafe(F.col("last"))).select("n", "h1", "h2", "first"))
+    return (windows.join(first, ["n", "h1", "h2"]).filter(~place.eqNullSafe(F.col("first")))
+            .select("id", "key", "start", "n").distinct())
+
+
+def deleted_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text: str = "text",
+                  words: int | None = None) -> DataFrame:
     """``_id, _key, gone``: sorted 1-based positions among the lines with a word to delete, per document."""
-    starts = repeated_windows(docs, run, id_col, text)
-    return (starts.select("id", "key", F.explode(F.sequence("start", F.col("start") + run - 1)).alias("pos"))
+    starts = repeated_windows(docs, run, id_col, text).withColumn("n", F.lit(run))
+    if words is not None and run > 1:
+        starts = starts.unionByName(repeated_passages(docs, words, run, id_col, text))
+    return (starts.select("id", "key", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("pos"))
             .groupBy(F.col("id").alias("_id"), F.col("key").alias("_key"))
             .agg(F.sort_array(F.collect_set("pos")).alias("gone")))
 
 
-def dedup_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text: str = "text",
+                words: int | None = None) -> DataFrame:
     """``docs`` with later repeated runs taken out of ``text``, and ``n_lines``, ``n_deleted`` (lines with a word)."""
-    gone = deleted_lines(docs, run, id_col, text).withColumnRenamed("gone", "_gone").hint("merge")  # one plan at every size
+    gone = deleted_lines(docs, run, id_col, text, words).withColumnRenamed("gone", "_gone").hint("merge")  # one plan at every size
     keep = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_deleted")])
     out = keep.withColumn("_k", row_key(text)).join(
         gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left")

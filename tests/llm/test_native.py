@@ -73,6 +73,35 @@ def test_line_dedup_edge_rows(spark, docs_of):
     assert lines.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_long_passages_on_few_lines_go_when_asked(spark, docs_of):
+    one, two = " ".join(f"w{i}" for i in range(50)), [" ".join(f"{c}{i}" for i in range(25)) for c in "ab"]
+    rows = [(1, f"x1\n{one}\ny1"), (2, one), (3, f"{two[0]}\n\n {two[1]}\t\nz"), (4, "q\n" + "\n".join(two)),
+            (5, f"{two[1]}\n{two[0]}"), (6, " ".join(one.split()[:49])), (7, " ".join(one.split()[:49])), (8, None)]
+    off = {r.doc_id: r.n_deleted for r in lines.dedup_lines(docs_of(rows)).collect()}
+    assert not any(off.values())
+    got = {r.doc_id: (r.text, r.n_deleted) for r in lines.dedup_lines(docs_of(rows), words=50).collect()}
+    assert got == {i: (t, 0) for i, t in rows} | {2: ("", 1), 4: ("q", 2)}
+
+
+@pytest.mark.parametrize("run", [1, 2, 3, 4])
+def test_long_passages_equal_brute_force(spark, docs_of, run):
+    rng = random.Random(run)
+    pool = ["a", "b c", " d e f ", "g h i j", ""]
+    rows = [(i, "\n".join(rng.choice([*pool, f"u{rng.randint(0, 40)} v"]) for _ in range(rng.randint(0, 9)))) for i in range(60)]
+    seen, want = set(), {}
+    for i, text in rows:
+        keys, gone = [x.strip() for x in text.split("\n") if x.strip()], set()
+        for n in range(1, run + 1):
+            for p in range(len(keys) - n + 1):
+                w = tuple(keys[p:p + n])
+                if n == run or sum(len(x.split()) for x in w) >= 4:
+                    gone |= set(range(p, p + n)) if w in seen else set()
+                    seen.add(w)
+        want[i] = len(gone)
+    got = {r.doc_id: r.n_deleted for r in lines.dedup_lines(docs_of(rows), run, words=4).collect()}
+    assert got == want and any(want.values())
+
+
 # ------------------------------------------------------------------ 8
 
 def brute_repeat(words, k=8):
