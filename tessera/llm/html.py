@@ -4,13 +4,16 @@
    the container that holds it, and in part for that container's parent; menus, headers, footers,
    sidebars, notices, adverts, forms, scripts, styles and comments count for none. A container is
    known by its generalised path: the tags and classes from the root down, digits as 0.
-2. Spark adds up the pages' shares per host and path; paths with enough of a host's votes win.
-3. Each page is read again with its host's winning paths: the best one that holds a fair part of
-   the page's text gives the containers whose blocks are returned; a page unlike its host's other
-   pages falls back on its own best path.
+2. Spark adds up the pages' shares per host and path; paths with enough of a host's votes win. Votes
+   by text of a path's own, without what its children count for it, are added up beside them.
+3. Each page is read again with its host's winning paths. Returned are the blocks under the best one
+   that holds a fair part of the page's text and under every path that wins by text of its own; all
+   of the nearest ``<article>`` around these; and what lies loose in the containers around them, up
+   to the body (titles, introductions; no blocks of links only). A page unlike its host's other pages
+   falls back on its own paths.
 
 Votes are summed before they are shuffled, so a large host is no burden. Winning paths (at most
-``1.6 / MIN_VOTES`` per host) are written to the shared folder and joined to the pages by host; Spark
+``1.6 / MIN_VOTES`` per host, and ``1 / MIN_VOTES`` by own text) are written to the shared folder and joined to the pages by host; Spark
 broadcasts them if they are small enough and else splits a large host's rows.
 
 Inside a block white space (Unicode) becomes one space and ``<br>`` counts as such; character
@@ -59,16 +62,19 @@ _NOT_MAIN_WORDS = frozenset(
     "pagination pager copyright toolbar contentinfo complementary dialog alert".split())
 _COMMENT_WORDS = frozenset("comment comments reply replies disqus respond".split())
 _NEGATED = frozenset("has with without no not is".split())
+_PAGE = frozenset(("", "html", "body"))  # hold all of a page, so what lies loose in them needs votes of its own
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _LETTERS = re.compile(r"[^a-z]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "label", "path", "main", "block", "container")
+    __slots__ = ("tag", "parent", "label", "path", "main", "block", "container", "article")
 
     def __init__(self, tag: str, parent: _Node | None, label: str, path: int, main: bool):
         self.tag, self.parent, self.label, self.path, self.main = tag, parent, label, path, main
         self.block = parent.block if parent and tag in _INLINE else self  # the element whose block its text is in
         self.container = parent.container if parent and (tag in _INLINE or tag in _TEXT_BLOCK) else self
+        self.article = self if tag == "article" else parent.article if parent else None  # the nearest
 
 
 def _open(tag: str, attrs: str, parent: _Node) -> _Node:
@@ -149,18 +155,21 @@ def _blocks(page: str) -> list[tuple[_Node, str, int]]:
     return out
 
 
-def _shares(blocks: list[tuple[_Node, str, int]]) -> dict[int, tuple[float, _Node]]:
-    """Path -> its share of the page's text outside links, and one of its containers."""
+def _shares(blocks: list[tuple[_Node, str, int]]) -> dict[int, tuple[float, float, _Node]]:
+    """Path -> its share of the page's text outside links, that by text of its own (0 if small), and one of its containers."""
     score: dict[int, float] = defaultdict(float)
+    own: dict[int, float] = defaultdict(float)
     one: dict[int, _Node] = {}
     for node, text, links in blocks:
         c = node.container
+        own[c.path] += len(text) - links
         for n, part in ((c, 1.0), (c.parent, PARENT_SHARE)):
             if n is not None:
                 score[n.path] += part * (len(text) - links)
                 one.setdefault(n.path, n)
     total = sum(len(text) - links for _, text, links in blocks)
-    return {p: (s / total, one[p]) for p, s in score.items() if s >= MIN_SHARE * total} if total else {}
+    return {p: (s / total, own[p] / total if own[p] >= MIN_SHARE * total else 0.0, one[p])
+            for p, s in score.items() if s >= MIN_SHARE * total} if total else {}
 
 
 def _name(node: _Node) -> str:
@@ -171,47 +180,73 @@ def _name(node: _Node) -> str:
     return ">".join(reversed(labels))
 
 
-def page_text(page: str, winning: list[int]) -> str:
-    """Main text of a page; ``winning``: its host's paths, best first."""
+def page_text(page: str, winning: list[int], holding: list[int] | None = None) -> str:
+    """Main text of a page; ``winning``: its host's paths, best first; ``holding``: those that win by text of their own."""
     blocks = _blocks(page)
     shares = _shares(blocks)
     path = next((p for p in winning if p in shares), None)
     if path is None and shares:
         path = max(shares, key=lambda p: (shares[p][0], -p))
-    inside: dict[int, bool] = {}
-
-    def within(node: _Node | None) -> bool:
-        chain = []
-        while node is not None and id(node) not in inside:
-            chain.append(node)
-            node = node.parent
-        found = inside[id(node)] if node is not None else False
-        for n in reversed(chain):
-            found = inside[id(n)] = found or n.path == path
-        return found
-
-    return "\n".join(text for node, text, _ in blocks if path is None or within(node))
+        holding = [p for p, s in shares.items() if s[1]]
+    if path is None:
+        return "\n".join(text for _, text, _ in blocks)
+    paths = {path, *(holding or ())}
+    tops: list[_Node] = []  # the outermost chosen containers
+
+    def under(chosen) -> set[int]:
+        """Blocks (by number) under a node that is ``chosen``; each node is looked at once."""
+        inside: dict[int, bool] = {}
+        out = set()
+        for i, (node, _, _) in enumerate(blocks):
+            chain = []
+            while node is not None and id(node) not in inside:
+                chain.append(node)
+                node = node.parent
+            found = inside[id(node)] if node is not None else False
+            for n in reversed(chain):
+                if not found and chosen(n):
+                    found = True
+                    tops.append(n)
+                inside[id(n)] = found
+            if found:
+                out.add(i)
+        return out
+
+    kept = under(lambda n: n.path in paths)
+    articles = {id(n.article) for n in tops if n.article is not None}
+    if articles:
+        kept |= under(lambda n: id(n) in articles)
+    around: set[int] = set()
+    for n in tops:
+        while (n := n.parent) is not None and id(n) not in around:
+            around.add(id(n))
+    kept |= {i for i, (node, text, links) in enumerate(blocks) if id(node.container) in around
+             and node.container.tag not in _PAGE and (links < len(text) or node.tag in _HEADING)}
+    return "\n".join(text for i, (_, text, _) in enumerate(blocks) if i in kept)
 
 
 def host_paths(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """``host, paths``: each host's winning paths, best first."""
+    """``host, paths, holding``: each host's winning paths, best first, and those that win by text of their own."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "page"):
-            rows = [(h, p - (1 << 64) if p >> 63 else p, s, _name(n))
+            rows = [(h, p - (1 << 64) if p >> 63 else p, s, o, _name(n))
                     for h, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if x
-                    for p, (s, n) in _shares(_blocks(x)).items()]
+                    for p, (s, o, n) in _shares(_blocks(x)).items()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
-                                             names=["host", "path", "share", "name"])
+                                             names=["host", "path", "share", "own", "name"])
 
-    kinds = (pa.string(), pa.int64(), pa.float64(), pa.string())
+    kinds = (pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.string())
     own = pages.select(host_of(url).alias("host"), F.col(page).alias("page"))
     n = own.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    votes = (own.mapInArrow(run, "host string, path long, share double, name string")
-             .groupBy("host", "path").agg(F.round(F.sum("share"), 6).alias("votes"), F.min("name").alias("name")))
-    won = votes.alias("v").join(n.alias("n"), F.col("v.host").eqNullSafe(F.col("n.host"))).filter(F.col("votes") >= MIN_VOTES * F.col("n"))
+    votes = (own.mapInArrow(run, "host string, path long, share double, own double, name string")
+             .groupBy("host", "path").agg(F.round(F.sum("share"), 6).alias("votes"), F.round(F.sum("own"), 6).alias("own"),
+                                          F.min("name").alias("name")))
+    won = votes.alias("v").join(n.alias("n"), F.col("v.host").eqNullSafe(F.col("n.host"))).filter(F.col("votes") >= MIN_VOTES * F.col("n.n"))
     return (won.groupBy(F.col("v.host").alias("host"))
-            .agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("rank"), "name", "path"))).alias("best"))
-            .select("host", F.transform("best", lambda x: x["path"]).alias("paths")))
+            .agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("rank"), "name", "path",
+                                                      (F.col("own") >= MIN_VOTES * F.col("n.n")).alias("holds")))).alias("best"))
+            .select("host", F.transform("best", lambda x: x["path"]).alias("paths"),
+                    F.transform(F.filter("best", lambda x: x["holds"]), lambda x: x["path"]).alias("holding")))
 
 
 def host_of(url: str):
@@ -222,15 +257,16 @@ def host_of(url: str):
 def main_text(pages: DataFrame, url: str = "url", page: str = "html", text: str = "text") -> DataFrame:
     """``pages`` with ``text``, the main text of each."""
     keep = pages.select(*[c for c in pages.columns if c != text])
-    paths = written(host_paths(pages, url, page)).select(F.col("host").alias("_host"), F.col("paths").alias("_paths"))
+    paths = written(host_paths(pages, url, page)).select(F.col("host").alias("_host"), F.col("paths").alias("_paths"), F.col("holding").alias("_holding"))
     joined = keep.withColumn("_own", host_of(url)).join(paths, F.col("_own").eqNullSafe(F.col("_host")), "left").drop("_own", "_host")
     names = keep.columns
     schema = T.StructType([*keep.schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, page):
-            html, winning = (b.column(b.schema.get_field_index(c)).to_pylist() for c in (page, "_paths"))
-            out = [page_text(x, [p & (1 << 64) - 1 for p in w or ()]) if x else "" for x, w in zip(html, winning)]
+            html, winning, holding = (b.column(b.schema.get_field_index(c)).to_pylist() for c in (page, "_paths", "_holding"))
+            out = [page_text(x, *([p & (1 << 64) - 1 for p in w or ()] for w in (ws, hs))) if x else ""
+                   for x, ws, hs in zip(html, winning, holding)]
             yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in names], pa.array(out, pa.string())],
                                              names=[*names, text])
 

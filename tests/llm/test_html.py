@@ -57,3 +57,38 @@ def test_the_host_decides_over_a_page(spark):
     got = {r.page_id: r.text for r in html.main_text(df).collect()}
     assert got[9] == "\n".join(story[:2])
     assert html.page_text(rows[9][2], []) != got[9]
+
+
+def whole(spark, pages):
+    """Texts of the pages of one host."""
+    df = spark.createDataFrame([(i, "http://h.org/%d" % i, x) for i, x in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in html.main_text(df).orderBy("page_id").collect()]
+
+
+def test_an_article_is_more_than_its_longest_part(spark):
+    def p(word, chars):
+        return (word * chars)[:chars]
+    for before, inner in ((20, 80), (3, 97)):  # title and introduction beside the container with most text
+        for tags in (("<article>", "</article>"), ('<div class="post">', "</div>"), ('<div class="post"><div class="in">', "</div></div>")):
+            page = f'<nav>menu</nav>{tags[0]}<h1>T</h1><p>{p("intro", before)}</p><div class="body"><p>{p("long", inner)}</p></div>{tags[1]}<div class="ad">buy</div>'
+            assert whole(spark, [f"<body>{page}</body>"] * 3) == [f'T\n{p("intro", before)}\n{p("long", inner)}'] * 3, (before, tags)
+    # parts of unlike size and class, a small one too; a deep part in an article
+    parts = "".join(f'<section class="{c}"><p>{p(c, n)}</p></section>' for c, n in (("one", 70), ("two", 30)))
+    for tags in (("<article>", "</article>"), ('<div class="post">', "</div>")):
+        assert whole(spark, [f"{tags[0]}{parts}{tags[1]}"] * 3) == [f'{p("one", 70)}\n{p("two", 30)}'] * 3
+    deep = f'<article><h1><a href="/">T</a></h1><div class="a"><div class="b"><div class="c"><p>{p("long", 90)}</p></div></div></div><div class="z"><p>end</p></div></article>'
+    assert whole(spark, [deep] * 3) == [f'T\n{p("long", 90)}\nend'] * 3
+
+
+def test_all_paths_that_win_on_the_host_are_used(spark):
+    # most pages hold a story, three hold mostly an appendix beside a story of a quarter: both win
+    def page(story, appendix):
+        return f'<div class="a1"><p>{"s" * story}</p></div><div class="b2"><p>{"t" * appendix}</p></div><div class="more"><a href="/">More</a></div>'
+    got = whole(spark, [page(100, 0)] * 7 + [page(25, 75)] * 3 + ['<section><div class="odd"><p>only here</p></div></section>'])
+    assert got == ["s" * 100] * 7 + ["s" * 25 + "\n" + "t" * 75] * 3 + ["only here"]
+
+
+def test_what_lies_around_the_main_text_is_no_menu():
+    page = '<body>loose<div class="wrap"><p>By <a href="/me">me</a></p><ul><li><a href="/1">One</a></ul><div class="x"><p>{}</p></div><div class="y"><p>talk</p></div></div></body>'
+    assert html.page_text(page.format("story " * 40), []) == "By me\n" + ("story " * 40).strip()
+    assert len(html.page_text("<div>" * 20000 + "deep text" * 9 + "<div>x" * 2000, [])) > 80
