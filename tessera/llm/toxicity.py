@@ -2,8 +2,9 @@
 
 Training uses labelled rows only: at most about ``SAMPLE`` of them (a documented bound; chosen by a
 hash, so the same rows every time). Of these, one part fits the lexicon and the trees, the other
-the calibration. The lexicon holds the ``LEXICON`` words whose presence speaks most for the label (by
-the z-value of the log odds of documents holding them). A text is then known only by its features:
+the calibration. The lexicon holds the words whose presence speaks for the label by a z-value of the log
+odds of documents holding them above ``Z`` (about one word in 700 passes by chance), the best ``LEXICON``
+if there are more. A text is then known only by its features:
 densities of lexicon words in the text and in its densest window, their nearness to the second
 person, rates of capitals, punctuation and lengthened or obfuscated words, and lexicon words that
 appear once obfuscation is undone. Language, source, ids and labels are no features.
@@ -32,7 +33,8 @@ from pyspark.sql import types as T
 from .common import slices, written
 
 SAMPLE = 20_000      # labelled rows used for training, about
-LEXICON = 100        # words
+LEXICON = 5_000      # words at most; the z-value decides below that
+Z = 3.0              # least z-value of a lexicon word
 MIN_DOCUMENTS = 5    # labelled documents that hold a lexicon word
 TREES, DEPTH, STEP = 24, 4, 0.3
 CALIBRATION = 4      # one row in so many fits the calibration
@@ -100,8 +102,9 @@ def with_features(docs: DataFrame, lexicon: dict[str, float], text: str = "text"
     return keep.mapInArrow(run, schema)
 
 
-def learn_lexicon(labelled: DataFrame, size: int = LEXICON, min_documents: int = MIN_DOCUMENTS) -> dict[str, float]:
-    """Words of ``labelled`` (``text, label``) and their log odds; ``size`` at most."""
+def learn_lexicon(labelled: DataFrame, size: int = LEXICON, min_documents: int = MIN_DOCUMENTS,
+                  least: float = Z) -> dict[str, float]:
+    """Words of ``labelled`` (``text, label``) with a z-value above ``least`` and their log odds; ``size`` at most."""
     held = labelled.select("label", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
     n = labelled.agg(F.sum("label"), F.count(F.lit(1))).first()
     pos, neg = n[0], n[1] - n[0]
@@ -109,7 +112,7 @@ def learn_lexicon(labelled: DataFrame, size: int = LEXICON, min_documents: int =
     odds = F.log((a + 0.5) / (pos - a + 0.5)) - F.log((b + 0.5) / (neg - b + 0.5))
     z = odds / F.sqrt(1 / (a + 0.5) + 1 / (pos - a + 0.5) + 1 / (b + 0.5) + 1 / (neg - b + 0.5))
     top = (held.filter("word <> ''").groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-           .filter(a + b >= min_documents).select("word", odds.alias("odds"), z.alias("z")).filter("z > 2")
+           .filter(a + b >= min_documents).select("word", odds.alias("odds"), z.alias("z")).filter(F.col("z") > least)
            .orderBy(F.desc("z"), "word").limit(size))
     return {r["word"]: r["odds"] for r in top.collect()}
 

@@ -49,3 +49,15 @@ def test_edge_rows(spark, docs_of):
     got = model.score(docs)
     assert got.columns == docs.columns + ["score"] and got.count() == 5
     assert model.score(docs.limit(0)).count() == 0
+
+
+def test_the_z_value_decides_what_is_in_the_lexicon(spark):
+    # 300 words in six toxic texts each and no other; a word in toxic texts a little more often than elsewhere; one that is common
+    rows = [(" ".join(["all", *("bad" + "abcdefghij"[w // 100] + "abcdefghij"[w // 10 % 10] + "abcdefghij"[w % 10] for w in range(300) if (w + i) % 50 < 6)]
+                      + ["weak"] * (i < 10)), 1) for i in range(50)]
+    rows += [("all " + "weak" * (i < 38), 0) for i in range(450)]
+    labelled = spark.createDataFrame(rows, "text string, label int")
+    got = toxicity.learn_lexicon(labelled)
+    assert len(got) == 300 and all(w.startswith("bad") for w in got)
+    assert "weak" in toxicity.learn_lexicon(labelled, least=2.0)
+    assert len(toxicity.learn_lexicon(labelled, size=7)) == 7
