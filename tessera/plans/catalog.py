@@ -244,13 +244,11 @@ def num_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K2: every page of the row index pulled in turn; one row per page with its first id and the sum of its ids."""
+    """K2: the pages of the row index in one aggregate; one row per page with its first id and the sum of its ids."""
     ids = tables.table(spark, sf_dir, "embeddings").select("vec_id")
-    rows = []
-    for i, page in enumerate(paging.iter_pages(ids, ["vec_id"], PAGE_SIZE)):
-        r = page.agg(F.min("vec_id").alias("first"), F.sum("vec_id").alias("total"), F.count(F.lit(1)).alias("n")).first()
-        rows.append((i, r["first"], r["total"], r["n"]))
-    return spark.createDataFrame(rows, "page long, first_id long, sum_id long, n long")
+    page = F.floor(F.col("idx") / PAGE_SIZE).cast("long")
+    return (paging.with_row_index(ids, ["vec_id"]).groupBy(page.alias("page"))
+            .agg(F.min("vec_id").alias("first_id"), F.sum("vec_id").alias("sum_id"), F.count(F.lit(1)).alias("n")))
 
 
 def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,3 +90,22 @@ def test_row_index_needs_and_leaves_no_cache(spark):
     spark.catalog.clearCache()
     assert idx.selectExpr("min(idx)", "max(idx)", "count(DISTINCT idx)").first()[:] == (0, 49999, 50000)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_page_sums_pulls_no_pages_and_agrees_with_them(spark, monkeypatch):
+    from tessera.plans import catalog
+    from tessera.sources import tables
+
+    ids = spark.range(0, 3500, 7).selectExpr("id * 13 % 3511 AS vec_id").repartition(3)
+    monkeypatch.setattr(tables, "table", lambda *_: ids)
+    pull, pages = paging.iter_pages, []
+    for i, pg in enumerate(pull(ids, ["vec_id"], catalog.PAGE_SIZE)):
+        own = [r["vec_id"] for r in pg.collect()]
+        pages.append((i, own[0], sum(own), len(own)))
+
+    def no_pull(*_):
+        raise AssertionError("a job per page")
+    monkeypatch.setattr(paging, "iter_pages", no_pull)
+    got = catalog.page_sums(spark, "")
+    assert got.dtypes == [(c, "bigint") for c in ("page", "first_id", "sum_id", "n")]
+    assert sorted(map(tuple, got.collect())) == pages and len(pages) == 3
