@@ -1,8 +1,8 @@
-"""Removal of repeated byte strings by sorting sampled suffixes (operator 10).
+"""Removal of repeated byte strings by hash grouping of sampled suffixes (operator 10).
 
 A byte goes when it is covered by a string of ``length`` bytes that also starts anywhere else, in
 another document or its own. That asks which suffixes share a prefix of ``length`` bytes with
-another one, so equal prefixes must become neighbours in an order of suffixes.
+another one, so equal prefixes must come together in one group.
 
 Sorting all suffixes, as a difference cover of period three does (two thirds of all positions in
 the first pass, each a shuffled row, then the recursion and the merge), writes over twenty times
@@ -14,11 +14,11 @@ one position in ``SAMPLE / 2``, and works as a cover for the same reason: any tw
    bytes have the smallest hash (the leftmost of equals). It depends on the window's bytes only.
    The windows with one sampled position a are a block; all of them hold the ``length + 1 - SAMPLE``
    bytes from a on. The sampled suffix's name is a hash of these bytes.
-2. Sort sampled suffixes by name (hash partitioned). Blocks whose name is alone hold no repeat.
+2. Group sampled suffixes by name. Blocks whose name is alone hold no repeat.
 3. Among blocks of one name, blocks of equal bytes form a class. All windows of a class with two
    members or more are repeats.
 4. Merge the remaining suffixes: where a name has several classes, every window of one member of
-   each class is sorted by (name, hash of its bytes); neighbours that are equal are repeats.
+   each class is grouped by (name, hash of its bytes); windows that share a group are repeats.
 5. The repeated windows of a document, as byte ranges, are taken out of its text.
 
 Each step is exact (64-bit names are compared within 64-bit names). Only filters of fixed size are
