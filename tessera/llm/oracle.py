@@ -81,3 +81,51 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 SQL: dict[str, str] = {"op2_decontamination": OP2, "op7_line_dedup": OP7, "op8_quality_rules": OP8, "op9_chat_formatting": OP9}
+
+# CRC-32 bit by bit; the rebuilt conversations; every prefix of each; savings of a node go to all its prefixes
+OP11 = r"""
+WITH t AS (SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS code,
+                  len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS words FROM conversations),
+own AS (SELECT conv_id, list(code ORDER BY turn NULLS FIRST, code) AS codes, list(words ORDER BY turn NULLS FIRST, code) AS words FROM t GROUP BY conv_id),
+h AS (SELECT *, coalesce(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+        lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)), lambda b, i: xor(b >> 1, 3988292384 * (b & 1)))), 4294967295::BIGINT) % 4, 0) AS h FROM own),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.codes, [])[:h.h], h.codes[h.h + 1:]) AS codes, list_concat(coalesce(b.words, [])[:h.h], h.words[h.h + 1:]) AS words
+      FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 20),
+p AS (SELECT conv_id, d, array_to_string(codes[:d], ',') AS path, array_to_string(codes[:d - 1], ',') AS up, words[d] AS w, d = len(codes) AS last
+      FROM (SELECT *, unnest(range(len(codes) + 1)) AS d FROM r)),
+n AS (SELECT d, path, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * coalesce(min(w), 0) AS saved,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends FROM p GROUP BY d, path),
+k AS (SELECT n.*, u.conv_id AS parent, coalesce(c.k, 0) AS k FROM n LEFT JOIN n u ON u.d = n.d - 1 AND u.path = n.up
+      LEFT JOIN (SELECT d - 1 AS d, up, count(*) AS k FROM n WHERE d > 0 GROUP BY ALL) c ON c.d = n.d AND c.up = n.path),
+s AS (SELECT a.d, a.path, sum(k.saved) AS saved, count(*) FILTER (k.k = 0) AS leaves
+      FROM k JOIN p q ON q.conv_id IS NOT DISTINCT FROM k.conv_id AND q.d = k.d JOIN p a ON a.conv_id IS NOT DISTINCT FROM k.conv_id AND a.d <= k.d GROUP BY a.d, a.path)
+SELECT k.conv_id::BIGINT AS conv_id, k.d::INTEGER AS depth, k.parent::BIGINT AS parent_conv_id, k.n::BIGINT AS n_convs, k.k::BIGINT AS n_children,
+       s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, k.ends AS ends_sha256 FROM k JOIN s ON s.d = k.d AND s.path = k.path
+"""
+
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+st AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+q AS (SELECT item_id, text, t, count(*) AS k FROM (SELECT item_id, text, unnest({_WORDS}) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+s AS (SELECT item_id, q.text, d.r, d.doc_id, sum(k * floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+             * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(w) * n_docs) // n_terms))))::BIGINT AS score
+      FROM q JOIN df USING (t) JOIN tf USING (t) JOIN d USING (r) CROSS JOIN st GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST, r)::INTEGER AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
+OP13 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))
+                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+u AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+l AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, min(reach.b))::BIGINT AS component_id FROM s LEFT JOIN reach ON reach.a = s.doc_id GROUP BY s.doc_id, s.s
+"""
+
+SQL.update({"op11_conversation_trie": OP11, "op12_ranked_search": OP12, "op13_jaccard_join": OP13})

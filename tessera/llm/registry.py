@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, html, lines, quality, simhash, suffixes, toxicity, wordpiece
+from . import bpe, chat, decontam, html, jaccard, lines, quality, search, simhash, suffixes, toxicity, trie, wordpiece
 from .common import table
 from .oracle import SQL as _SQL
 from .vocab import tokenizer_path
@@ -92,6 +92,25 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sequences, _ = trie.encode(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    turns = F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4, F.lit(0)).cast("int")
+    nodes, ends = trie.prefix_trie(trie.rebase(sequences, F.col("conv_id") - F.col("conv_id") % 20, turns, 3))
+    digests = trie.ends_digests(ends).select(F.col("conv_id").alias("_id"), F.col("depth").alias("_depth"), "ends_sha256")
+    out = nodes.join(digests, F.col("conv_id").eqNullSafe(F.col("_id")) & (F.col("depth") == F.col("_depth")), "left").drop("_id", "_depth")
+    return out.withColumn("ends_sha256", F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select("item_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_bpe_encoding": op1_bpe_encoding,
     "op2_decontamination": op2_decontamination,
@@ -103,6 +122,9 @@ QUERIES: dict[str, QueryFn] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_jaccard_join": op13_jaccard_join,
     "pipeline": corpus_pipeline.run,
 }
 
