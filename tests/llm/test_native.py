@@ -21,7 +21,7 @@ def test_query_matches_sql(spark, sf, name):
     names = [d[0] for d in cur.description]
     df = QUERIES[name](spark, sf)
     assert sorted(df.columns) == sorted(names)
-    assert sorted(map(tuple, df.select(*names).collect())) == sorted(cur.fetchall())
+    assert sorted(map(tuple, df.select(*names).collect()), key=str) == sorted(cur.fetchall(), key=str)
 
 
 @pytest.mark.parametrize("name", ["op7_line_dedup", "op8_quality_rules", "op9_chat_formatting"])

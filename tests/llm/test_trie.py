@@ -1,0 +1,96 @@
+import hashlib
+import random
+import re
+import zlib
+from collections import deque
+
+import pytest
+from pyspark.sql import functions as F
+
+from tessera.llm import trie
+
+
+def brute_nodes(convs):
+    """``convs``: id -> list of (turn text, words)."""
+    members, ends, words = {}, {}, {(): 0}
+    for c, turns in convs.items():
+        seq = tuple(t for t, _ in turns)
+        for d in range(len(seq) + 1):
+            members.setdefault(seq[:d], []).append(c)
+            if d:
+                words[seq[:d]] = turns[d - 1][1]
+        ends.setdefault(seq, []).append(c)
+    low = {p: min((c for c in m if c is not None), default=None) for p, m in members.items()}
+    kids = {p: [q for q in members if len(q) == len(p) + 1 and q[:len(p)] == p] for p in members}
+    out = []
+    for p, m in members.items():
+        below = [q for q in members if q[:len(p)] == p]
+        out.append((low[p], len(p), low[p[:-1]] if p else None, len(m), len(kids[p]), sum(not kids[q] for q in below),
+                    sum((len(members[q]) - 1) * words[q] for q in below),
+                    hashlib.sha256(",".join(str(c) for c in sorted(c for c in ends.get(p, []) if c is not None)).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def found_nodes(sequences, **args):
+    nodes, ends = trie.prefix_trie(sequences, **args)
+    digest = {(r.conv_id, r.depth): r.ends_sha256 for r in trie.ends_digests(ends).collect()}
+    none = hashlib.sha256(b"").hexdigest()
+    return sorted(((*r, digest.get((r.conv_id, r.depth), none)) for r in nodes.collect()), key=str)
+
+
+@pytest.mark.parametrize("shard", [1, 7, 40, 1 << 18])
+def test_shards_of_any_size_give_the_same_trie(spark, monkeypatch, shard):
+    monkeypatch.setattr(trie, "CHUNK_BITS", 2)  # ends of one node in many chunks
+    rng = random.Random(3)
+    convs = {c: [(rng.choice([1, 2, 2, 2, 9]), 0) for _ in range(rng.choice([0, 1, 2, 3, 5, 9]))] for c in range(-20, 90)}
+    convs = {c: [(t, t * 3) for t, _ in s] for c, s in convs.items()}
+    convs.update({c: [(2, 6)] * 4 for c in range(200, 260)} | {500: [(2, 6)] * 60})
+    df = spark.createDataFrame([(c, [t for t, _ in s], [w for _, w in s]) for c, s in convs.items()],
+                               "conv_id long, ids array<bigint>, words array<int>")
+    assert found_nodes(df, shard=shard) == brute_nodes(convs)
+
+
+def test_a_balanced_tree_is_shallow():
+    tree = trie._Tree()
+    rows = [([i], [1]) for i in range(1023)]
+    halves = deque([(0, len(rows))])
+    while halves:
+        a, z = halves.popleft()
+        if a < z:
+            mid = (a + z) // 2
+            tree.insert(*rows[mid])
+            halves += [(a, mid), (mid + 1, z)]
+    depth = {tree.eq[0]: 1}
+    for node in range(1, len(tree.key)):
+        for link in (tree.lo, tree.hi):
+            if link[node]:
+                depth[link[node]] = depth[node] + 1
+    assert max(depth.values()) == 10
+
+
+def test_rows_of_any_kind(spark):
+    rows = [(0, 1, "user", "a b"), (0, None, "system", "s"), (0, 2, None, None), (1, 1, "user", "x"), (1, 1, "user", "x"), (1, 0, "user", "q w e"),
+            (7, 3, "user", "a b"), (7, 3, "assistant", "a b"), (25, 1, "user", "z"), (26, 1, "user", "z" * 100_000 + " y"), (None, 1, "user", "n"), (None, 0, "", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df = df.withColumns({c: F.lit("x") for c in ("ids", "words", "id", "code", "n", "_of", "_h", "first", "shard", "path")})
+    sequences, turns = trie.encode(df)
+    assert turns.count() == len({(r or "", t or "") for _, _, r, t in rows})
+    h = F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4, F.lit(0)).cast("int")
+    got = found_nodes(trie.rebase(sequences, F.col("conv_id") - F.col("conv_id") % 20, h, 3))
+
+    own = {}
+    for c, t, r, x in rows:
+        r, x = r or "", x or ""
+        code = hashlib.md5(f"{len(r.encode())}:{r}{x}".encode()).hexdigest()
+        own.setdefault(c, []).append(((t is not None, t or 0, code), (code, len(re.findall(r"[^\x20\x09-\x0D]+", x)))))
+    own = {c: [t for _, t in sorted(ts)] for c, ts in own.items()}
+    convs = {}
+    for c, turns_ in own.items():
+        n = zlib.crc32(str(c).encode()) % 4 if c is not None else 0
+        convs[c] = (own.get(c - c % 20, [])[:n] if c is not None else []) + turns_[n:]
+    assert got == brute_nodes(convs)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert found_nodes(trie.encode(df)[0]) == []
