@@ -172,6 +172,30 @@ def distances_udf(centers: Sequence[Sequence[float]]):
     return center_distances_arrow
 
 
+def center_distance_udf(centers: Sequence[Sequence[float]]):
+    """Kernel UDF: ``array<double>, int`` → distance to the centre of that number; NULL where it names none."""
+    C = _center_matrix(centers)
+
+    @F.arrow_udf("double")
+    def own_distance_arrow(xs: pa.Array, cs: pa.Array) -> pa.Array:
+        X, valid = matrix(xs)
+        c = cs.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        named = valid & (c >= 0) & (c < len(C))
+        d = np.zeros(len(xs))
+        if named.any():
+            if X.shape[1] != C.shape[1]:
+                raise ValueError(f"points have dimension {X.shape[1]}, centres {C.shape[1]}")
+            rows, own = X[named[valid]], c[named]
+            acc = np.zeros(len(rows))
+            for j in range(C.shape[1]):  # in coordinate order, as in distance_matrix
+                diff = rows[:, j] - C[own, j]
+                acc += diff * diff
+            d[named] = np.sqrt(acc)
+        return pa.array(d, mask=~named)
+
+    return own_distance_arrow
+
+
 def nearest(x: Column | str, centers) -> Column:
     """``struct<d: double, c: int>`` of the nearest centre; ties go to the lowest index.
 

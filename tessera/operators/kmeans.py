@@ -74,11 +74,12 @@ def lloyd_step(points: DataFrame, centers, x: str = "x", weight: str | None = No
 
 def fit(points: DataFrame, k: int, iterations: int, seed: int, x: str = "x", id: str = "id",
         weight: str | None = None, weighted_seeding: bool = False, damping: float = 1.0,
-        persist: bool = False) -> list[list[float]]:
+        persist: bool = False, proposals: int | None = None) -> list[list[float]]:
     """V8: seeding (V6) then exactly ``iterations`` Lloyd steps; no convergence test.
 
     Seeding uses unit weights unless ``weighted_seeding`` (D2); the Lloyd steps
-    use ``weight``. 0 iterations returns the seeds. ``persist`` keeps the point set on the
+    use ``weight``. 0 iterations returns the seeds. ``proposals`` seeds by rejection, with so many
+    proposals per pass, in place of one race per centre (same distribution, other draws). ``persist`` keeps the point set on the
     executors between rounds; without it every round reads its source. Partial sums are added in
     the order in which tasks end, so without it a retried task may change the last bits.
     """
@@ -86,8 +87,11 @@ def fit(points: DataFrame, k: int, iterations: int, seed: int, x: str = "x", id:
     if persist:
         data = data.persist()
     try:
-        seeds = sampling.seed_centers(data, k, seed, x=x, id=id,
-                                      weight=weight if weighted_seeding else None)
+        by = weight if weighted_seeding else None
+        if proposals:
+            seeds, _ = sampling.seed_by_rejection(data, k, seed, x=x, id=id, weight=by, proposals=proposals)
+        else:
+            seeds = sampling.seed_centers(data, k, seed, x=x, id=id, weight=by)
         centers = [y for _, y in seeds]
         for _ in range(iterations):
             centers = lloyd_step(data, centers, x, weight, damping)

@@ -15,9 +15,11 @@ Round 3  the mean distance of every point to the final centres (one aggregate).
 
 The kernel draws its random numbers from md5(id:seed:part:round) for the round in hand, so
 round 1 is repeatable on retry and reproducible in SQL, and points cross a shuffle without
-them. Memory: one part is one Arrow table in one Python worker, so choose
-L ≥ n·(dim + k)·8 bytes / (target part size); :func:`suggest_parts` does this. With an explicit
-part column the caller answers for the sizes; :func:`hashed_part` makes an even one.
+them. Memory: in :func:`coreset` one part is one Arrow table in one Python worker, so choose
+L ≥ n·(dim + k)·8 bytes / (target part size); :func:`suggest_parts` does this, and
+:func:`hashed_part` makes even parts. :func:`coreset_by_blocks` takes parts of any size: it
+clusters blocks of a sorted part and merges their weighted coresets two by two, so a worker's memory follows
+the block and k.
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ from . import vectors as V
 CORESET_SCHEMA = "part long, c int, y array<double>, w double"
 CORESET_ARROW = pa.schema([("part", pa.int64()), ("c", pa.int32()), ("y", pa.list_(pa.float64())), ("w", pa.float64())])
 TARGET_PART_BYTES = 128 * 1024 * 1024
+BLOCK = 4096  # points clustered at a time by merge-and-reduce
 
 
 def suggest_parts(n_points: int, dim: int, k: int, min_parts: int = 1,
@@ -57,32 +60,37 @@ def _assign(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, D[a, np.arange(X.shape[0])]
 
 
-def _cluster_part(X: np.ndarray, u: Callable[[int], np.ndarray], k: int, iterations: int) -> tuple[np.ndarray, np.ndarray]:
+def _cluster_part(X: np.ndarray, u: Callable[[int], np.ndarray], k: int, iterations: int,
+                  weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Seeding + damped Lloyd + final weights for one part. Rows must be in id order; ``u(r)`` are
-    their uniforms of round r."""
+    their uniforms of round r. With ``weights`` all draws, means and final weights go by them."""
     n = X.shape[0]
-    first = int(np.argmax(np.log(u(0))))  # uniform draw; ties → lowest id
+    W = np.ones(n) if weights is None else weights
+
+    def draw(mass: np.ndarray, r: int) -> int:
+        cand = mass > 0
+        key = np.full(n, -np.inf)
+        key[cand] = np.log(u(r)[cand]) / mass[cand]
+        return int(np.argmax(key))  # ties → lowest id
+
+    first = draw(W, 0)
     C = [X[first]]
     d = distance_matrix(X, X[first:first + 1])[0]
     for r in range(1, k):
-        cand = d > 0
-        if not cand.any():
+        if not (W * d > 0).any():
             break
-        key = np.full(n, -np.inf)
-        key[cand] = np.log(u(r)[cand]) / d[cand]
-        i = int(np.argmax(key))
+        i = draw(W * d, r)
         C.append(X[i])
         d = np.minimum(d, distance_matrix(X, X[i:i + 1])[0])
     C = np.array(C)
     for _ in range(iterations):
         a, _ = _assign(X, C)
-        cnt = np.bincount(a, minlength=len(C)).astype(float)
-        sums = np.stack([np.bincount(a, weights=X[:, j], minlength=len(C)) for j in range(X.shape[1])],
+        cnt = np.bincount(a, weights=W, minlength=len(C))
+        sums = np.stack([np.bincount(a, weights=W * X[:, j], minlength=len(C)) for j in range(X.shape[1])],
                         axis=1)
         C = (C + sums) / (1.0 + cnt)[:, None]
     a, _ = _assign(X, C)
-    w = np.bincount(a, minlength=len(C)).astype(float)
-    return C, w
+    return C, np.bincount(a, weights=W, minlength=len(C))
 
 
 def _cluster_table(table: pa.Table, k: int, iterations: int, seed: int) -> pa.Table:
@@ -123,8 +131,124 @@ def coreset_partition_kernel(k: int, iterations: int, seed: int):
     return run
 
 
+class MergeReduce:
+    """The coreset of one part from a stream of its points, in memory for one block and a few coresets.
+
+    Every ``block`` points in a row are clustered to a weighted coreset of at most ``size`` centres:
+    leaf j of a binary tree. Two coresets side by side are put together and clustered, by weight, to at
+    most ``size`` centres: their parent. A coreset without a right neighbour goes up as it is. Of the
+    whole, k weighted centres are made. So a part of n points needs log2(n / block) coresets at a
+    time, and weights add up to n at every level. Draws are hashes of (id, seed, part, level, node, round);
+    in a parent, a point's id is its place among its coreset's centres, plus ``size`` on the right.
+    """
+
+    def __init__(self, part: int, k: int, iterations: int, seed: int, block: int, size: int):
+        self.part, self.k, self.iterations, self.seed, self.block, self.size = part, k, iterations, seed, block, size
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []  # ids and vectors not yet in a block
+        self.n_held = self.n_blocks = 0
+        self.stack: list[tuple[int, int, np.ndarray, np.ndarray]] = []  # level, node, centres, weights
+
+    def _cluster(self, X, w, ids, k: int, level: int, node: int):
+        def u(r: int) -> np.ndarray:
+            return np.array([uniform_py(i, self.seed, self.part, level, node, r) for i in ids])
+
+        return _cluster_part(X, u, k, self.iterations, w)
+
+    def _parent(self, left, right, level: int, node: int):
+        X, w = np.concatenate([left[0], right[0]]), np.concatenate([left[1], right[1]])
+        ids = [*range(len(left[0])), *range(self.size, self.size + len(right[0]))]
+        return level, node, *self._cluster(X, w, ids, self.size, level, node)
+
+    def _leaf(self, ids: np.ndarray, X: np.ndarray) -> None:
+        top = 0, self.n_blocks, *self._cluster(X, None, ids.tolist(), self.size, 0, self.n_blocks)
+        self.n_blocks += 1
+        while self.stack and self.stack[-1][0] == top[0]:
+            left = self.stack.pop()
+            top = self._parent(left[2:], top[2:], top[0] + 1, top[1] >> 1)
+        self.stack.append(top)
+
+    def add(self, ids: np.ndarray, X: np.ndarray) -> None:
+        """Points in (id, coordinates) order."""
+        while len(ids):
+            take = self.block - self.n_held
+            self.held.append((ids[:take], X[:take]))
+            self.n_held += len(self.held[-1][0])
+            ids, X = ids[take:], X[take:]
+            if self.n_held == self.block:
+                self._flush()
+
+    def _flush(self) -> None:
+        ids, X = (np.concatenate(c) for c in zip(*self.held))
+        self.held, self.n_held = [], 0
+        self._leaf(ids, X)
+
+    def finish(self) -> tuple[np.ndarray, np.ndarray] | None:
+        """``(centres, weights)``, at most k; None for a part without points."""
+        if self.n_held:
+            self._flush()
+        if not self.stack:
+            return None
+        level, node, C, w = self.stack.pop()
+        while self.stack:  # goes up alone to the level of the coreset on its left
+            left = self.stack.pop()
+            level, node, C, w = self._parent(left[2:], (C, w), left[0] + 1, left[1] >> 1)
+        return self._cluster(C, w, range(len(C)), self.k, -1, 0)
+
+
+def merge_reduce_kernel(k: int, iterations: int, seed: int, block: int, size: int):
+    """Partition form (``mapInArrow``) over rows ``part, id, x`` sorted by part, id and coordinates."""
+    def rows(tree: MergeReduce) -> pa.RecordBatch:
+        C, w = tree.finish()
+        kc, dim = C.shape
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.full(kc, tree.part, np.int64)), pa.array(np.arange(kc, dtype=np.int32)),
+            pa.ListArray.from_arrays(pa.array(np.arange(0, (kc + 1) * dim, dim, dtype=np.int32)), pa.array(C.ravel())), pa.array(w)],
+            names=CORESET_ARROW.names)
+
+    def run(batches):
+        tree = None
+        for b in batches:
+            X, valid = matrix(b.column(2))
+            part, ids = (b.column(i).to_numpy(zero_copy_only=False)[valid] for i in (0, 1))
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+            for a, z in zip(cuts[:-1], cuts[1:]):
+                if a == z:
+                    continue
+                if tree is None or tree.part != int(part[a]):
+                    if tree is not None:
+                        yield rows(tree)
+                    tree = MergeReduce(int(part[a]), k, iterations, seed, block, size)
+                tree.add(ids[a:z], X[a:z])
+        if tree is not None:
+            yield rows(tree)
+
+    return run
+
+
 # --------------------------------------------------------------------------- operators
 
+def coreset_by_blocks(points: DataFrame, k: int, parts: int | None, iterations: int, seed: int, x: str = "x", id: str = "id",
+                      part_col: str | None = None, block: int = BLOCK, size: int | None = None) -> DataFrame:
+    """V10 for parts of any size: ``part, c, y, w`` as :func:`coreset`, by merge-and-reduce (:class:`MergeReduce`).
+
+    A task holds one block and a few coresets of ``size`` centres (``2 * k`` by default), not its part, so a
+    part column may put any share of the points into one part. Spark sorts each part on (id, coordinates), on disk where
+    it must, so a retried task reads the same stream. ``parts`` and ``part_col`` are as in :func:`coreset`.
+    """
+    size = 2 * int(k) if size is None else int(size)
+    if not (0 < int(k) <= size <= block):
+        raise ValueError("0 < k <= size <= block is needed")
+    data = points.select(*([F.col(part_col).cast("long").alias("part")] if part_col else []), F.col(id).alias("id"), F.col(x).alias("x"))
+    if part_col:
+        data = data.repartition("part")
+    elif parts is not None:
+        data = data.repartition(int(parts))
+    if not part_col:
+        data = data.select(F.spark_partition_id().cast("long").alias("part"), "id", "x")
+    return (data.sortWithinPartitions("part", "id", "x").mapInArrow(
+        merge_reduce_kernel(int(k), int(iterations), int(seed), int(block), size), CORESET_SCHEMA))
+
+
 def coreset(points: DataFrame, k: int, parts: int | None, iterations: int, seed: int,
             x: str = "x", id: str = "id", part_col: str | None = None) -> DataFrame:
     """``part, c, y, w`` — at most k weighted centres per part.
@@ -163,20 +287,23 @@ def coreset_points(core: DataFrame, k: int) -> DataFrame:
 
 
 def mr_kmedian_centers(points: DataFrame, k: int, parts: int | None, iterations: int, seed: int,
-                       x: str = "x", id: str = "id", part_col: str | None = None):
+                       x: str = "x", id: str = "id", part_col: str | None = None, block: int | None = None):
     """Rounds 1 and 2 of V11: the final k centres (driver list, size-checked).
 
+    With ``block`` round 1 goes by merge-and-reduce, so parts may have any size.
+
     The coreset is written to the shared folder: round 1 runs once, and a lost executor does not
     bring it back; round 2 reads as many splits as its L·k rows fill.
     """
-    core = written(coreset(points, k, parts, iterations, seed, x, id, part_col))
+    core = written(coreset(points, k, parts, iterations, seed, x, id, part_col) if block is None
+                   else coreset_by_blocks(points, k, parts, iterations, seed, x, id, part_col, block))
     if core.limit(1).count() == 0:
         raise ValueError("empty point set")
     return kmeans.fit(coreset_points(core, k), k, iterations, seed, weight="w")
 
 
 def mr_kmedian(points: DataFrame, k: int, parts: int | None, iterations: int, seed: int,
-               x: str = "x", id: str = "id", part_col: str | None = None) -> DataFrame:
+               x: str = "x", id: str = "id", part_col: str | None = None, block: int | None = None) -> DataFrame:
     """``objective`` — mean distance of all points to the k-median centres."""
-    centers = mr_kmedian_centers(points, k, parts, iterations, seed, x, id, part_col)
+    centers = mr_kmedian_centers(points, k, parts, iterations, seed, x, id, part_col, block)
     return V.objective(points, centers, x)

@@ -14,7 +14,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import fresh_path, written
 
 
 def running_offsets(small: DataFrame, order_cols: Sequence[str], count_col: str,
@@ -61,11 +61,16 @@ def iter_pages(df: DataFrame, order_by: Sequence[str], page_size: int,
                index_col: str = "idx") -> Iterator[DataFrame]:
     """K2: yield consecutive pages as DataFrames; the caller collects one at a time.
 
-    The indexed rows are written once to the shared folder, sorted inside each file, so a page
-    job skips row groups by the index's statistics. The driver never holds more than one page.
+    One job writes the indexed rows to the shared folder with a folder per page; a page's job then
+    lists and reads its own folder only, whatever the size of the table. The driver never holds
+    more than one page.
     """
     if page_size <= 0:
         raise ValueError("page_size must be positive")
-    indexed = written(with_row_index(df, order_by, index_col))
-    for start in range(0, indexed.count(), page_size):
-        yield page(indexed, start, start + page_size, index_col).orderBy(index_col)
+    indexed = with_row_index(df, order_by, index_col)
+    schema, path = indexed.schema, fresh_path(df.sparkSession)
+    pages = indexed.withColumn("_page", F.floor(F.col(index_col) / page_size).cast("long"))
+    pages.write.partitionBy("_page").parquet(path)
+    n = df.sparkSession.read.schema("_page long").parquet(path).agg(F.max("_page").alias("last")).first()["last"]  # from the folders' names
+    for i in range(0 if n is None else n + 1):
+        yield df.sparkSession.read.schema(schema).parquet(f"{path}/_page={i}").orderBy(index_col)

@@ -9,17 +9,22 @@ global window, no ordered pass.
 
 V5(b), the *prefix pick*, reproduces the reference's scan for an explicit
 x ∈ [0, 1): the first point, in id order, whose running sum of w·d exceeds
-x·Σ w·d. It descends through the bits of the ids, ``FAN_BITS`` at a time: each
-level is one aggregate to at most ``2 ** FAN_BITS + 1`` buckets of the range that
-holds the target, so no task ever holds more, whatever the ids.
+x·Σ w·d. (id, w·d) is written once; a table of about ``2 ** FAN_BITS`` ids then cuts
+it into buckets of about equally many ids, and the bucket that holds the target is
+cut again until its buckets are single ids.
+
+V6 draws every centre by a race (one pass per centre), or by rejection from bounds
+of an earlier pass (several centres per pass), with the same distribution.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.random import uniform
+from ..functions.random import uniform, uniform_py
 from ..session import written
 from . import vectors as V
 
@@ -48,19 +53,31 @@ def race_pick(points: DataFrame, seed: int, round_no: int, id: str = "id", d: st
     return best.where(F.col("best").isNotNull()).select("best.*")
 
 
-FAN_BITS = 10
+FAN_BITS = 12
+
+
+def _bucket_udf(cuts: list[int]):
+    """Number of cuts at or below an id."""
+    at = np.array(cuts, np.int64)
+
+    @F.arrow_udf("int")
+    def bucket(ids: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(at, ids.to_numpy(zero_copy_only=False), side="right").astype(np.int32))
+
+    return bucket
 
 
 def prefix_pick(points: DataFrame, frac: float, id: str = "id", d: str = "d",
                 weight: str | None = None, fan_bits: int = FAN_BITS) -> DataFrame:
     """V5(b): one row ``id``: first point in id order with running Σ w·d > frac · Σ w·d.
 
-    The first level splits the whole id range into buckets by an arithmetic shift (floor
-    division by a power of two, exact for every bigint), sums w·d per bucket and finds the
-    bucket in which the running sum passes the target; the next level splits that bucket, until
-    buckets are single ids. Rows sharing an id are summed. If rounding leaves no running sum
-    above the target, the last candidate of the range is taken (D9 clamp). Points with w·d = 0
-    are never returned; no candidate gives no row.
+    One pass over the points writes (id, w·d), so whatever ``d`` is made of is computed once. All
+    else reads these two columns. A table of about ``2 ** fan_bits`` ids, drawn by hash from the
+    distinct ids, cuts the id range into buckets of about equally many ids, however the ids lie; one aggregate sums
+    w·d per bucket and finds the bucket in which the running sum passes the target. That bucket is
+    cut again, until every distinct id is a cut: one level for 4,000 ids, two for 16 million, three for 6e10. Rows sharing an id are summed. If
+    rounding leaves no running sum above the target, the last candidate of the range is taken (D9
+    clamp). Points with w·d = 0 are never returned; no candidate gives no row.
     """
     if not 0.0 <= frac < 1.0:
         raise ValueError("frac must be in [0, 1)")
@@ -68,32 +85,35 @@ def prefix_pick(points: DataFrame, frac: float, id: str = "id", d: str = "d",
     w = F.col(weight) if weight else F.lit(1.0)
     mass = w * F.col(d)
     # No filter on `mass` itself: a predicate on a kernel output would be pushed
-    # below it and evaluate the kernel twice; `when` keeps it a projection.
-    cand = points.select(F.col(id).cast("long").alias("id"), F.when(mass > 0, mass).alias("m"))
-    ends = points.agg(F.min(id).alias("lo"), F.max(id).alias("hi")).first()  # reads the id column only
-    empty = spark.createDataFrame([], "id long")
-    if ends["lo"] is None:
-        return empty
-    lo, hi, before, target = int(ends["lo"]), int(ends["hi"]), 0.0, None
+    # below it and evaluate the kernel twice; the filter is on the written column.
+    cand = written(points.select(F.col(id).cast("long").alias("id"), F.when(mass > 0, mass).alias("m"))).where("m IS NOT NULL AND id IS NOT NULL")
+    before, target, level = 0.0, None, 0
     while True:
-        shift = max(0, (hi - lo).bit_length() - fan_bits)
-        level = (cand.where((F.col("id") >= lo) & (F.col("id") <= hi))
-                 .groupBy(F.shiftright("id", shift).alias("b")).agg(F.sum("m").alias("m"))
-                 .collect())  # at most 2 ** fan_bits + 1 rows
-        level = sorted((r["b"], r["m"]) for r in level if r["m"] is not None)
-        if not level:
-            return empty
+        ids = cand.agg(F.approx_count_distinct("id").alias("n")).first()["n"]
+        if not ids:
+            return spark.createDataFrame([], "id long")
+        most = 1 << fan_bits
+        share = min(1.0, most / ids) if 2 * ids > most else 1.0
+        # distinct ids are drawn, so an id that many rows share comes once
+        drawn = F.lit(True) if share == 1.0 else uniform(F.col("id"), F.lit("cut"), level) < share
+        cuts = sorted(r["id"] for r in cand.where(drawn).select("id").distinct().collect())  # about 2 ** fan_bits
+        sums = cand.groupBy(_bucket_udf(cuts)("id").alias("b")).agg(F.sum("m").alias("m")).collect()
+        sums = sorted((r["b"], r["m"]) for r in sums)
         if target is None:
-            target = frac * sum(m for _, m in level)
-        for bucket, m in level:
+            target = frac * sum(m for _, m in sums)
+        for bucket, m in sums:
             if before + m > target:
                 break
             before += m
         else:  # rounding: stay in the last bucket that has candidates
             before -= m
-        lo, hi = max(lo, bucket << shift), min(hi, ((bucket + 1) << shift) - 1)
-        if shift == 0:
-            return spark.createDataFrame([(bucket,)], "id long")
+        if share == 1.0:
+            return spark.createDataFrame([(cuts[bucket - 1],)], "id long")
+        if bucket:
+            cand = cand.where(F.col("id") >= cuts[bucket - 1])
+        if bucket < len(cuts):
+            cand = cand.where(F.col("id") < cuts[bucket])
+        level += 1
 
 
 def seed_centers(points: DataFrame, k: int, seed: int, x: str = "x", id: str = "id",
@@ -144,3 +164,48 @@ def seed_centers(points: DataFrame, k: int, seed: int, x: str = "x", id: str = "
             break
         chosen.append(won)
     return chosen
+
+
+PROPOSALS = 8
+
+
+def seed_by_rejection(points: DataFrame, k: int, seed: int, x: str = "x", id: str = "id", weight: str | None = None,
+                      proposals: int = PROPOSALS) -> tuple[list[tuple[int, list[float]]], int]:
+    """V6 with several centres per pass: ``([(id, vector), …], passes over the points)``.
+
+    A pass computes D, the distance to the nearest centre chosen before it, and draws ``proposals`` independent
+    points ∝ w·D, each by a race of its own, all in one aggregate. D is an upper bound of the distance d to the
+    centres chosen since, so a proposal is taken with probability d / D, d being worked out on the driver from the
+    proposal and the new centres. A taken proposal is distributed ∝ w·d exactly, as a race over all points would draw it:
+    ∝ w·D · d / D, independent of the proposals refused before it. The first proposal of a pass is always taken, so there are at most k
+    passes. Distances are computed to at most k centres per pass. Stops early when no point has d > 0.
+    """
+    if k < 1 or proposals < 1:
+        raise ValueError("k and proposals must be >= 1")
+    base = points.select(id, x, *([weight] if weight else []))
+    first = race_pick(base, seed, 0, id=id, d=None, x=x).first()
+    if first is None:
+        return [], 1
+    chosen, passes = [(int(first["id"]), list(first["x"]))], 1
+    V.check_center_budget(k, len(chosen[0][1]))
+    w = F.col(weight) if weight else F.lit(1.0)
+    while len(chosen) < k:
+        data = base.withColumn("_d", V.min_distance_col(x, [y for _, y in chosen]))
+        row = F.struct(F.col(id).alias("id"), F.col(x).alias("x"), F.col("_d").alias("d"))
+        races = []
+        for t in range(proposals):
+            key = race_key(uniform(F.col(id), seed, passes, t), w, F.col("_d"))
+            races.append(F.max_by(row, F.when(key.isNotNull(), F.struct(key.alias("k"), (-F.col(id)).alias("nid")))).alias(f"p{t}"))
+        drawn = data.agg(*races).first()
+        fresh: list[list[float]] = []
+        for t, p in enumerate(drawn):
+            if p is None or len(chosen) == k:
+                break
+            d = min([p["d"], *(float(np.sqrt(sum((a - b) * (a - b) for a, b in zip(p["x"], y)))) for y in fresh)])
+            if uniform_py(p["id"], seed, passes, t, "accept") * p["d"] < d:
+                chosen.append((int(p["id"]), list(p["x"])))
+                fresh.append(list(p["x"]))
+        passes += 1
+        if not fresh:  # no point is left away from the centres
+            break
+    return chosen, passes

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.vector import MAX_CENTER_BYTES, check_center_budget, distances_udf, min_distance, nearest, vector_sum_agg
+from ..functions.vector import MAX_CENTER_BYTES, center_distance_udf, check_center_budget, distances_udf, min_distance, nearest, vector_sum_agg
 from ..session import written
 
 CENTERS_SCHEMA = T.StructType([
@@ -49,8 +49,7 @@ def collect_centers(frame: DataFrame, c: str = "c", y: str = "y",
 
 def distance_to_center(points: DataFrame, centers, c: str = "c", x: str = "x", out: str = "d") -> DataFrame:
     """V1 for one centre per point: ``out`` is the distance to centre number ``c``; NULL without one."""
-    ds = distances_udf(as_center_list(centers))(F.col(x))
-    return points.withColumn(out, F.get(ds, F.col(c)))
+    return points.withColumn(out, center_distance_udf(as_center_list(centers))(F.col(x), F.col(c).cast("int")))
 
 
 def pairwise_distances(points: DataFrame, centers, x: str = "x", id: str = "id") -> DataFrame:

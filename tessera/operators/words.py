@@ -37,15 +37,13 @@ def word_count_per_doc(docs: DataFrame) -> DataFrame:
 
     The row's tokens are sorted and cut into runs, all inside the row: no shuffle.
     """
-    words = docs.select("doc_id", F.array_sort(split_words("text")).alias("w"))
+    words = docs.select("doc_id", F.sort_array(split_words("text")).alias("w"))
     starts = words.select("doc_id", "w", F.filter(
         F.sequence(F.lit(0), F.size("w") - 1),
         lambda i: (i == 0) | (F.col("w")[i] != F.col("w")[F.greatest(i - 1, F.lit(0))])).alias("s"))
-    ends = F.concat(F.expr("slice(s, 2, size(s))"), F.array(F.size("w")))
-    runs = starts.select("doc_id", "w", F.arrays_zip("s", ends.alias("e")).alias("runs"))
-    return (runs.select("doc_id", F.explode(F.transform("runs", lambda r: F.struct(
-        F.col("w")[r["s"]].alias("word"), (r["e"] - r["s"]).cast("long").alias("n")))).alias("r"))
-        .select("doc_id", "r.word", "r.n"))
+    # a run ends where the next one starts
+    runs = F.transform("s", lambda a, i: F.struct(F.col("w")[a].alias("word"), (F.coalesce(F.get("s", i + 1), F.size("w")) - a).cast("long").alias("n")))
+    return starts.select("doc_id", F.explode(runs).alias("r")).select("doc_id", "r.word", "r.n")
 
 
 def salt(buckets: int = 8):

@@ -32,6 +32,8 @@ WEIGHT_PARTS = 4         # A15: part = vec_id mod 4
 CORESET_K = 3            # V10 / V11: k
 CORESET_MIN_PARTS = 2    # V10 / V11: L = max(2, parts of ~128 MB), part = hash of vec_id
 CORESET_ITERATIONS = 1   # V10 / V11: Lloyd steps in rounds 1 and 2
+CORESET_BLOCK = 128      # V10 by merge-and-reduce: points clustered at a time
+SEED_K = 12              # V6 by rejection: k
 PAGE_SIZE = 200          # K2: rows of a pulled page
 PAGE_START, PAGE_END = 100, 200   # P7 / K2: one page of the row index
 
@@ -232,6 +234,27 @@ def mr_kmedian(spark: SparkSession, sf_dir: str) -> DataFrame:
     return obj.select(_r(F.col("objective")).alias("objective"))
 
 
+def kmedian_coreset_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V10 by merge-and-reduce: a worker holds one block, whatever the part's size."""
+    pts, parts = _coreset_points(spark, sf_dir)
+    core = kmedian.coreset_by_blocks(pts, CORESET_K, parts, CORESET_ITERATIONS, SEED, part_col="part", block=CORESET_BLOCK)
+    return core.select("part", "c", _r(F.col("w")).alias("w"),
+                       _r(F.aggregate("y", F.lit(0.0), lambda a, b: a + b)).alias("sum_y"))
+
+
+def mr_kmedian_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V11 with its first round by merge-and-reduce."""
+    pts, parts = _coreset_points(spark, sf_dir)
+    obj = kmedian.mr_kmedian(pts, CORESET_K, parts, CORESET_ITERATIONS, SEED, part_col="part", block=CORESET_BLOCK)
+    return obj.select(_r(F.col("objective")).alias("objective"))
+
+
+def seed_rejection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6 by rejection: several centres per pass over the points."""
+    seeds, _ = sampling.seed_by_rejection(_points(spark, sf_dir), SEED_K, SEED)
+    return spark.createDataFrame([(i, vid) for i, (vid, _) in enumerate(seeds)], "step int, vec_id long")
+
+
 def row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = tables.table(spark, sf_dir, "embeddings").select("vec_id")
     return paging.with_row_index(ids, ["vec_id"])
@@ -287,6 +310,9 @@ QUERIES: dict[str, QueryFn] = {
     "kmeans_objective": kmeans_objective,
     "kmedian_coreset": kmedian_coreset,
     "mr_kmedian": mr_kmedian,
+    "kmedian_coreset_blocks": kmedian_coreset_blocks,
+    "mr_kmedian_blocks": mr_kmedian_blocks,
+    "seed_rejection": seed_rejection,
     "row_index": row_index,
     "num_scan": num_scan,
     "page_sums": page_sums,

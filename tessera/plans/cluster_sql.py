@@ -18,12 +18,13 @@ def _u(seed: int, r: int, per_part: bool) -> str:
     return uniform_sql(*parts)
 
 
-def seeding_ctes(src: str, k: int, seed: int, per_part: bool, prefix: str) -> tuple[list[str], str]:
-    """CTEs drawing k seeds per group; returns (ctes, name of the seeds CTE (g, c, id, y))."""
+def seeding_ctes(src: str, k: int, seed: int, per_part: bool, prefix: str, weighted: bool = False) -> tuple[list[str], str]:
+    """CTEs drawing k seeds per group (``weighted``: by w·d, the first by w); returns (ctes, name of the seeds CTE (g, c, id, y))."""
+    first, mass = (" / w", "(w * d)") if weighted else ("", "d")
     ctes = [
         f"{prefix}s0 AS (SELECT g, 0 AS step, id, x FROM ("
-        f"SELECT *, row_number() OVER (PARTITION BY g ORDER BY ln({_u(seed, 0, per_part)}) DESC, id) AS rn"
-        f" FROM {src}) WHERE rn = 1)"
+        f"SELECT *, row_number() OVER (PARTITION BY g ORDER BY ln({_u(seed, 0, per_part)}){first} DESC, id) AS rn"
+        f" FROM {src}{' WHERE w > 0' if weighted else ''}) WHERE rn = 1)"
     ]
     prev_d = None
     for r in range(1, k):
@@ -39,8 +40,8 @@ def seeding_ctes(src: str, k: int, seed: int, per_part: bool, prefix: str) -> tu
         )
         ctes.append(
             f"{prefix}s{r} AS (SELECT g, {r} AS step, id, x FROM ("
-            f"SELECT *, row_number() OVER (PARTITION BY g ORDER BY ln({_u(seed, r, per_part)}) / d DESC, id)"
-            f" AS rn FROM {prefix}d{r} WHERE d > 0) WHERE rn = 1)"
+            f"SELECT *, row_number() OVER (PARTITION BY g ORDER BY ln({_u(seed, r, per_part)}) / {mass} DESC, id)"
+            f" AS rn FROM {prefix}d{r} WHERE {mass} > 0) WHERE rn = 1)"
         )
         prev_d = f"{prefix}d{r}"
     union = " UNION ALL ".join(f"SELECT g, step, id, x FROM {prefix}s{r}" for r in range(k))
@@ -81,14 +82,39 @@ def lloyd_ctes(src: str, cen: str, iterations: int, prefix: str) -> tuple[list[s
 
 
 def fit_ctes(src: str, k: int, iterations: int, seed: int, per_part: bool,
-             prefix: str) -> tuple[list[str], str]:
+             prefix: str, weighted: bool = False) -> tuple[list[str], str]:
     """Seeding + Lloyd; returns (ctes, final centres CTE (g, c, y))."""
-    s_ctes, seeds = seeding_ctes(src, k, seed, per_part, prefix)
+    s_ctes, seeds = seeding_ctes(src, k, seed, per_part, prefix, weighted)
     cen0 = f"{prefix}c0"
     s_ctes.append(f"{cen0} AS (SELECT g, c, y FROM {seeds})")
     l_ctes, final = lloyd_ctes(src, cen0, iterations, prefix)
     return s_ctes + l_ctes, final
 
 
+def merge_reduce_ctes(src: str, k: int, size: int, block: int, iterations: int, seed: int, levels: int) -> tuple[list[str], str]:
+    """Merge-and-reduce coresets of the groups of ``src``, of at most ``block * 2 ** levels`` points each; returns (ctes, core (part, c, y, w))."""
+    def reduced(pts: str, n: int, prefix: str) -> list[str]:
+        ctes, final = fit_ctes(pts, n, iterations, seed, True, prefix, weighted=True)
+        return [*ctes, assign_cte(pts, final, f"{prefix}asg"),
+                f"{prefix}core AS (SELECT q.g, q.c, q.y, coalesce(sum(a.w), 0) AS w FROM {final} q LEFT JOIN {prefix}asg a"
+                f" ON a.g = q.g AND a.c = q.c GROUP BY q.g, q.c, q.y)"]
+
+    ctes = [f"mb AS (SELECT g AS part, (row_number() OVER (PARTITION BY g ORDER BY id, x) - 1) // {block} AS node, id, x, 1.0::DOUBLE AS w FROM {src})",
+            "m0p AS (SELECT part || ':0:' || node AS g, part, node, id, x, w FROM mb)"]
+    ctes += reduced("m0p", size, "m0")
+    ctes.append("m0t AS (SELECT part, node, c, y, w FROM m0core JOIN (SELECT DISTINCT g, part, node FROM m0p) USING (g))")
+    for i in range(1, levels + 1):
+        ctes.append(f"m{i}i AS (SELECT part, node >> 1 AS node, (node & 1) * {size} + c AS id, c, y, w,"
+                    f" min(node) OVER t <> max(node) OVER t AS two FROM m{i - 1}t WINDOW t AS (PARTITION BY part, node >> 1))")
+        ctes.append(f"m{i}p AS (SELECT part || ':{i}:' || node AS g, part, node, id, y AS x, w FROM m{i}i WHERE two)")
+        ctes += reduced(f"m{i}p", size, f"m{i}")
+        ctes.append(f"m{i}t AS (SELECT part, node, c, y, w FROM m{i}core JOIN (SELECT DISTINCT g, part, node FROM m{i}p) USING (g)"
+                    f" UNION ALL SELECT part, node, c, y, w FROM m{i}i WHERE NOT two)")
+    ctes.append(f"mtp AS (SELECT part || ':-1:0' AS g, part, c AS id, y AS x, w FROM m{levels}t)")
+    ctes += reduced("mtp", k, "mt")
+    ctes.append("mcore AS (SELECT part, c, y, w FROM mtcore JOIN (SELECT DISTINCT g, part FROM mtp) USING (g))")
+    return ctes, "mcore"
+
+
 def with_ctes(ctes: list[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body

@@ -10,7 +10,7 @@ from __future__ import annotations
 from ..functions.random import uniform_sql
 from ..operators import kmedian
 from . import catalog as Q
-from .cluster_sql import assign_cte, fit_ctes, lloyd_ctes, with_ctes
+from .cluster_sql import assign_cte, fit_ctes, lloyd_ctes, merge_reduce_ctes, with_ctes
 from .catalog import SUM_SQ_SCALE, THRESHOLD
 
 _MAX = "(SELECT max(l_extendedprice) FROM lineitem)"
@@ -103,8 +103,20 @@ def _coreset_sql() -> str:
                            f" round(list_sum(y), 6) AS sum_y FROM {core}")
 
 
-def _mr_kmedian_sql() -> str:
-    ctes, core = _coreset_ctes()
+def _block_ctes() -> tuple[list[str], str]:
+    """Merge-and-reduce over parts of at most ``CORESET_BLOCK * 2 ** 5`` points."""
+    ctes, core = merge_reduce_ctes("cpts", Q.CORESET_K, 2 * Q.CORESET_K, Q.CORESET_BLOCK, Q.CORESET_ITERATIONS, Q.SEED, 5)
+    return [_PARTS, _CORE_PTS] + ctes, core
+
+
+def _coreset_blocks_sql() -> str:
+    ctes, core = _block_ctes()
+    return with_ctes(ctes, f"SELECT part::BIGINT AS part, c::INTEGER AS c, round(w, 6) AS w,"
+                           f" round(list_sum(y), 6) AS sum_y FROM {core}")
+
+
+def _mr_kmedian_sql(blocks: bool = False) -> str:
+    ctes, core = _block_ctes() if blocks else _coreset_ctes()
     ctes.append(f"r2pts AS (SELECT 0 AS g, part * {Q.CORESET_K} + c AS id, y AS x, w FROM {core})")
     c2, final = fit_ctes("r2pts", Q.CORESET_K, Q.CORESET_ITERATIONS, Q.SEED, False, "r2")
     ctes += c2
@@ -146,6 +158,8 @@ SQL.update({
     "kmeans_objective": _fit_sql(objective=True),
     "kmedian_coreset": _coreset_sql(),
     "mr_kmedian": _mr_kmedian_sql(),
+    "kmedian_coreset_blocks": _coreset_blocks_sql(),
+    "mr_kmedian_blocks": _mr_kmedian_sql(blocks=True),
     "row_index": "SELECT (row_number() OVER (ORDER BY vec_id) - 1)::BIGINT AS idx, vec_id FROM embeddings",
     "page_rows": (f"SELECT idx, vec_id FROM (SELECT (row_number() OVER (ORDER BY vec_id) - 1)::BIGINT AS idx,"
                   f" vec_id FROM embeddings) WHERE idx >= {Q.PAGE_START} AND idx < {Q.PAGE_END}"),

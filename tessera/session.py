@@ -43,21 +43,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     ``spark.checkpoint.dir`` names a shared (HDFS/S3/...) folder on a cluster and
     is used as is. Where it is unset (a bare test session) the folder lies in the
-    session's warehouse, which driver and executors share wherever tables work.
+    session's warehouse on a local master; a cluster must name one, as its executors need not share
+    the driver's warehouse path.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = (spark.conf.get("spark.checkpoint.dir", None)
-                  or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def fresh_path(spark: SparkSession) -> str:
+    """A new name in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}.parquet"
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read again: computed once,
     of known size, and safe from lost executors."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}.parquet"
+    path = fresh_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -131,3 +131,88 @@ def test_null_vectors_do_not_shift_rows(spark):
     without = with_nulls.where("x IS NOT NULL")
     got = [sorted(map(str, kmedian.coreset(d, 2, None, 1, 3, part_col="part").collect())) for d in (with_nulls, without)]
     assert got[0] == got[1]
+
+
+def brute_merge_reduce(points, k, size, block, iterations, seed, part):
+    """The stated rule by index, level by level: ``points`` are (id, vector) rows in order."""
+    def cluster(rows, n, level, node):
+        ids, X, w = [r[0] for r in rows], np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+        C, cw = kmedian._cluster_part(X, lambda r: np.array([uniform_py(i, seed, part, level, node, r) for i in ids]), n, iterations, w)
+        return list(zip(C.tolist(), cw.tolist()))
+
+    rows = [(i, x, 1.0) for i, x in points]
+    nodes = [cluster(rows[a:a + block], size, 0, a // block) for a in range(0, len(rows), block)]
+    level = 0
+    while len(nodes) > 1:
+        level += 1
+        pairs = [nodes[i:i + 2] for i in range(0, len(nodes), 2)]
+        nodes = [p[0] if len(p) == 1 else cluster([(side * size + c, y, w) for side, core in enumerate(p) for c, (y, w) in enumerate(core)], size, level, j)
+                 for j, p in enumerate(pairs)]
+    return cluster([(c, y, w) for c, (y, w) in enumerate(nodes[0])], k, -1, 0)
+
+
+@pytest.mark.parametrize("block", [8, 11, 40, 1000])
+def test_merge_and_reduce_follows_its_rule(blobs, block):
+    df, X = blobs
+    third = df.withColumn("part", F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 5))  # one part holds two thirds
+    got = {}
+    for r in kmedian.coreset_by_blocks(third, 3, None, 1, seed=9, part_col="part", block=block, size=6).collect():
+        got.setdefault(r["part"], []).append((r["c"], r["y"], r["w"]))
+    want = {}
+    for i, x in enumerate(X.tolist()):
+        want.setdefault(7 if i % 3 else i % 5, []).append((i, x))
+    assert set(got) == set(want)
+    for p, points in want.items():
+        core = brute_merge_reduce(points, 3, 6, block, 1, 9, p)
+        own = sorted(got[p])
+        assert [c for c, _, _ in own] == list(range(len(core)))
+        assert np.allclose([y for _, y, _ in own], [y for y, _ in core]) and np.allclose([w for _, _, w in own], [w for _, w in core])
+        assert sum(w for _, _, w in own) == len(points)
+
+
+def test_merge_and_reduce_is_a_fair_coreset(blobs):
+    df, X = blobs
+    a = kmedian.mr_kmedian(df, 3, 2, 3, seed=2, block=16).first()["objective"]
+    assert a == kmedian.mr_kmedian(df, 3, 2, 3, seed=2, block=16).first()["objective"]
+    truth = V.objective(df, [[0.0, 0.0], [10.0, 0.0], [0.0, 10.0]]).first()["objective"]
+    assert a < 2 * truth
+    with pytest.raises(ValueError):
+        kmedian.coreset_by_blocks(df, 5, 2, 1, 1, block=4)
+
+
+def test_merge_and_reduce_of_nulls_and_nothing(spark):
+    rows = [(0, [1.0]), (1, None), (1, [1.0]), (1, [2.0])]
+    df = spark.createDataFrame(rows, "id long, x array<double>")
+    assert sum(r["w"] for r in kmedian.coreset_by_blocks(df, 2, 1, 1, seed=1).collect()) == 3
+    assert kmedian.coreset_by_blocks(df.limit(0), 2, None, 1, seed=1).count() == 0
+    assert kmedian.coreset_by_blocks(df.where("x IS NULL"), 2, 1, 1, seed=1).count() == 0
+
+
+def test_a_part_of_a_gigabyte_needs_little_memory():
+    """The kernel reads 1 GB of vectors in one part and grows by less than a tenth of it."""
+    import os
+    import subprocess
+    import sys
+
+    script = """
+import resource, numpy as np, pyarrow as pa
+from tessera.operators.kmedian import merge_reduce_kernel
+rng, dim, n, rows = np.random.default_rng(1), 512, 64, 4096
+def batches():
+    for i in range(n):
+        X = rng.normal(size=(rows, dim))
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(rows, np.int64)), pa.array(np.arange(i * rows, (i + 1) * rows)),
+            pa.ListArray.from_arrays(pa.array(np.arange(0, (rows + 1) * dim, dim, dtype=np.int32)), pa.array(X.ravel()))], names=["part", "id", "x"])
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss / 1024
+kernel = merge_reduce_kernel(2, 0, 1, 4096, 2)
+first = batches()
+list(kernel(iter([next(first)])))
+before = peak()
+(out,) = kernel(batches())
+assert sum(out.column(3).to_pylist()) == n * rows
+print(before, peak())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=300)
+    before, after = map(float, out.stdout.split())
+    assert after - before < 107

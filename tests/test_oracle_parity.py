@@ -32,14 +32,18 @@ def _names():
     return sorted(QUERIES)
 
 
+#: rejection decides on the driver which draws count; test_sampling.py holds it against brute force
+NO_SQL = {"seed_rejection"}
+
+
 def test_every_query_has_an_oracle():
     import __spark_entry__ as se
 
     assert set(_names()) <= set(se.queries())
-    assert set(_names()) <= set(se.oracle_sql()) <= set(se.queries())
+    assert set(_names()) - NO_SQL <= set(se.oracle_sql()) <= set(se.queries())
 
 
-@pytest.mark.parametrize("name", _names())
+@pytest.mark.parametrize("name", sorted(set(_names()) - NO_SQL))
 def test_query_matches_oracle(spark, duck, name):
     import __spark_entry__ as se
     from check_oracle import digest

@@ -109,3 +109,17 @@ def test_page_sums_pulls_no_pages_and_agrees_with_them(spark, monkeypatch):
     got = catalog.page_sums(spark, "")
     assert got.dtypes == [(c, "bigint") for c in ("page", "first_id", "sum_id", "n")]
     assert sorted(map(tuple, got.collect())) == pages and len(pages) == 3
+
+
+def test_a_page_reads_its_own_files_only(spark):
+    df = spark.range(4000).selectExpr("id * 13 % 4001 AS key", "uuid() AS pad")
+    sizes = []
+    for n in (400, 4000):
+        pages = list(paging.iter_pages(df.limit(n), ["key"], 100))
+        assert len(pages) == n // 100
+        files = [f for pg in pages for f in pg.inputFiles()]
+        assert len(files) == len(set(files))  # no file in two pages
+        sizes.append(max(len(pg.inputFiles()) for pg in pages))
+        assert [r["idx"] for r in pages[2].collect()] == list(range(200, 300))
+    assert sizes[1] <= sizes[0] + 1
+    assert list(paging.iter_pages(df.limit(0), ["key"], 100)) == []

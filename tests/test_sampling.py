@@ -154,3 +154,82 @@ def test_prefix_pick_is_exact_for_any_ids(spark, ids):
     for frac in (0.0, 0.4, 0.8):
         want = sorted(ids)[next(k for k in range(len(ids)) if k + 1 > frac * len(ids))]
         assert sampling.prefix_pick(df, frac).first()["id"] == want
+
+
+def test_prefix_pick_reads_the_points_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def d(i):
+        seen.add(1)
+        return float(i % 7)
+
+    df = spark.range(5000).select("id", d("id").alias("d"))
+    run, total, want = 0.0, sum(i % 7 for i in range(5000)), None
+    for i in range(5000):
+        run += i % 7
+        if i % 7 and run > 0.6 * total:
+            want = i
+            break
+    assert sampling.prefix_pick(df, 0.6, fan_bits=4).first()["id"] == want
+    assert seen.value == 5000
+
+
+def brute_rejection(X, k, seed, proposals):
+    n = len(X)
+    dist = lambda a, b: float(np.sqrt(((X[a] - X[b]) ** 2).sum()))
+    chosen, passes = [max(range(n), key=lambda i: (math.log(uniform_py(i, seed, 0)), -i))], 1
+    while len(chosen) < k:
+        D = [min(dist(i, c) for c in chosen) for i in range(n)]
+        cand, fresh = [i for i in range(n) if D[i] > 0], []
+        for t in range(proposals if cand else 0):
+            i = max(cand, key=lambda i: (math.log(uniform_py(i, seed, passes, t)) / D[i], -i))
+            d = min([D[i], *(dist(i, c) for c in fresh)])
+            if len(chosen) < k and uniform_py(i, seed, passes, t, "accept") * D[i] < d:
+                fresh.append(i)
+                chosen.append(i)
+        passes += 1
+        if not fresh:
+            break
+    return chosen, passes
+
+
+@pytest.mark.parametrize("proposals", [1, 4])
+def test_seeding_by_rejection_matches_brute_force(spark, proposals):
+    X = np.random.default_rng(3).integers(0, 20, size=(60, 3)).astype(float)
+    df = spark.createDataFrame([(i, list(map(float, x))) for i, x in enumerate(X)], "id long, x array<double>")
+    got, passes = sampling.seed_by_rejection(df, 7, 11, proposals=proposals)
+    assert ([i for i, _ in got], passes) == brute_rejection(X, 7, 11, proposals)
+    assert passes == 7 if proposals == 1 else passes < 6
+
+
+def test_seeding_by_rejection_has_the_distribution_of_the_race():
+    """Third centres over 6,000 seeds, by the two brute forces (which match the operators draw by draw)."""
+    X = np.array([[0.0], [1.0], [3.0], [7.0], [8.0]])
+    seeds = range(6000)
+    race = Counter(brute_seeds(X, 3, s)[2] for s in seeds)
+    rejection = Counter(brute_rejection(X, 3, s, 4)[0][2] for s in seeds)
+    for i in range(len(X)):
+        assert race[i] / 6000 == pytest.approx(rejection[i] / 6000, abs=0.025)
+
+
+def test_seeding_by_rejection_of_few_points(spark):
+    df = spark.createDataFrame([(i, [1.0, 1.0]) for i in range(3)], "id long, x array<double>")
+    assert len(sampling.seed_by_rejection(df, 2, 1)[0]) == 1
+    assert sampling.seed_by_rejection(df.limit(0), 2, 1)[0] == []
+
+
+def test_registered_rejection_seeding_on_the_driver_table(spark):
+    import os
+
+    from tessera.plans import catalog
+    from tessera.sources import tables
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test data not present")
+    rows = sorted((r["id"], r["x"]) for r in tables.points(spark, sf).collect())
+    assert [i for i, _ in rows] == list(range(len(rows)))
+    want, passes = brute_rejection(np.array([x for _, x in rows]), catalog.SEED_K, catalog.SEED, sampling.PROPOSALS)
+    assert [r["vec_id"] for r in sorted(catalog.seed_rejection(spark, sf).collect())] == want
+    assert passes < catalog.SEED_K / 2
