@@ -24,6 +24,14 @@ def row_key(*cols: str) -> Column:
     return F.xxhash64(*cols)
 
 
+def free_prefix(df: DataFrame) -> str:
+    """Underscores with which no column of ``df`` begins: internal columns named by it clash with none."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def byte_buffers(col) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and int64 offsets of an Arrow string column; NULL counts as empty."""
     if isinstance(col, pa.ChunkedArray):

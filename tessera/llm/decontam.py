@@ -20,7 +20,8 @@ holds it; adaptive execution splits such a token's rows.
 
 Defined results: NULL texts have no words; items without words are ignored, NULL item ids mark
 words but are not listed; repeated rows of documents give repeated results; repeated items count
-once; other columns are ignored (``decontaminate`` passes them through); empty tables are fine.
+once; a very long text is one row of one task, read whole; other columns are ignored
+(``decontaminate`` passes them through, whatever their names); empty tables are fine.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_buffers, row_key, slices, written
+from .common import byte_buffers, free_prefix, row_key, slices, written
 from .hashing import PrefixHash, filter_of, mix, passes
 
 WINDOW = 13   # words of a window
@@ -214,6 +215,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", **rule) -> DataFrame:
     """The rows of ``docs`` that are not contaminated."""
     bad = contamination(docs, benchmark, id_col=id_col, text=text, **rule).filter("contaminated")
-    bad = bad.select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
-    return (docs.withColumn("_k", row_key(text))
-            .join(bad.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left_anti").drop("_k"))
+    own, id_, key = (free_prefix(docs) + c for c in ("own", "id", "key"))
+    bad = bad.select(F.col("id").alias(id_), F.col("key").alias(key)).distinct()
+    return (docs.withColumn(own, row_key(text))
+            .join(bad.hint("merge"), F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(key)), "left_anti").drop(own))

@@ -8,12 +8,17 @@
    by text of a path's own, without what its children count for it, are added up beside them.
 3. Each page is read again with its host's winning paths. Returned are the blocks under the best one
    that holds a fair part of the page's text and under every path that wins by text of its own; all
-   of the nearest ``<article>`` around these; and what lies loose in the containers around them, up
-   to the body (titles, introductions; no blocks of links only). A page unlike its host's other pages
-   falls back on its own paths.
+   of the nearest ``<article>`` around these; what lies loose in the containers around them, up
+   to the body (titles, introductions; no blocks of links only); and, where there is no article,
+   what else the ``<main>`` or outermost container around them holds, however small, but for links and for paths
+   that the host repeats: those on a tenth of its pages that have one text for many
+   pages, or are mostly links. A page unlike its host's other pages falls back on its own paths.
+
+A class, id or role of a known word marks what is not main text; inside ``<article>`` and ``<main>`` only
+if the rest of the name says nothing else (``share-box``, not ``share-price``), and a heading in an article's header stays.
 
 Votes are summed before they are shuffled, so a large host is no burden. Winning paths (at most
-``1.6 / MIN_VOTES`` per host, and ``1 / MIN_VOTES`` by own text) are written to the shared folder and joined to the pages by host; Spark
+``1.6 / MIN_VOTES`` per host, and ``1 / MIN_VOTES`` by own text) and repeated ones (a tenth of the pages each) are written to the shared folder and joined to the pages by host; Spark
 broadcasts them if they are small enough and else splits a large host's rows.
 
 Inside a block white space (Unicode) becomes one space and ``<br>`` counts as such; character
@@ -33,17 +38,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, written
+from .common import free_prefix, slices, written
 
 PARENT_SHARE = 0.6  # of a block's characters that also count for the container's parent
 MIN_SHARE = 0.2     # least share of a page's text for a path to get its vote, or to be used on it
 MIN_VOTES = 0.1     # least votes per page of the host for a path to win
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template iframe textarea title select svg math object".split())
@@ -61,6 +66,9 @@ _NOT_MAIN_WORDS = frozenset(
     "sharing social comment comments reply replies disqus respond footer header masthead subscribe newsletter signup login search "
     "pagination pager copyright toolbar contentinfo complementary dialog alert".split())
 _COMMENT_WORDS = frozenset("comment comments reply replies disqus respond".split())
+#: words beside them that say no more than what part of a page it is
+_PART_WORDS = frozenset("area bar block bottom box btn button buttons container content full group icons inner item items left links list "
+                        "main mobile outer page panel post posts row section site slot small text title top wide wrap wrapper".split())
 _NEGATED = frozenset("has with without no not is".split())
 _PAGE = frozenset(("", "html", "body"))  # hold all of a page, so what lies loose in them needs votes of its own
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -68,17 +76,21 @@ _LETTERS = re.compile(r"[^a-z]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "label", "path", "main", "block", "container", "article")
+    __slots__ = ("tag", "parent", "label", "path", "main", "block", "container", "article", "in_main")
 
     def __init__(self, tag: str, parent: _Node | None, label: str, path: int, main: bool):
         self.tag, self.parent, self.label, self.path, self.main = tag, parent, label, path, main
         self.block = parent.block if parent and tag in _INLINE else self  # the element whose block its text is in
         self.container = parent.container if parent and (tag in _INLINE or tag in _TEXT_BLOCK) else self
         self.article = self if tag == "article" else parent.article if parent else None  # the nearest
+        self.in_main = tag == "main" or parent is not None and parent.in_main
 
 
 def _open(tag: str, attrs: str, parent: _Node) -> _Node:
+    inside = parent.article is not None or parent.in_main  # of <article> or <main>
     main, label = parent.main and tag not in _NOT_MAIN, tag
+    if tag in _HEADING and parent.tag == "header" and parent.article is not None and parent.parent.main:
+        main = True
     if attrs and not attrs.isspace():
         for m in _ATTR.finditer(attrs):
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -91,7 +103,8 @@ def _open(tag: str, attrs: str, parent: _Node) -> _Node:
                 marks = _COMMENT_WORDS if tag == "article" else _NOT_MAIN_WORDS
                 for one in value.lower().split():
                     words = [w for w in _LETTERS.split(one) if w]
-                    if words and words[0] not in _NEGATED and not marks.isdisjoint(words):
+                    if words and words[0] not in _NEGATED and not marks.isdisjoint(words) and (
+                            not inside or all(w in marks or w in _PART_WORDS for w in words)):
                         main = False
     return _Node(tag, parent, label, xxhash.xxh64_intdigest(label, parent.path), main)
 
@@ -180,14 +193,15 @@ def _name(node: _Node) -> str:
     return ">".join(reversed(labels))
 
 
-def page_text(page: str, winning: list[int], holding: list[int] | None = None) -> str:
-    """Main text of a page; ``winning``: its host's paths, best first; ``holding``: those that win by text of their own."""
+def page_text(page: str, winning: list[int], holding: list[int] | None = None, barred: list[int] | None = None) -> str:
+    """Main text of a page; ``winning``: its host's paths, best first; ``holding``: those that win by text of their own;
+    ``barred``: those that the host repeats (None: not known, so only what lies loose around the main text is taken)."""
     blocks = _blocks(page)
     shares = _shares(blocks)
     path = next((p for p in winning if p in shares), None)
     if path is None and shares:
         path = max(shares, key=lambda p: (shares[p][0], -p))
-        holding = [p for p, s in shares.items() if s[1]]
+        holding, barred = [p for p, s in shares.items() if s[1]], None
     if path is None:
         return "\n".join(text for _, text, _ in blocks)
     paths = {path, *(holding or ())}
@@ -222,31 +236,98 @@ def page_text(page: str, winning: list[int], holding: list[int] | None = None) -
             around.add(id(n))
     kept |= {i for i, (node, text, links) in enumerate(blocks) if id(node.container) in around
              and node.container.tag not in _PAGE and (links < len(text) or node.tag in _HEADING)}
+    if barred is not None:
+        kept |= _beside(blocks, [n for n in tops if n.article is None], paths, frozenset(barred))
     return "\n".join(text for i, (_, text, _) in enumerate(blocks) if i in kept)
 
 
+def _beside(blocks: list[tuple[_Node, str, int]], tops: list[_Node], paths: set[int], barred: frozenset[int]) -> set[int]:
+    """Blocks (by number) of the ``<main>`` or outermost container around each of ``tops`` that are not under a barred path and not mostly links."""
+    regions = set()
+    for n in tops:
+        region = n
+        while n.tag != "main" and n.parent is not None and n.parent.tag not in _PAGE:
+            n = n.parent
+            region = n
+        regions.add(id(region))
+    state: dict[int, int] = {}  # node -> 0 outside, 1 inside, 2 under a barred path
+    chars: dict[int, int] = defaultdict(int)
+    linked: dict[int, int] = defaultdict(int)
+    out = []
+    for i, (node, text, links) in enumerate(blocks):
+        c = node.container
+        chars[id(c)] += len(text)
+        linked[id(c)] += links
+        chain, n = [], c
+        while n is not None and id(n) not in state:
+            chain.append(n)
+            n = n.parent
+        now = state[id(n)] if n is not None else 0
+        for n in reversed(chain):
+            if now == 1 and n.path in barred and n.path not in paths:
+                now = 2
+            elif now == 0 and id(n) in regions:
+                now = 1
+            state[id(n)] = now
+        if now == 1:
+            out.append((i, c))
+    return {i for i, c in out if 2 * linked[id(c)] < chars[id(c)]}
+
+
+def _path_texts(blocks: list[tuple[_Node, str, int]]) -> dict[int, tuple[int, int, int]]:
+    """Path -> hash of the texts that its containers hold themselves, their characters, and those in links."""
+    held: dict[int, list[str]] = defaultdict(list)
+    chars: dict[int, int] = defaultdict(int)
+    linked: dict[int, int] = defaultdict(int)
+    for node, text, links in blocks:
+        path = node.container.path
+        held[path].append(text)
+        chars[path] += len(text)
+        linked[path] += links
+    return {p: (xxhash.xxh64_intdigest("\n".join(texts)), chars[p], linked[p]) for p, texts in held.items()}
+
+
 def host_paths(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """``host, paths, holding``: each host's winning paths, best first, and those that win by text of their own."""
+    """``host, paths, holding, barred``: each host's winning paths, best first, those that win by text of their own, and those it repeats."""
+    def signed(x: int) -> int:
+        return x - (1 << 64) if x >> 63 else x
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "page"):
-            rows = [(h, p - (1 << 64) if p >> 63 else p, s, o, _name(n))
-                    for h, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if x
-                    for p, (s, o, n) in _shares(_blocks(x)).items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)],
-                                             names=["host", "path", "share", "own", "name"])
-
-    kinds = (pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.string())
+            rows = []
+            for host, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if not x:
+                    continue
+                blocks = _blocks(x)
+                shares, texts = _shares(blocks), _path_texts(blocks)
+                for p in {**shares, **texts}:
+                    share, own, node = shares.get(p, (0.0, 0.0, None))
+                    h, chars, linked = texts.get(p, (None, 0, 0))
+                    rows.append((host, signed(p), share, own, _name(node) if node else None, None if h is None else signed(h), chars, linked))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=names)
+
+    names = ["host", "path", "share", "own", "name", "held", "chars", "linked"]
+    kinds = (pa.string(), pa.int64(), pa.float64(), pa.float64(), pa.string(), pa.int64(), pa.int64(), pa.int64())
     own = pages.select(host_of(url).alias("host"), F.col(page).alias("page"))
-    n = own.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    votes = (own.mapInArrow(run, "host string, path long, share double, own double, name string")
-             .groupBy("host", "path").agg(F.round(F.sum("share"), 6).alias("votes"), F.round(F.sum("own"), 6).alias("own"),
-                                          F.min("name").alias("name")))
-    won = votes.alias("v").join(n.alias("n"), F.col("v.host").eqNullSafe(F.col("n.host"))).filter(F.col("votes") >= MIN_VOTES * F.col("n.n"))
-    return (won.groupBy(F.col("v.host").alias("host"))
-            .agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("rank"), "name", "path",
-                                                      (F.col("own") >= MIN_VOTES * F.col("n.n")).alias("holds")))).alias("best"))
-            .select("host", F.transform("best", lambda x: x["path"]).alias("paths"),
-                    F.transform(F.filter("best", lambda x: x["holds"]), lambda x: x["path"]).alias("holding")))
+    n = own.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("page").alias("texts"))
+    votes = (own.mapInArrow(run, "host string, path long, share double, own double, name string, held long, chars long, linked long")
+             .groupBy("host", "path").agg(F.round(F.sum("share"), 6).alias("votes"), F.round(F.sum("own"), 6).alias("own"), F.min("name").alias("name"),
+                                          F.count("held").alias("pages"), F.approx_count_distinct("held").alias("texts"),
+                                          F.sum("chars").alias("chars"), F.sum("linked").alias("linked")))
+    both = votes.alias("v").join(n.alias("n"), F.col("v.host").eqNullSafe(F.col("n.host")))
+    wins = F.col("votes") >= MIN_VOTES * F.col("n.n")
+    # on a tenth of the host's pages, and one text for two of them or more, or mostly links
+    repeats = ((F.col("pages") >= F.greatest(F.lit(2.0), MIN_VOTES * F.col("n.n")))
+               & ((2 * F.col("v.texts") <= F.least(F.col("pages"), F.col("n.texts"))) | (2 * F.col("linked") > F.col("chars"))))
+    marked = F.collect_list(F.struct((-F.col("votes")).alias("rank"), "name", "path", (F.col("own") >= MIN_VOTES * F.col("n.n")).alias("holds"),
+                                     wins.alias("wins"), repeats.alias("repeats")))
+    best = both.filter(wins | repeats).groupBy(F.col("v.host").alias("host")).agg(F.sort_array(marked).alias("best"))
+
+    def paths(which) -> Column:
+        return F.transform(F.filter("best", which), lambda x: x["path"])
+
+    return best.select("host", paths(lambda x: x["wins"]).alias("paths"), paths(lambda x: x["wins"] & x["holds"]).alias("holding"),
+                       paths(lambda x: x["repeats"] & ~x["wins"]).alias("barred"))
 
 
 def host_of(url: str):
@@ -257,16 +338,16 @@ def host_of(url: str):
 def main_text(pages: DataFrame, url: str = "url", page: str = "html", text: str = "text") -> DataFrame:
     """``pages`` with ``text``, the main text of each."""
     keep = pages.select(*[c for c in pages.columns if c != text])
-    paths = written(host_paths(pages, url, page)).select(F.col("host").alias("_host"), F.col("paths").alias("_paths"), F.col("holding").alias("_holding"))
-    joined = keep.withColumn("_own", host_of(url)).join(paths, F.col("_own").eqNullSafe(F.col("_host")), "left").drop("_own", "_host")
+    own, host, *lists = (free_prefix(pages) + c for c in ("own", "host", "paths", "holding", "barred"))
+    paths = written(host_paths(pages, url, page)).toDF(host, *lists)
+    joined = keep.withColumn(own, host_of(url)).join(paths, F.col(own).eqNullSafe(F.col(host)), "left").drop(own, host)
     names = keep.columns
     schema = T.StructType([*keep.schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, page):
-            html, winning, holding = (b.column(b.schema.get_field_index(c)).to_pylist() for c in (page, "_paths", "_holding"))
-            out = [page_text(x, *([p & (1 << 64) - 1 for p in w or ()] for w in (ws, hs))) if x else ""
-                   for x, ws, hs in zip(html, winning, holding)]
+            html, *known = (b.column(b.schema.get_field_index(c)).to_pylist() for c in (page, *lists))
+            out = [page_text(x, *([p & (1 << 64) - 1 for p in w or ()] for w in ws)) if x else "" for x, *ws in zip(html, *known)]
             yield pa.RecordBatch.from_arrays([*[b.column(b.schema.get_field_index(c)) for c in names], pa.array(out, pa.string())],
                                              names=[*names, text])
 

@@ -9,15 +9,16 @@ window is a later repeat when the same ``run`` lines start at an earlier place,
 document id, content key, position). The lines of later repeats are deleted: overlapping windows
 make up the maximal run, whatever its length.
 
-So a line is deleted exactly when it lies in a run of at least ``run`` lines that occurs earlier,
-in another document or in its own; the first occurrence stays.
+Shorter runs that hold at least ``words`` words count too: each window of fewer than ``run`` lines
+with so many words is compared whole (None: off).
 
-With ``words`` (off by default, as the SQL of the query knows runs of lines only) shorter runs of at least
-that many words count too: each window of fewer than ``run`` lines that holds them is compared whole.
+So a line is deleted exactly when it lies in a run of at least ``run`` lines or ``words`` words that
+occurs earlier, in another document or in its own; the first occurrence stays.
 
 Defined results: NULL or empty texts have no lines and stay as they are; lines without a word are
 not part of runs and go or stay with the line with a word before them (leading ones, after them);
-documents with fewer than ``run`` lines lose nothing (but to ``words``); a repeated row (same id, same text) is the
+documents with fewer than ``run`` lines lose nothing but passages of ``words`` words; a very long text
+is one row of one task and linear work; a repeated row (same id, same text) is the
 same document and is treated alike; NULL ids sort first; other columns pass through; an empty
 table gives an empty result.
 
@@ -31,10 +32,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, written
+from .common import free_prefix, row_key, written
 from .quality import words_of
 
-RUN = 3  # least lines of a repeated run
+RUN = 3     # least lines of a repeated run
+WORDS = 50  # ... or least words, on fewer lines
 
 
 def _line_hash(line: Column) -> Column:
@@ -96,7 +98,7 @@ def repeated_passages(docs: DataFrame, words: int, run: int = RUN, id_col: str =
 
 
 def deleted_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text: str = "text",
-                  words: int | None = None) -> DataFrame:
+                  words: int | None = WORDS) -> DataFrame:
     """``_id, _key, gone``: sorted 1-based positions among the lines with a word to delete, per document."""
     starts = repeated_windows(docs, run, id_col, text).withColumn("n", F.lit(run))
     if words is not None and run > 1:
@@ -107,23 +109,24 @@ def deleted_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text:
 
 
 def dedup_lines(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text: str = "text",
-                words: int | None = None) -> DataFrame:
+                words: int | None = WORDS) -> DataFrame:
     """``docs`` with later repeated runs taken out of ``text``, and ``n_lines``, ``n_deleted`` (lines with a word)."""
-    gone = deleted_lines(docs, run, id_col, text, words).withColumnRenamed("gone", "_gone").hint("merge")  # one plan at every size
     keep = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_deleted")])
-    out = keep.withColumn("_k", row_key(text)).join(
-        gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left")
-    out = out.withColumn("_lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
+    own, id_, key, gone, lines, worded, starts, stay = (free_prefix(docs) + c for c in ("own", "id", "key", "gone", "lines", "worded", "from", "stay"))
+    deleted = deleted_lines(docs, run, id_col, text, words).toDF(id_, key, gone).hint("merge")  # one plan at every size
+    out = keep.withColumn(own, row_key(text)).join(
+        deleted, F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(key)), "left")
+    out = out.withColumn(lines, F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
     # a line's number is that of the last line with a word up to it: a running count by position lists
-    out = out.withColumn("_worded", F.filter(F.transform("_lines", lambda x, i: F.when(x.rlike(r"[^\x20\x09-\x0D]"), i)),
-                                             lambda i: i.isNotNull()))
+    out = out.withColumn(worded, F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(r"[^\x20\x09-\x0D]"), i)),
+                                          lambda i: i.isNotNull()))
     # stretches of \n-split lines: from one line with a word up to the next
-    stretch = F.concat(F.array(F.lit(0)), F.expr("slice(_worded, 2, greatest(size(_worded) - 1, 0))"), F.array(F.size("_lines")))
-    out = out.withColumn("_from", F.when(F.size("_worded") > 0, stretch))
-    out = out.withColumn("_stay", F.array_except(F.sequence(F.lit(1), F.size("_worded")), F.col("_gone")))
-    rest = F.array_join(F.flatten(F.transform("_stay", lambda p: F.slice(
-        F.col("_lines"), F.col("_from")[p - 1] + 1, F.col("_from")[p] - F.col("_from")[p - 1]))), "\n")
-    out = out.withColumns({"n_lines": F.size("_worded").cast("long"),
-                           "n_deleted": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long"),
-                           text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(rest)})
+    later = F.slice(worded, F.lit(2), F.greatest(F.size(worded) - 1, F.lit(0)))
+    out = out.withColumn(starts, F.when(F.size(worded) > 0, F.concat(F.array(F.lit(0)), later, F.array(F.size(lines)))))
+    out = out.withColumn(stay, F.array_except(F.sequence(F.lit(1), F.size(worded)), F.col(gone)))
+    rest = F.array_join(F.flatten(F.transform(stay, lambda p: F.slice(
+        F.col(lines), F.col(starts)[p - 1] + 1, F.col(starts)[p] - F.col(starts)[p - 1]))), "\n")
+    out = out.withColumns({"n_lines": F.size(worded).cast("long"),
+                           "n_deleted": F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).cast("long"),
+                           text: F.when(F.col(gone).isNull(), F.col(text)).otherwise(rest)})
     return out.select(*keep.columns, "n_lines", "n_deleted")

@@ -48,10 +48,13 @@ WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lin
 ln AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS idx FROM d),
 st AS (SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS worded FROM ln),
 st2 AS (SELECT *, greatest(1, sum(CASE WHEN worded THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY idx)) AS pos FROM st),
-w AS (SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t FROM st2 WHERE worded),
-win AS (SELECT doc_id, pos, t AS a, lead(t) OVER o AS b, lead(t, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
-rep AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) AS nth FROM win WHERE c IS NOT NULL),
-gone AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1, pos + 2]) AS pos FROM rep WHERE nth > 1),
+w AS (SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS t,
+             len(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS k FROM st2 WHERE worded),
+win AS (SELECT doc_id, pos, t AS a, lead(t) OVER o AS b, lead(t, 2) OVER o AS c, k, lead(k) OVER o AS k2 FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+rep AS (SELECT doc_id, pos, 3 AS n, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) AS nth FROM win WHERE c IS NOT NULL
+        UNION ALL SELECT doc_id, pos, 1, row_number() OVER (PARTITION BY a ORDER BY doc_id, pos) FROM win WHERE k >= 50
+        UNION ALL SELECT doc_id, pos, 2, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, pos) FROM win WHERE b IS NOT NULL AND k + k2 >= 50),
+gone AS (SELECT DISTINCT doc_id, unnest(range(pos::BIGINT, (pos + n)::BIGINT)) AS pos FROM rep WHERE nth > 1),
 n_gone AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
 n_lines AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id),
 rest AS (SELECT st2.doc_id, string_agg(line, chr(10) ORDER BY idx) AS text FROM st2 ANTI JOIN gone

@@ -11,8 +11,8 @@ in more documents than that are removed. A document is depleted when fewer than
 words or less than ``min_kept`` of its words remain.
 
 Defined results: NULL text has no words and fails the base rules; NULL hosts are one host; repeated
-rows give repeated results; other columns pass through ``apply_quality`` and are ignored elsewhere;
-empty tables give empty results.
+rows give repeated results; a very long text is one row of one task; other columns pass through
+``apply_quality`` and ``judge``, whose own columns replace old ones of the same name, and are ignored elsewhere; empty tables give empty results.
 
 Plan: one pass counts lines. Lines are made distinct within a document, then per (host, line,
 text) - the key spreads a hot line over the partitions - then counted. Lines above the limit are
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, written
+from .common import free_prefix, row_key, written
 
 SPACE = r"[\x20\x09-\x0D]"
 MIN_WORDS = 20        # base rule and depletion: fewest words
@@ -61,38 +61,39 @@ def base_columns(docs: DataFrame, text: str = "text", window: int = WINDOW) -> D
     distinct count) sorts its windows. Every step is linear in the text, the sort aside.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    a = docs.withColumn("_words", words_of(F.col(text)))
-    a = a.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-    a = a.withColumn("_windows", F.when(
-        F.size("_hashes") >= window,
-        F.transform(F.sequence(F.lit(1), F.size("_hashes") - window + 1),
-                    lambda i: F.xxhash64(F.slice(F.col("_hashes"), i, window)))).otherwise(F.array().cast("array<bigint>")))
+    words, hashes, windows, in_order, at, lines = (free_prefix(docs) + c for c in ("words", "hashes", "windows", "sorted", "at", "lines"))
+    a = docs.withColumn(words, words_of(F.col(text)))
+    a = a.withColumn(hashes, F.transform(words, lambda w: F.xxhash64(w)))
+    a = a.withColumn(windows, F.when(
+        F.size(hashes) >= window,
+        F.transform(F.sequence(F.lit(1), F.size(hashes) - window + 1),
+                    lambda i: F.xxhash64(F.slice(F.col(hashes), i, window)))).otherwise(F.array().cast("array<bigint>")))
     # (hash, position) in order; a window is repeated when a neighbour has its hash
-    a = a.withColumn("_sorted", F.when(
-        F.size(F.array_distinct("_windows")) < F.size("_windows"),
-        F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    last = F.size("_sorted") - 1
-    hit = F.filter("_sorted", lambda x, k: (
-        (k > 0) & (F.col("_sorted")[F.greatest(k - 1, F.lit(0))]["h"] == x["h"])
-        | (k < last) & (F.col("_sorted")[F.least(k + 1, last)]["h"] == x["h"])))
-    a = a.withColumn("_at", F.array_sort(F.transform(hit, lambda x: x["i"])))
+    a = a.withColumn(in_order, F.when(
+        F.size(F.array_distinct(windows)) < F.size(windows),
+        F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    last = F.size(in_order) - 1
+    hit = F.filter(in_order, lambda x, k: (
+        (k > 0) & (F.col(in_order)[F.greatest(k - 1, F.lit(0))]["h"] == x["h"])
+        | (k < last) & (F.col(in_order)[F.least(k + 1, last)]["h"] == x["h"])))
+    a = a.withColumn(at, F.array_sort(F.transform(hit, lambda x: x["i"])))
     # words covered by windows at the sorted positions: each adds what the next does not reach
-    a = a.withColumn("_lines", F.filter(lines_of(F.col(text)), _has_word))
+    a = a.withColumn(lines, F.filter(lines_of(F.col(text)), _has_word))
     covered = F.aggregate(
-        F.transform(F.col("_at"), lambda i, k: F.when(
-            k < F.size("_at") - 1, F.least(F.lit(window), F.col("_at")[F.least(k + 1, F.size("_at") - 1)] - i)).otherwise(window)),
+        F.transform(F.col(at), lambda i, k: F.when(
+            k < F.size(at) - 1, F.least(F.lit(window), F.col(at)[F.least(k + 1, F.size(at) - 1)] - i)).otherwise(window)),
         F.lit(0), lambda x, y: x + y)
-    n_words, n_repeat = F.size("_words").cast("long"), F.coalesce(covered, F.lit(0)).cast("long")
+    n_words, n_repeat = F.size(words).cast("long"), F.coalesce(covered, F.lit(0)).cast("long")
     out = a.withColumns({
         "n_words": n_words,
-        "word_chars": F.char_length(F.array_join("_words", "")).cast("long"),
+        "word_chars": F.char_length(F.array_join(words, "")).cast("long"),
         "n_symbols": (F.size(F.split(t, r"[#*$%&|<>]")) - 1).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
         "n_repeat_words": n_repeat,
     })
     out = out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                          | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PCT))
-    return out.drop("_words", "_hashes", "_windows", "_sorted", "_at", "_lines")
+    return out.drop(words, hashes, windows, in_order, at, lines)
 
 
 def frequent_lines(docs: DataFrame, host: str = "source", text: str = "text",
@@ -126,10 +127,12 @@ def judge(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: s
           min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_kept: float = MIN_KEPT) -> DataFrame:
     """``docs`` with the base columns, ``gone`` (positions of removed lines), ``n_gone`` (their words), ``kept``."""
     gone = removed_lines(docs, written(frequent_lines(docs, host, text, min_docs, max_share)), id_col, host, text)
-    base = base_columns(docs, text).withColumn("_k", row_key(text))
-    out = base.join(gone.withColumnRenamed("positions", "gone"),
-                    F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key"))
-                    & F.col(host).eqNullSafe(F.col("_host")), "left").drop("_id", "_key", "_host", "_k")
+    own, id_, key, host_ = (free_prefix(docs) + c for c in ("own", "id", "key", "host"))
+    docs = docs.select(*[c for c in docs.columns if c not in ("gone", "n_gone", "kept")])
+    base = base_columns(docs, text).withColumn(own, row_key(text))
+    out = base.join(gone.toDF(id_, key, host_, "gone", "n_gone"),
+                    F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(key))
+                    & F.col(host).eqNullSafe(F.col(host_)), "left").drop(id_, key, host_, own)
     left = F.col("n_words") - F.coalesce("n_gone", F.lit(0))
     return out.withColumn("n_gone", F.coalesce("n_gone", F.lit(0)).cast("long")).withColumn(
         "kept", ~F.col("base_failed") & (left >= MIN_WORDS) & (left >= min_kept * F.col("n_words")))
@@ -137,14 +140,15 @@ def judge(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: s
 
 def apply_quality(docs: DataFrame, id_col: str = "doc_id", host: str = "source", text: str = "text", **limits) -> DataFrame:
     """The documents kept, without their removed lines; the columns of ``docs``."""
+    own, id_, host_, key, gone, lines = (free_prefix(docs) + c for c in ("own", "id", "host", "key", "gone", "lines"))
     verdict = judge(docs.select(id_col, host, text), id_col, host, text, **limits).select(
-        F.col(id_col).alias("_id"), F.col(host).alias("_host"), row_key(text).alias("_key"), "kept", "gone")
+        F.col(id_col).alias(id_), F.col(host).alias(host_), row_key(text).alias(key), "kept", F.col("gone").alias(gone))
     # written, so that the filter is on a stored column and not on all that leads to it
-    verdict = written(verdict).filter("kept").select("_id", "_host", "_key", "gone").dropDuplicates(["_id", "_host", "_key"])
-    out = docs.withColumn("_k", row_key(text)).join(
-        verdict.withColumnRenamed("gone", "_gone").hint("merge"),
-        F.col(id_col).eqNullSafe(F.col("_id")) & F.col(host).eqNullSafe(F.col("_host")) & (F.col("_k") == F.col("_key")))
-    out = out.withColumn("_all", lines_of(F.col(text)))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), F.col("_gone"))
-    rest = F.array_join(F.transform(left, lambda i: F.col("_all")[i]), "\n")
-    return out.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(rest)).select(*docs.columns)
+    verdict = written(verdict).filter("kept").select(id_, host_, key, gone).dropDuplicates([id_, host_, key])
+    out = docs.withColumn(own, row_key(text)).join(
+        verdict.hint("merge"),
+        F.col(id_col).eqNullSafe(F.col(id_)) & F.col(host).eqNullSafe(F.col(host_)) & (F.col(own) == F.col(key)))
+    out = out.withColumn(lines, lines_of(F.col(text)))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    rest = F.array_join(F.transform(left, lambda i: F.col(lines)[i]), "\n")
+    return out.withColumn(text, F.when(F.col(gone).isNull(), F.col(text)).otherwise(rest)).select(*docs.columns)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, slices, written
+from .common import free_prefix, row_key, slices, written
 from .components import components
 
 SHINGLE = 3        # words
@@ -140,8 +140,9 @@ def dedup(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTA
           id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The first document of each component; repeated rows of it count as one. The columns of ``docs``."""
     found = near_duplicates(docs, shingle, max_distance, id_col, text)
+    own, id_, key = (free_prefix(docs) + c for c in ("own", "id", "key"))
     kept = (found.filter(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key")))
-            .select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct())
-    return (docs.withColumn("_k", row_key(text))
-            .join(kept.hint("merge"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left_semi")
-            .dropDuplicates([id_col, "_k"]).select(*docs.columns))
+            .select(F.col("id").alias(id_), F.col("key").alias(key)).distinct())
+    return (docs.withColumn(own, row_key(text))
+            .join(kept.hint("merge"), F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(key)), "left_semi")
+            .dropDuplicates([id_col, own]).select(*docs.columns))

@@ -92,3 +92,33 @@ def test_what_lies_around_the_main_text_is_no_menu():
     page = '<body>loose<div class="wrap"><p>By <a href="/me">me</a></p><ul><li><a href="/1">One</a></ul><div class="x"><p>{}</p></div><div class="y"><p>talk</p></div></div></body>'
     assert html.page_text(page.format("story " * 40), []) == "By me\n" + ("story " * 40).strip()
     assert len(html.page_text("<div>" * 20000 + "deep text" * 9 + "<div>x" * 2000, [])) > 80
+
+
+def test_small_parts_beside_the_main_text_stay(spark):
+    for main, extra in ((90, 10), (85, 15), (79, 21)):
+        for a, z, c in (('<div class="post">', "</div>", "div"), ("<main>", "</main>", "section"), ('<div id="page"><div class="in">', "</div></div>", "div")):
+            def page(i):
+                return f'<body><nav>menu</nav>{a}<h1>T{i}</h1><{c} class="main"><p>{"m" * main}{i}</p></{c}><{c} class="faq"><p>{"x" * extra}{i}</p></{c}>{z}</body>'
+            def want(i):
+                return f'T{i}\n{"m" * main}{i}\n{"x" * extra}{i}'
+            assert whole(spark, [page(i) for i in range(5)]) == [want(i) for i in range(5)]
+            assert whole(spark, [page(7)] * 5) == [want(7)] * 5  # five copies of one page
+
+
+def test_what_the_host_repeats_is_left_out(spark):
+    pages = [f'<div id="page"><div class="brand">Our house of news</div><div class="xa"><p>{"story " * 30}{i}</p></div><div class="xb"><p>an aside {i}</p></div>'
+             f'<div class="xc"><a href="/">Other {i}</a></div><div class="xd">By us all</div></div>' for i in range(8)]
+    assert whole(spark, pages) == [f'{"story " * 30}{i}\nan aside {i}' for i in range(8)]
+
+
+def test_class_words_spare_the_article(spark):
+    page = ('<article><header><h1>T</h1><p>By me</p></header><p class="share-price">price</p><p class="comment-free">free</p><div class="notice-period">period</div>'
+            '<div class="share-buttons">f t</div><div class="related">see</div><div class="newsletter-box">mail</div><p>end {}</p><!-- x --!> y</article>')
+    assert whole(spark, [page.format(i) for i in range(3)]) == [f"T\nprice\nfree\nperiod\nend {i}\ny" for i in range(3)]
+
+
+def test_underscore_columns_pass_through(spark):
+    names = ["_own", "_host", "_paths", "_holding", "_barred", "__own"]
+    df = spark.createDataFrame([(1, "http://h.org/1", "<article><p>a</p></article>", *names)], ["page_id", "url", "html", *names])
+    (r,) = html.main_text(df).collect()
+    assert r.text == "a" and [r[c] for c in names] == names

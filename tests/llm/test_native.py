@@ -73,13 +73,13 @@ def test_line_dedup_edge_rows(spark, docs_of):
     assert lines.dedup_lines(docs.limit(0)).count() == 0
 
 
-def test_long_passages_on_few_lines_go_when_asked(spark, docs_of):
+def test_long_passages_on_few_lines_go(spark, docs_of):
     one, two = " ".join(f"w{i}" for i in range(50)), [" ".join(f"{c}{i}" for i in range(25)) for c in "ab"]
     rows = [(1, f"x1\n{one}\ny1"), (2, one), (3, f"{two[0]}\n\n {two[1]}\t\nz"), (4, "q\n" + "\n".join(two)),
             (5, f"{two[1]}\n{two[0]}"), (6, " ".join(one.split()[:49])), (7, " ".join(one.split()[:49])), (8, None)]
-    off = {r.doc_id: r.n_deleted for r in lines.dedup_lines(docs_of(rows)).collect()}
+    off = {r.doc_id: r.n_deleted for r in lines.dedup_lines(docs_of(rows), words=None).collect()}
     assert not any(off.values())
-    got = {r.doc_id: (r.text, r.n_deleted) for r in lines.dedup_lines(docs_of(rows), words=50).collect()}
+    got = {r.doc_id: (r.text, r.n_deleted) for r in lines.dedup_lines(docs_of(rows)).collect()}
     assert got == {i: (t, 0) for i, t in rows} | {2: ("", 1), 4: ("q", 2)}
 
 
