@@ -39,6 +39,8 @@ def main():
     for name, fn in QUERIES.items():
         df = fn(spark, SF)
         rows = [tuple(r) for r in df.collect()]
+        if name not in se.oracle_sql():  # it ran; its own test compares it with brute force
+            continue
         cur = con.execute(se.oracle_sql()[name])
         ocols = [d[0] for d in cur.description]
         if digest(df.columns, rows)[0] != digest(ocols, cur.fetchall())[0]:
