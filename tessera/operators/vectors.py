@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import exact as X
 from ..functions.vector import MAX_CENTER_BYTES, center_distance_udf, check_center_budget, distances_udf, min_distance, nearest, vector_sum_agg
-from ..session import written
+from ..session import fresh_path, written
 
 CENTERS_SCHEMA = T.StructType([
     T.StructField("c", T.IntegerType(), False),
@@ -71,6 +72,36 @@ def assign(points: DataFrame, centers, x: str = "x") -> DataFrame:
         *points.columns, F.col("_best.c").alias("c"), F.col("_best.d").alias("d"))
 
 
+def assign_by_blocks(points: DataFrame, centers: DataFrame, id: str = "id", x: str = "x",
+                     block_bytes: int = MAX_CENTER_BYTES) -> DataFrame:
+    """V2 for a centre set of any size: ``id, c, d`` of every point; the doubles and ties of :func:`assign`.
+
+    ``centers`` has a row ``c, y`` per centre, c = 0..k-1, and is cut into blocks of at most ``block_bytes``.
+    One narrow pass over the points per block appends every point's nearest centre of that block to the
+    shared folder; the smallest (d, c) of a point, combined before the shuffle, is its nearest of all. Driver and
+    tasks hold one block at a time, and 20 bytes per point and block are written in place of
+    the vectors. Rows that repeat one id and vector give one row; other rows of one id stay apart. A NULL vector
+    has neither c nor d.
+    """
+    spark = points.sparkSession
+    kept = written(centers.select(F.col("c").cast("long").alias("c"), "y").repartitionByRange("c").sortWithinPartitions("c"))
+    size = kept.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("c").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi"),
+                    F.min(F.size("y")).alias("least"), F.max(F.size("y")).alias("dim")).first()
+    k = int(size["n"])
+    if k == 0:
+        raise ValueError("at least one centre is needed")
+    if (size["k"], size["lo"], size["hi"]) != (k, 0, k - 1) or size["least"] != size["dim"]:
+        raise ValueError("centres must be numbered 0..k-1 and have one dimension")
+    step, path = max(1, block_bytes // (8 * max(1, int(size["dim"])))), fresh_path(spark)
+    for at in range(0, k, step):
+        block = [list(r["y"]) for r in kept.filter((F.col("c") >= at) & (F.col("c") < at + step)).orderBy("c").collect()]
+        best = nearest(x, block)
+        part = points.select(F.col(id).alias("id"), F.xxhash64(x).alias("key"), best.alias("best"))
+        part.select("id", "key", F.col("best.d").alias("d"), (F.col("best.c") + at).cast("long").alias("c")).write.mode("append").parquet(path)
+    merged = spark.read.parquet(path).groupBy("id", "key").agg(F.min(F.struct("d", "c")).alias("best"))
+    return merged.select(F.col("id").alias(id), F.col("best.c").cast("int").alias("c"), F.col("best.d").alias("d"))
+
+
 def update_min_distance(points: DataFrame, newest: Sequence[float], x: str = "x",
                         d: str = "d") -> DataFrame:
     """V4: ``d = least(d, dist(x, newest))``; a NULL ``d`` (no centre yet) becomes the distance."""
@@ -107,11 +138,19 @@ def cluster_weights(points: DataFrame, centers, x: str = "x", part: str | None =
                         F.coalesce(F.try_element_at("m", F.col("c").cast("int")), F.lit(0)).cast("long").alias("w"))
 
 
-def weighted_mean(points: DataFrame, group: str, x: str = "x", w: str | None = None) -> DataFrame:
-    """``group, mean`` with mean = Σ wᵢxᵢ / Σ wᵢ per group (``array<double>``)."""
+def weighted_mean(points: DataFrame, group: str, x: str = "x", w: str | None = None, exact: bool = False) -> DataFrame:
+    """``group, mean`` with mean = Σ wᵢxᵢ / Σ wᵢ per group (``array<double>``).
+
+    ``exact`` adds the rows as integers on a common exponent (one more pass, for the maxima): the same bits
+    in any order of the tasks.
+    """
     weight = F.col(w) if w else F.lit(1.0)
-    agg = points.groupBy(group).agg(vector_sum_agg(x, weight).alias("s"),
-                                    F.sum(weight).alias("sw"))
+    if exact:
+        rows = points.select(F.col(group).alias("g"), F.col(x).alias("x"), weight.cast("double").alias("w"))
+        agg = X.group_sums(rows, X.exponents(points, x, weight)).withColumnRenamed("g", group)
+    else:
+        agg = points.groupBy(group).agg(vector_sum_agg(x, weight).alias("s"),
+                                        F.sum(weight).alias("sw"))
     return agg.select(group, F.transform("s", lambda v: v / F.col("sw")).alias("mean"))
 
 

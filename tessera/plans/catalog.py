@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from ..operators import kmeans, kmedian, numeric, paging, sampling, words
 from ..operators import vectors as V
-from ..session import written
+from ..session import fresh_path, written
 from ..sources import tables
-from ..sources.text import parse_numbers, parse_vectors
+from ..sources.text import parse_numbers, parse_vectors, read_lines, with_line_number
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -34,7 +34,9 @@ CORESET_MIN_PARTS = 2    # V10 / V11: L = max(2, parts of ~128 MB), part = hash
 CORESET_ITERATIONS = 1   # V10 / V11: Lloyd steps in rounds 1 and 2
 CORESET_BLOCK = 128      # V10 by merge-and-reduce: points clustered at a time
 SEED_K = 12              # V6 by rejection: k
-PAGE_SIZE = 200          # K2: rows of a pulled page
+PAGE_SIZE = 200          # K2: rows of a page of page_sums
+PULL_SIZE = 1000         # K2: rows of a pulled page
+BLOCK_CENTERS = 2        # V2 by blocks: centres of a block
 PAGE_START, PAGE_END = 100, 200   # P7 / K2: one page of the row index
 
 
@@ -137,11 +139,9 @@ def vec_scan_ws(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vec_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1: the distance of every point to the centre of its own label."""
     means = V.weighted_mean(_points(spark, sf_dir, True), "label")
-    labels = written(means.select(F.col("label"), F.col("mean")))
-    centers = V.collect_centers(labels, "label", "mean")
-    rank = {r["label"]: i for i, r in enumerate(labels.select("label").orderBy("label").collect())}
-    index = F.create_map(*[F.lit(v) for pair in rank.items() for v in pair])
-    own = _points(spark, sf_dir, True).withColumn("c", index[F.col("label")])
+    labels = written(paging.with_row_index(means.select("label", "mean"), ["label"], "c"))
+    centers = V.collect_centers(labels, "c", "mean")
+    own = _points(spark, sf_dir, True).join(labels.select("label", F.col("c").cast("int").alias("c")), "label")
     out = V.distance_to_center(own, centers)
     return out.select(F.col("id").alias("vec_id"), "c", _r(F.col("d")).alias("d"))
 
@@ -279,6 +279,62 @@ def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.page(paging.with_row_index(ids, ["vec_id"]), PAGE_START, PAGE_END)
 
 
+def page_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: the pages pulled one after the other. Each is a job that reads its own files and appends its row to the
+    shared folder, so neither the driver nor a job holds more than a page."""
+    ids = tables.table(spark, sf_dir, "embeddings").select("vec_id")
+    path, schema = fresh_path(spark), "page long, first_id long, sum_id long, n long"
+    spark.createDataFrame([], schema).write.parquet(path)
+    for i, rows in enumerate(paging.iter_pages(ids, ["vec_id"], PULL_SIZE)):
+        one = rows.agg(F.min("vec_id").alias("first_id"), F.sum("vec_id").alias("sum_id"), F.count(F.lit(1)).alias("n"))
+        one.select(F.lit(i).cast("long").alias("page"), "first_id", "sum_id", "n").write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a text file of a line each, scanned and numbered."""
+    path = fresh_path(spark)
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), "[\\r\\n]+", " ")
+    tables.documents(spark, sf_dir).select(text.alias("value")).write.text(path)
+    lines = with_line_number(read_lines(spark, path))
+    return lines.agg(F.count(F.lit(1)).alias("n"), F.min("line_no").alias("first_no"), F.sum("line_no").alias("sum_no"),
+                     F.count_distinct("line_no").alias("n_no"), F.sum(F.char_length("value")).cast("long").alias("n_chars"),
+                     F.count_distinct("value").alias("n_texts"))
+
+
+def vec_mean_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A14 with sums that do not depend on the order of the tasks."""
+    pts = _points(spark, sf_dir, True).withColumn("w", (F.pmod(F.col("id"), F.lit(5)) + 1).cast("double"))
+    means = V.weighted_mean(pts, "label", w="w", exact=True)
+    return V.explode_vector(means, ["label"], "mean").select("label", "pos", _r(F.col("v")).alias("v"))
+
+
+def vec_assign_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 by blocks of centres, merged by the smallest (d, c)."""
+    centers = label_centers(spark, sf_dir)
+    out = V.assign_by_blocks(_points(spark, sf_dir), V.centers_frame(spark, centers), block_bytes=BLOCK_CENTERS * len(centers[0]) * 8)
+    return out.select(F.col("id").alias("vec_id"), "c", _r(F.col("d")).alias("d"))
+
+
+def lloyd_step_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7 by blocks of centres."""
+    centers = label_centers(spark, sf_dir)
+    new = kmeans.lloyd_step_by_blocks(_points(spark, sf_dir), V.centers_frame(spark, centers), block_bytes=BLOCK_CENTERS * len(centers[0]) * 8)
+    return V.explode_vector(new, ["c"], "y").select("c", "pos", _r(F.col("v")).alias("v"))
+
+
+def kmeans_fit_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V8 with carried bounds and exact sums."""
+    centers, _ = kmeans.fit_by_bounds(_points(spark, sf_dir), KPP_K, FIT_ITERATIONS, SEED)
+    return V.explode_vector(V.centers_frame(spark, centers), ["c"], "y").select("c", "pos", _r(F.col("v")).alias("v"))
+
+
+def kmeans_fit_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: V8 over points kept on the executors between rounds."""
+    centers = kmeans.fit(_points(spark, sf_dir), KPP_K, FIT_ITERATIONS, SEED, persist=True)
+    return V.explode_vector(V.centers_frame(spark, centers), ["c"], "y").select("c", "pos", _r(F.col("v")).alias("v"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "num_sum_squares": num_sum_squares,
     "num_max": num_max,
@@ -317,4 +373,11 @@ QUERIES: dict[str, QueryFn] = {
     "num_scan": num_scan,
     "page_sums": page_sums,
     "page_rows": page_rows,
+    "page_pull": page_pull,
+    "text_lines": text_lines,
+    "vec_mean_exact": vec_mean_exact,
+    "vec_assign_blocks": vec_assign_blocks,
+    "lloyd_step_blocks": lloyd_step_blocks,
+    "kmeans_fit_bounds": kmeans_fit_bounds,
+    "kmeans_fit_cached": kmeans_fit_cached,
 }

@@ -164,3 +164,15 @@ SQL.update({
     "page_rows": (f"SELECT idx, vec_id FROM (SELECT (row_number() OVER (ORDER BY vec_id) - 1)::BIGINT AS idx,"
                   f" vec_id FROM embeddings) WHERE idx >= {Q.PAGE_START} AND idx < {Q.PAGE_END}"),
 })
+
+_LINES = "(SELECT regexp_replace(coalesce(text, ''), '[\\r\\n]+', ' ', 'g') AS value FROM documents)"
+SQL.update({
+    "page_pull": SQL["page_sums"].replace(f"// {Q.PAGE_SIZE})", f"// {Q.PULL_SIZE})"),
+    "text_lines": ("SELECT count(*)::BIGINT AS n, 0::BIGINT AS first_no, (count(*) * (count(*) - 1) // 2)::BIGINT AS sum_no, count(*)::BIGINT AS n_no,"
+                   f" sum(length(value))::BIGINT AS n_chars, count(DISTINCT value)::BIGINT AS n_texts FROM {_LINES}"),
+    "vec_mean_exact": SQL["vec_weighted_mean"],
+    "vec_assign_blocks": SQL["vec_assign"],
+    "lloyd_step_blocks": SQL["lloyd_step"],
+    "kmeans_fit_bounds": SQL["kmeans_fit"],
+    "kmeans_fit_cached": SQL["kmeans_fit"],
+})

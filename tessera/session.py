@@ -10,6 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,9 +62,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_RUN: ContextVar[str | None] = ContextVar("tessera_run", default=None)
+
+
+@contextmanager
+def run_tables(spark: SparkSession) -> Iterator[str]:
+    """The tables that the library writes inside the block lie in a folder of their own, which goes at its end.
+
+    A result must be read or written inside the block; nothing else in the shared folder is touched.
+    """
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_path(spark: SparkSession) -> str:
-    """A new name in the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}.parquet"
+    """A new name in the shared checkpoint folder, or in the folder of the run (:func:`run_tables`)."""
+    return f"{_RUN.get() or ensure_checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}.parquet"
 
 
 def written(df: DataFrame) -> DataFrame:

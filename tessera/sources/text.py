@@ -24,32 +24,23 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def with_line_number(lines: DataFrame, col: str = "line_no") -> DataFrame:
     """0-based line number of a ``spark.read.text`` frame, in file and line order.
 
-    Like ``zipWithIndex``, two passes over the text and no shuffle of it: pass 1 counts the
-    lines of every input block (one row per block, turned into running offsets and written to
-    the shared folder); pass 2 adds the block's offset to the line's position in its task. Both
-    passes read one frame whose splits are fixed when it is built, so a later change of the
-    split size or of the executors cannot make them disagree; a block without an offset fails
-    the job. Spark broadcasts the offsets (four longs per block) if its own threshold allows.
+    The lines are read once and written to the shared folder with their input block and their place
+    in it; the counts of the blocks (one row each) become running offsets, and a line's number is
+    its block's offset plus its place. Counts and places come from the same written rows, so
+    a later change of the split size or of the executors cannot make them disagree. No shuffle of the
+    text; Spark broadcasts the offsets (four longs per block) if its own threshold allows.
     """
     from ..operators.paging import running_offsets
 
-    spark = lines.sparkSession
-    tagged = lines.select(
+    tagged = written(lines.select(
         "*",
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_mid"),
-    )
-    # the rows of the scan's own partitions, planned once; no data leaves the JVM
-    fixed = DataFrame(spark._jsparkSession.createDataFrame(tagged._jdf.rdd(), tagged._jdf.schema()), spark)
-    blocks = fixed.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    ))
+    blocks = tagged.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     offsets = written(running_offsets(blocks, ["_path", "_block"], "_n", "_offset").select("_path", "_block", "_offset", "_first"))
-    joined = fixed.join(offsets, ["_path", "_block"], "left")
-    return joined.select(
-        *[c for c in lines.columns],
-        F.when(F.col("_offset").isNull(), F.raise_error(F.lit("input block without a line offset")).cast("long"))
-        .otherwise(F.col("_offset") + F.col("_mid") - F.col("_first")).alias(col),
-    )
+    return tagged.join(offsets, ["_path", "_block"]).select(*lines.columns, (F.col("_offset") + F.col("_mid") - F.col("_first")).alias(col))
 
 
 def _trimmed(c: Column) -> Column:
