@@ -19,11 +19,18 @@ in their physical plan:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.tokens import split_words, word_length
 
+SLICE_BYTES = 1 << 22  # text whose words are counted at a time; one longer text is handled alone
 VARIANTS = ("direct", "salted", "partition", "grouped")
 
 
@@ -32,11 +39,16 @@ def tokens(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     return docs.select(F.col(doc_id).alias("doc_id"), F.explode(split_words(text)).alias("word"))
 
 
-def word_count_per_doc(docs: DataFrame) -> DataFrame:
+def word_count_per_doc(docs: DataFrame, arrow: bool = False) -> DataFrame:
     """``doc_id, word, n`` — occurrences of each word inside each document (row).
 
-    The row's tokens are sorted and cut into runs, all inside the row: no shuffle.
+    A document is one row, so its words are counted where it lies: no shuffle. By default the row's tokens
+    are sorted and cut into runs by JVM expressions. With ``arrow`` a slice of documents is split and its words
+    numbered by Arrow, and one sort of (document, word number) pairs counts them; that takes a third of the
+    time (README).
     """
+    if arrow:
+        return _counted_by_arrow(docs)
     words = docs.select("doc_id", F.sort_array(split_words("text")).alias("w"))
     starts = words.select("doc_id", "w", F.filter(
         F.sequence(F.lit(0), F.size("w") - 1),
@@ -46,14 +58,36 @@ def word_count_per_doc(docs: DataFrame) -> DataFrame:
     return starts.select("doc_id", F.explode(runs).alias("r")).select("doc_id", "r.word", "r.n")
 
 
+def _counted_by_arrow(docs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False)
+            piece = np.cumsum(size.astype(np.int64)) // SLICE_BYTES
+            ends = np.flatnonzero(np.append(piece[1:] != piece[:-1], True)) + 1 if b.num_rows else []
+            at = 0
+            for end in ends:
+                part, at = b.slice(at, end - at), end
+                words = pc.split_pattern(part.column(1).cast(pa.large_string()), " ")
+                coded = words.flatten().dictionary_encode()
+                k = max(1, len(coded.dictionary))
+                row = pc.list_parent_indices(words).to_numpy().astype(np.int64)
+                pair, n = np.unique(row * k + coded.indices.to_numpy(), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(pair // k)), coded.dictionary.take(pa.array(pair % k)).cast(pa.string()), pa.array(n.astype(np.int64))],
+                    names=["doc_id", "word", "n"])
+
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], T.StructField("word", T.StringType()), T.StructField("n", T.LongType())]))
+
+
 def salt(buckets: int = 8):
     """P5: the task's number modulo ``buckets``; a retried task has the same number."""
     return F.pmod(F.spark_partition_id(), F.lit(buckets)).cast("int")
 
 
 def word_count(docs: DataFrame, variant: str = "direct", buckets: int = 8,
-               partitions: int | None = None) -> DataFrame:
-    """``word, n`` over all documents.
+               partitions: int | None = None, arrow: bool = False) -> DataFrame:
+    """``word, n`` over all documents. ``arrow`` is that of :func:`word_count_per_doc`, for ``grouped``.
 
     ``partitions`` (R1, K) first hash-partitions the documents by ``doc_id`` into that many
     partitions; ``partition`` always does, into ``buckets`` of them where it is not given.
@@ -69,7 +103,7 @@ def word_count(docs: DataFrame, variant: str = "direct", buckets: int = 8,
                  .groupBy("word", "salt").agg(F.count(F.lit(1)).alias("n")))
         return first.groupBy("word").agg(F.sum("n").alias("n"))
     if variant == "grouped":
-        return word_count_per_doc(docs).groupBy("word").agg(F.sum("n").alias("n"))
+        return word_count_per_doc(docs, arrow).groupBy("word").agg(F.sum("n").alias("n"))
     raise ValueError(f"unknown variant {variant!r}; expected one of {VARIANTS}")
 
 

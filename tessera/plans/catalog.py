@@ -74,12 +74,12 @@ def num_over_half(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --------------------------------------------------------------------------- words
 
 def wc_per_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words.word_count_per_doc(tables.documents(spark, sf_dir))
+    return words.word_count_per_doc(tables.documents(spark, sf_dir), arrow=True)
 
 
 def _wc(variant: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return words.word_count(tables.documents(spark, sf_dir), variant, SALT_BUCKETS)
+        return words.word_count(tables.documents(spark, sf_dir), variant, SALT_BUCKETS, arrow=True)
     run.__name__ = f"wc_{variant}"
     return run
 

@@ -119,3 +119,20 @@ def test_exchanges_of_the_variants(spark):
     want = {"direct": 1, "salted": 2, "partition": 2, "grouped": 1}
     assert {v: _exchanges(words.word_count(df, v)) for v in want} == {v: (n, False) for v, n in want.items()}
     assert _exchanges(words.word_count_per_doc(df)) == (0, False)
+
+
+def test_counts_by_arrow_equal_the_native_ones(spark, monkeypatch):
+    from collections import Counter
+
+    monkeypatch.setattr(words, "SLICE_BYTES", 40)
+    texts = [None, "", " ", "a  b a", "é ü é", "tab\tin word\n x", "z" * 100 + " z", "a b " * 60, "\x00 q"]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(None, "a a"), (3, "a")], "doc_id long, text string").coalesce(2)
+    want = Counter(tuple(r) for r in words.word_count_per_doc(df).collect())
+    got = words.word_count_per_doc(df, arrow=True)
+    assert Counter(tuple(r) for r in got.collect()) == want and got.dtypes == words.word_count_per_doc(df).dtypes
+    assert words.word_count_per_doc(df.limit(0), arrow=True).collect() == []
+    grouped = {r["word"]: r["n"] for r in words.word_count(df, "grouped", arrow=True).collect()}
+    assert grouped == {r["word"]: r["n"] for r in words.word_count(df).collect()}
+    assert _exchanges(words.word_count_per_doc(df, arrow=True))[0] == 0 and _exchanges(words.word_count(df, "grouped", arrow=True))[0] == 1
+    long = spark.createDataFrame([(1, "word other " * 450_000)], "doc_id long, text string")
+    assert sorted(tuple(r)[1:] for r in words.word_count_per_doc(long, arrow=True).collect()) == [("", 1), ("other", 450_000), ("word", 450_000)]
