@@ -25,6 +25,11 @@ Each step is exact (64-bit names are compared within 64-bit names). Only filters
 broadcast. A name shared by many documents is counted before it is shuffled and its rows are
 joined by hash, where adaptive execution splits them; no step lists pairs.
 
+The same steps over residues (``residues``, off by default): the sampled positions are those whose place
+in their text is, modulo ``RESIDUES[0]``, in a difference cover, so that any two places have a common shift to
+sampled ones. A window then has several sampled positions, and a block is the windows before one of them. It is
+exact as well and needs several times the rows; README has the figures.
+
 Defined results: texts are their UTF-8 bytes, NULL is empty; a repeated row is a document of its
 own, so it repeats the other; texts shorter than ``length`` lose nothing; the bytes that stay may
 cut a character, so they are binary; other columns pass through, and new columns replace old ones
@@ -49,6 +54,8 @@ SAMPLE = 96     # a position is sampled from every so many
 GRAM = 16       # bytes that decide which
 SLICE = 1 << 18  # bytes of texts handled at a time (numpy holds about a hundred times that)
 PIECE = 1 << 20  # window starts of one long text handled at a time
+#: fixed values: a period and residues whose differences are all numbers below it
+RESIDUES = (133, (1, 10, 11, 13, 27, 31, 68, 75, 83, 110, 115, 121))
 _PLACE = np.uint64((1 << 26) - 1)
 
 
@@ -96,11 +103,37 @@ def _blocks(data: np.ndarray, off: np.ndarray, length: int, sample: int, gram: i
     return text[start], start, stop, at, h.of(at, at + length + 1 - sample), h.of(start, stop - 1 + length)
 
 
-def _names(rows: DataFrame, length: int, sample: int, gram: int) -> DataFrame:
+def _residue_blocks(data: np.ndarray, off: np.ndarray, length: int, place: int, residues: tuple[int, tuple[int, ...]]):
+    """As ``_blocks``, for the positions whose place in the text is in the cover (``place``: that of the texts' first bytes here)."""
+    period, cover = residues
+    sizes = np.diff(off)
+    if len(data) == 0 or sizes.max() < length:
+        return None
+    h = PrefixHash(data)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    own = np.arange(len(data)) - off[text]
+    sampled = np.zeros(period, bool)
+    sampled[list(cover)] = True
+    at = np.flatnonzero(sampled[(own + place) % period])
+    text = text[at]
+    start = np.maximum(off[text], at - period + 1)
+    stop = np.minimum(at, off[text + 1] - length) + 1
+    some = np.flatnonzero(start < stop)
+    text, at, start, stop = text[some], at[some], start[some], stop[some]
+    # all its windows hold the length + 1 - period bytes from a sampled position on
+    name, bytes_ = h.of(at, at + length + 1 - period), h.of(start, stop - 1 + length)
+    order = np.lexsort((name, stop, start))
+    same = np.zeros(len(order), bool)
+    same[1:] = (start[order][1:] == start[order][:-1]) & (stop[order][1:] == stop[order][:-1]) & (name[order][1:] == name[order][:-1])
+    order = order[~same]  # short periodic texts: one block under several sampled positions
+    return text[order], start[order], stop[order], at[order], name[order], bytes_[order]
+
+
+def _names(rows: DataFrame, length: int, blocks) -> DataFrame:
     """``name``: of sampled suffixes that are not alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, off, _, _ in _pieces(batches, length):
-            found = _blocks(data, off, length, sample, gram)
+        for _, data, off, _, place in _pieces(batches, length):
+            found = blocks(data, off, length, place)
             if found:
                 name, n = np.unique(found[4], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(n.astype(np.int64))], names=["name", "n"])
@@ -108,11 +141,11 @@ def _names(rows: DataFrame, length: int, sample: int, gram: int) -> DataFrame:
     return rows.select("text").mapInArrow(run, "name long, n long").groupBy("name").agg(F.sum("n").alias("n")).filter("n > 1").select("name")
 
 
-def _members(rows: DataFrame, bitmap, length: int, sample: int, gram: int) -> DataFrame:
+def _members(rows: DataFrame, bitmap, length: int, blocks) -> DataFrame:
     """``id, key, start, stop, name, bytes`` of blocks whose name passes the filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, data, off, rows_, place in _pieces(batches, length):
-            found = _blocks(data, off, length, sample, gram)
+            found = blocks(data, off, length, place)
             if found:
                 keep = passes(bitmap.value, found[4])
                 text, start, stop, _, name, bytes_ = (x[keep] for x in found)
@@ -173,13 +206,21 @@ def _windows(rows: DataFrame, ranges: DataFrame, length: int) -> DataFrame:
     return both.select("id", "key", "text", "blocks").mapInArrow(gathered, schema)
 
 
-def repeated_ranges(rows: DataFrame, length: int = LENGTH, sample: int = SAMPLE, gram: int = GRAM) -> DataFrame:
+def repeated_ranges(rows: DataFrame, length: int = LENGTH, sample: int = SAMPLE, gram: int = GRAM, residues=None) -> DataFrame:
     """``_id, _key, ranges``: sorted first and after-last starts of runs of repeated windows of each text (``id, key, text``)."""
-    if not gram <= sample <= length + 1 - gram:
+    if residues is None and not gram <= sample <= length + 1 - gram:
         raise ValueError("gram <= sample <= length + 1 - gram is needed")
+    if residues is not None and ({(a - b) % residues[0] for a in residues[1] for b in residues[1]} != set(range(residues[0])) or residues[0] > length):
+        raise ValueError("residues are a period of at most length and a difference cover of it")
+
+    def found(data: np.ndarray, off: np.ndarray, length: int, place: int):
+        if residues is None:
+            return _blocks(data, off, length, sample, gram)
+        return _residue_blocks(data, off, length, place, residues)
+
     sc = rows.sparkSession.sparkContext
-    names = written(_names(rows, length, sample, gram))
-    blocks = written(_members(rows, sc.broadcast(filter_of(names, "name")), length, sample, gram).join(names.hint("merge"), "name"))
+    names = written(_names(rows, length, found))
+    blocks = written(_members(rows, sc.broadcast(filter_of(names, "name")), length, found).join(names.hint("merge"), "name"))
     place = F.struct("id", "key", "start", "stop")
     classes = written(blocks.groupBy("name", "bytes").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("one")))
     whole = blocks.join(classes.filter("n > 1").select("name", "bytes").hint("merge"), ["name", "bytes"]).select("id", "key", "start", "stop")
@@ -189,7 +230,9 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, sample: int = SAMPLE,
                      .agg(F.collect_list(F.struct("start", "stop", "name", "single")).alias("blocks")))
     # a repeated row (same id and text) is one member of a class: its windows are taken once
     some = _passing(rows, sc.broadcast(filter_of(ranges, "_key")), True).dropDuplicates(["id", "key"])
-    windows = written(_windows(some, ranges, length))
+    windows = _windows(some, ranges, length)
+    # blocks of one text overlap under residues: a window counts once under a name
+    windows = written(windows if residues is None else windows.dropDuplicates(["id", "key", "start", "name"]))
     equal = windows.groupBy("name", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name", "window")
     parts = (windows.filter("single").join(equal.hint("merge"), ["name", "window"])
              .select("id", "key", "start", (F.col("start") + 1).alias("stop")))
@@ -197,7 +240,7 @@ def repeated_ranges(rows: DataFrame, length: int = LENGTH, sample: int = SAMPLE,
             .agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("ranges")))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text: str = "text", **cover: int) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text: str = "text", **cover) -> DataFrame:
     """``docs`` with ``kept`` (binary) and ``spans``: array<struct<start, stop>> of the maximal removed byte runs."""
     sc = docs.sparkSession.sparkContext
     keep = docs.select(*[c for c in docs.columns if c not in ("kept", "spans")])

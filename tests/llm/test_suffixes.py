@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -83,3 +84,44 @@ def test_query_on_the_driver_table(spark, sf):
     got = sorted(QUERIES["op10_suffix_dedup"](spark, sf).collect())
     assert [(g.doc_id, g.n_bytes, g.n_removed, g.n_spans, g.kept_sha256) for g in got] == [
         (r.doc_id, *w[:3], hashlib.sha256(w[3]).hexdigest()) for r, w in zip(rows, want)]
+
+
+@pytest.mark.parametrize("length,residues", [(40, (13, (0, 1, 3, 9))), (12, (7, (1, 2, 4))), (9, (3, (1, 2)))])
+def test_residues_equal_brute_force(spark, docs_of, length, residues):
+    texts = texts_with_repeats(random.Random(length), 60, length) + ["a" * length, "ab" * (length // 2) + "a", "b" * (length + 5)]
+    out = suffixes.remove_repeats(docs_of(enumerate(texts)), length, residues=residues)
+    got = sorted((r.doc_id, bytes(r.kept), [(s.start, s.stop) for s in r.spans]) for r in out.collect())
+    assert [(len(texts[i].encode()), sum(b - a for a, b in s), len(s), k) for i, k, s in got] == brute([t.encode() for t in texts], length)
+    with pytest.raises(ValueError):
+        suffixes.remove_repeats(docs_of([(1, "a")]), 40, residues=(13, (0, 1, 3)))
+
+
+def test_residues_in_pieces_share_a_shift_for_any_two_windows(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffixes, "PIECE", 70)
+    text = "".join(random.Random(6).choices("abc", k=300))
+    shifts = [set() for _ in range(len(text) - 39)]
+    for _, data, off, _, place in suffixes._pieces(iter([pa.record_batch({"id": [1], "key": [2], "text": [text]})]), 40):
+        _, start, stop, at, _, _ = suffixes._residue_blocks(data, off, 40, place, (13, (0, 1, 3, 9)))
+        for a, b, x in zip(start, stop, at):
+            for p in range(a, b):
+                shifts[p + place].add(int(x - p))
+    assert all(a & b for a in shifts for b in shifts) and max(map(max, shifts)) < 13
+
+
+def test_query_at_a_larger_size(spark):
+    """All rows of sf0.01, by both covers."""
+    from tessera.llm.registry import QUERIES
+
+    top = "/root/testdata/sf0.01"
+    if not os.path.isdir(top):
+        pytest.skip("driver test data not present")
+    docs = spark.read.parquet(f"{top}/documents.parquet").select("doc_id", "text")
+    rows = sorted(docs.collect())
+    want = brute([(r.text or "").encode() for r in rows], 400)
+    got = sorted(QUERIES["op10_suffix_dedup"](spark, top).collect())
+    assert [(g.doc_id, g.n_bytes, g.n_removed, g.n_spans, g.kept_sha256) for g in got] == [
+        (r.doc_id, *w[:3], hashlib.sha256(w[3]).hexdigest()) for r, w in zip(rows, want)]
+    out = suffixes.remove_repeats(docs, 400, residues=suffixes.RESIDUES)
+    assert {r.doc_id: bytes(r.kept) for r in out.collect()} == {r.doc_id: w[3] for r, w in zip(rows, want)}
