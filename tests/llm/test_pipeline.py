@@ -102,3 +102,46 @@ import __spark_entry__ as e
 assert 'wc_direct' in e.queries() and 'pipeline' not in e.queries() and 'wc_direct' in e.oracle_sql()
 """
     assert subprocess.run([sys.executable, "-c", code], cwd=ROOT).returncode == 0
+
+
+def odd_documents(spark, sf):
+    """Rows of the driver table beside nulls, empty and repeated rows, one long text, and columns with internal names."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(20)
+    one = docs.limit(1)
+    long = " ".join(f"word{i}" + ("\n" if i % 12 == 11 else "") for i in range(150_000))
+    odd = [one.withColumns({"doc_id": F.lit(i).cast("long"), "text": F.lit(t).cast("string")})
+           for i, t in ((-1, None), (-2, ""), (-3, long), (-4, " \n\n "), (None, "a text without an id, of few words"))]
+    nulls = one.select(*[F.lit(None).cast(t).alias(c) for c, t in one.dtypes])
+    for f in (*odd, nulls, one):
+        docs = docs.unionByName(f)
+    return docs.withColumns({c: F.lit(c) for c in ("_k", "_id", "_gone", "fp", "key", "n_words")})
+
+
+def test_odd_rows_and_columns_in_every_stage(spark, sf):
+    import corpus_pipeline
+    from tessera.llm.common import written
+
+    docs = written(odd_documents(spark, sf))
+    extra = ["_k", "_id", "_gone", "fp", "key", "n_words"]
+    out = {}
+    for name, f in corpus_pipeline.STAGES:
+        done = written(f(spark, docs, sf))
+        assert done.columns[:len(docs.columns)] == docs.columns, name
+        assert all(tuple(r) == tuple(extra) for r in done.select(*extra).collect()), name
+        out[name] = sorted(((r.doc_id, r.text) for r in done.select("doc_id", "text").collect()), key=str)
+        none = f(spark, docs.limit(0), sf)
+        assert none.columns == done.columns and none.count() == 0, name
+    before = sorted(((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()), key=str)
+    by_id = {name: [i for i, _ in kept] for name, kept in out.items()}
+    quality = by_id["quality rules"]
+    assert not {-1, -2, -4, None} & set(quality) and -3 in quality   # under 20 words
+    lines = out["line dedup"]
+    assert {(-1, None), (-2, ""), (-4, " \n\n "), (None, None)} <= set(lines) and -3 in by_id["line dedup"]
+    near = by_id["SimHash near-dedup"]
+    assert sum(i in (-1, -2, -4) for i in near) == 1 and -3 in near   # texts without words are one group
+    assert len(near) < len(before)
+    assert out["benchmark decontamination"] == [r for r in before if r[0] in set(by_id["benchmark decontamination"])]
+    assert {-1, -2, -3, -4, None} <= set(by_id["benchmark decontamination"])
+    assert out["BPE encoding and decoding"] == before
