@@ -5,6 +5,14 @@
 Each stage takes ``(spark, docs, sf_dir)`` and works on all its predecessor kept; its result is
 written as Parquet and reread as the next one's ``docs``. All but the last return the columns of
 ``documents``; ``n_chars`` follows the text where a stage changes it.
+
+Defined results, in every stage: an empty table gives an empty result; other columns pass through
+unchanged, whatever their names; very long texts are worked on whole. A NULL or empty text has no words:
+quality rules reject it, line dedup, decontamination and encoding keep it, and near-dedup keeps one of
+all texts without words. A NULL id is an id like any other. Repeated rows are documents of their own: quality
+rules, decontamination and encoding treat them alike, line dedup deletes the runs of the later one,
+and near-dedup keeps one of them. As the dealt near-dedup links fingerprints of three-word shingles at two
+differing bits, near copies that differ in more than a few words stay.
 """
 
 from __future__ import annotations
