@@ -6,7 +6,7 @@ compatible, that is, if merging their joined text in merge order gives these two
 otherwise the next shorter token is tried, and without one the token before is taken back and its
 end marked as dead. Each place is left at most once, so a word takes linear time, and the tokens
 are those of merging pairs in order. Compatibility of a pair follows from the merge table by
-undoing the merges nearest to the border (``compatible``).
+replaying the merges next to the border (``compatible``).
 
 Decoding: the pieces of all ids lie in one byte string; an offset table gives each id's stretch,
 and a text is one gather.
@@ -55,6 +55,8 @@ class Encoder(dict):
             raise ValueError("two merges make the same token; pair compatibility needs one way for each")
         self.id_of = [vocab.ids[t] for t in order]
         self.halves = [(i, i) for i in range(len(base))] + [(rank[a], rank[b]) for a, b in vocab.merges]
+        self.n_base = len(base)
+        self.edges: tuple[dict[int, list[tuple[int, int]]], ...] = ({}, {})
         self.merged = {pair: i for i, pair in enumerate(self.halves) if i >= len(base)}
         texts = [symbols(t) for t in order]
         self.length = [len(t) for t in texts]
@@ -66,31 +68,47 @@ class Encoder(dict):
         self.find.make_automaton()
         self.pairs: dict[int, bool] = {}
 
+    def edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """Tokens that end (``side`` 1) or begin (0) the text of ``token`` while it is merged, each with the moment it is merged away.
+
+        Merges of one rank go from left to right: inside the left token, over the border, inside the
+        right one. So a merge of rank r in the left token is at 3r, over the border at 3r + 1, in the right one at 3r + 2.
+        """
+        found = self.edges[side].get(token)
+        if found is None:
+            chain = [token]
+            while chain[-1] >= self.n_base:
+                chain.append(self.halves[chain[-1]][side])
+            chain.reverse()
+            late = 0 if side else 2
+            found = [*((t, 3 * parent + late) for t, parent in zip(chain, chain[1:])), (token, 3 * len(self.halves))]
+            if len(self.edges[side]) >= CACHE_WORDS:
+                self.edges[side].clear()
+            self.edges[side][token] = found
+        return found
+
     def compatible(self, a: int, b: int) -> bool:
         """Does merging the text of ``a`` and ``b`` in order keep the border between them?
 
-        A merge across the border, of the right edge of ``a`` and the left edge of ``b`` as they are
-        at some moment, breaks the pair if it comes before the merge that would hide one of the
-        edges. Edges are opened from the latest merge backwards; ``limit`` is the merge opened last.
+        The merges of both sides are replayed by rank. At each moment one token ends the left side and
+        one begins the right; the border is lost if these two have a merge that comes before either is merged away.
         """
-        left, right, limit, ok = a, b, len(self.halves), True
+        ends, starts = iter(self.edge(a, 1)), iter(self.edge(b, 0))
+        (left, left_until), (right, right_until) = next(ends), next(starts)
+        never = 3 * len(self.halves)
+        ok = True
         while True:
-            joined = self.merged.get((left, right))
-            if joined is not None and joined < limit:
+            until = min(left_until, right_until)
+            over = self.merged.get((left, right))
+            if over is not None and 3 * over + 1 < until:
                 ok = False
                 break
-            if left > right:
-                limit, left = left, self.halves[left][1]
-                if left == limit:  # a single symbol: open the other side
-                    limit, right = right + 1, self.halves[right][0]
-                    if right + 1 == limit:
-                        break
+            if until == never:
+                break
+            if left_until == until:
+                left, left_until = next(ends)
             else:
-                limit, right = right + 1, self.halves[right][0]
-                if right + 1 == limit:
-                    limit, left = left, self.halves[left][1]
-                    if left == limit:
-                        break
+                right, right_until = next(starts)
         if len(self.pairs) >= CACHE_WORDS:
             self.pairs.clear()
         self.pairs[a * len(self.length) + b] = ok

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -36,6 +37,49 @@ def test_ids_equal_the_library(encoder, library):
         assert ids_of(encoder, text) == want.ids, text
 
 
+def test_a_pair_is_compatible_if_merging_its_text_gives_the_pair(encoder):
+    """Against merging in rank order, leftmost first, on a table full of ties."""
+    rng = random.Random(4)
+    vocab = Vocabulary.__new__(Vocabulary)
+    for _ in range(40):
+        tokens, merges = list("ab"), []
+        while len(merges) < 12:
+            a, b = rng.choice(tokens), rng.choice(tokens)
+            if a + b not in tokens and len(a + b) < 9:
+                tokens.append(a + b)
+                merges.append((a, b))
+        vocab.ids, vocab.merges = {t: i for i, t in enumerate(tokens)}, merges
+        small = bpe.Encoder(vocab)
+
+        def merge(parts):
+            for a, b in merges:
+                out = []
+                for p in parts:
+                    if out and out[-1] == a and p == b and out[-1] is not None:
+                        out[-1:] = [a + b, None]  # a merged token takes no further part in this round
+                    else:
+                        out.append(p)
+                parts = [p for p in out if p is not None]
+            return parts
+
+        whole = [i for i, t in enumerate(tokens) if merge(list(t)) == [t]]
+        for i in whole:
+            for j in whole:
+                assert small.compatible(i, j) == (merge(list(tokens[i] + tokens[j])) == [tokens[i], tokens[j]]), (merges, tokens[i], tokens[j])
+
+
+def test_query_on_the_driver_table(spark, sf, library):
+    from tessera.llm.registry import QUERIES
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    rows = QUERIES["op1_bpe_encoding"](spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
 def test_every_token_encodes_to_itself(encoder):
     from tessera.llm.vocab import symbols
 
