@@ -1,4 +1,4 @@
-"""Vectorised hashes of byte strings, and a membership filter of fixed size."""
+"""Vectorised hashes of byte strings, and a membership filter of bounded size."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
-FILTER_BITS = 24  # the filter has 2 ** 24 bits: 2 MB, whatever it holds
+FILTER_BITS = (24, 27)  # a filter has 2 ** 24 bits (2 MB) to 2 ** 27 (16 MB), whatever it holds
+KEY_BITS = 8            # of a filter for each key, within these sizes
 
 
 @lru_cache(4)
@@ -46,19 +47,19 @@ class PrefixHash:
 
 
 def filter_of(df: DataFrame, column: str) -> np.ndarray:
-    """Bitmap of a column of hashes. At most 2 ** 18 words come to the driver, however long the column.
+    """Bitmap of a column of hashes, sized by their number. At most 16 MB of words come to the driver, however long the column.
 
     A fuller filter lets more rows through to the join that follows; results do not change.
     """
-    bit = F.shiftrightunsigned(F.col(column), 64 - FILTER_BITS)
+    bits = min(max((KEY_BITS * df.count() - 1).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+    bit = F.shiftrightunsigned(F.col(column), 64 - bits)
     words = (df.select(F.shiftrightunsigned(bit, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int")).alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")).collect())
-    out = np.zeros(1 << FILTER_BITS - 6, np.uint64)
-    for w, b in words:
-        out[w] = b & (1 << 64) - 1
+             .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow())
+    out = np.zeros(1 << bits - 6, np.uint64)
+    out[words["w"].to_numpy()] = words["b"].to_numpy().view(np.uint64)
     return out
 
 
 def passes(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bit = hashes >> np.uint64(64 - FILTER_BITS)
+    bit = hashes >> np.uint64(64 - (len(bitmap).bit_length() + 5))
     return (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)

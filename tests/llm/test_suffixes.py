@@ -125,3 +125,19 @@ def test_query_at_a_larger_size(spark):
         (r.doc_id, *w[:3], hashlib.sha256(w[3]).hexdigest()) for r, w in zip(rows, want)]
     out = suffixes.remove_repeats(docs, 400, residues=suffixes.RESIDUES)
     assert {r.doc_id: bytes(r.kept) for r in out.collect()} == {r.doc_id: w[3] for r, w in zip(rows, want)}
+
+
+def test_the_filter_grows_with_its_keys_up_to_a_bound(spark, monkeypatch):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tessera.llm import hashing
+
+    monkeypatch.setattr(hashing, "FILTER_BITS", (10, 14))
+    for n, bits in ((0, 10), (1, 10), (128, 10), (129, 11), (2000, 14), (9000, 14)):
+        df = spark.range(n).select(F.xxhash64("id").alias("h"))
+        bitmap = hashing.filter_of(df, "h")
+        held = np.array([r.h for r in df.collect()], np.int64).view(np.uint64)
+        assert len(bitmap) == 1 << bits - 6 and hashing.passes(bitmap, held).all()
+        other = np.array([r.h for r in spark.range(10**6, 10**6 + 2000).select(F.xxhash64("id").alias("h")).collect()], np.int64).view(np.uint64)
+        assert hashing.passes(bitmap, other).mean() < (0.2 if n < 2000 else 0.75)
