@@ -14,7 +14,7 @@ shorter), and since all of them must be found, its necessary prefix is one shing
 4. Verify word by word: the run of equal words around the token. A run of a window's length or
    more is covered by windows; every occurring window is found through its own rarest shingle.
 
-Only filters of fixed size are broadcast (``hashing.filter_of``); they thin the document side
+Only filters of bounded size are broadcast (``hashing.filter_of``); they thin the document side
 before the joins. A passage shared by many documents makes a row for each of them and item that
 holds it; adaptive execution splits such a token's rows.
 

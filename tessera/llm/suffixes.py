@@ -21,8 +21,8 @@ one position in ``SAMPLE / 2``, and works as a cover for the same reason: any tw
    each class is grouped by (name, hash of its bytes); windows that share a group are repeats.
 5. The repeated windows of a document, as byte ranges, are taken out of its text.
 
-Each step is exact (64-bit names are compared within 64-bit names). Only filters of fixed size are
-broadcast. A name shared by many documents is counted before it is shuffled and its rows are
+Each step is exact up to two 64-bit hashes: bytes are compared by a hash within a name, which is one too. Only
+filters of bounded size are broadcast. A name shared by many documents is counted before it is shuffled and its rows are
 joined by hash, where adaptive execution splits them; no step lists pairs.
 
 The same steps over residues (``residues``, off by default): the sampled positions are those whose place
