@@ -11,14 +11,18 @@ one node from the start; everything below is about distinct sets.
    parts: a linked pair agrees in all shingles of some part. A tile holds the sets of one band pair
    that agree in one part (about nine shingles). A part without shingles is a tile only for sets
    that could have a partner with which they agree in empty parts alone; few can.
-2. Hubs. Every set of a tile is compared with the tile's first, so a tile of n sets gives n pairs. Links make
-   components. Where a tile is then one component, nothing is left to find in it.
+2. Hubs. Every set of a tile is compared with the tile's first by the two sorted arrays, so a tile of n sets gives n
+   pairs. The shingles that only one of the two has are kept: the set's difference. Links make components. Where a tile
+   is then one component, nothing is left to find in it.
 3. Other tiles are compared within themselves, in blocks of ``TILE`` sets, but for sets already
    connected: hashed bitmap signatures first, whose bit counts bound the overlap from above
    (each bit set on one side only is a shingle that is not shared), then the sets.
-4. A pair is verified exactly by the intersection of the two sorted arrays.
+4. There a pair is verified exactly by the two differences: a shingle is in one set only if it is in one difference only.
+   A link joins the components of its two sets within the block, so a block gives fewer links than it has sets,
+   however many of its pairs are near or over the limit.
 
-No link between different sets is lost, whatever a tile's size. Only sets that share a tile with a different set
+No link between different sets is lost, whatever a tile's size: one that is not listed joins sets that listed links
+connect. Only sets that share a tile with a different set
 have their shingles read again, stored and shuffled. Two sets with one 64-bit node hash would be
 taken for copies; a second hash is compared for every node, and the job fails if they differ.
 
@@ -39,13 +43,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_buffers, list_column, row_key, slices, written
+from .common import byte_buffers, list_column, ragged_arange, row_key, slices, written
 from .components import components
 from .hashing import PrefixHash, mix
 
 SHINGLE = 3          # words
 PERCENT = 90         # least intersection, per cent of the union
 TILE = 256           # sets compared at a time in step 3
+BLOCK_SHINGLES = 1 << 20  # a block of sets of many shingles is smaller
 MAX_SIGNATURE = 1 << 16  # bits
 BROADCAST_ROWS = 1 << 20
 
@@ -183,75 +188,92 @@ def signature(h: np.ndarray) -> np.ndarray:
 
 
 def _folded(bits: np.ndarray, width: int) -> np.ndarray:
-    return np.bitwise_or.reduce(bits.reshape(-1, width), axis=0)
+    return np.bitwise_or.reduce(bits.reshape(*bits.shape[:-1], -1, width), axis=-2)
 
 
-def overlap_bound(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int) -> int:
-    """Most shingles that two sets can share, by the bits that only one of the signatures has."""
-    width = min(len(a), len(b))
+def overlap_bound(a: np.ndarray, n_a: int, b: np.ndarray, n_b):
+    """Most shingles that two sets can share, by the bits that only one of the signatures has. ``b`` and ``n_b`` may be rows of others."""
+    width = min(len(a), b.shape[-1])
     a, b = _folded(a, width), _folded(b, width)
-    return min(n_a - int(np.bitwise_count(a & ~b).sum()), n_b - int(np.bitwise_count(b & ~a).sum()))
+    return np.minimum(n_a - np.bitwise_count(a & ~b).sum(axis=-1, dtype=np.int64), n_b - np.bitwise_count(b & ~a).sum(axis=-1, dtype=np.int64))
 
 
-def _linked(shared: int, n_a: int, n_b: int, percent: int) -> bool:
+def _linked(shared, n_a, n_b, percent: int):
     return 100 * shared >= percent * (n_a + n_b - shared)
 
 
-def verified(pairs: DataFrame, features: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` (nodes) that link."""
+def compared(pairs: DataFrame, features: DataFrame, percent: int) -> DataFrame:
+    """``a, b, linked, apart`` of the pairs ``a, b`` (nodes): whether they link, and the sorted shingles that only one of them has."""
     def side(x: str) -> DataFrame:
-        return features.select(*[F.col(c).alias(n) for c, n in (("node", x), ("n", f"n_{x}"), ("shingles", f"s_{x}"), ("bits", f"g_{x}"))]).hint("merge")
+        return features.select(*[F.col(c).alias(n) for c, n in (("node", x), ("shingles", f"s_{x}"))]).hint("merge")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (x.slice(at, 512) for x in batches for at in range(0, x.num_rows, 512)):
-            n_a, n_b = b.column(2).to_pylist(), b.column(3).to_pylist()
-            hit = []
-            for i in range(b.num_rows):
-                most = overlap_bound(*(x for c, n in ((6, n_a), (7, n_b)) for x in (np.frombuffer(b.column(c)[i].as_buffer(), np.uint8), n[i])))
-                hit.append(_linked(most, n_a[i], n_b[i], percent) and _linked(len(np.intersect1d(
-                    b.column(4)[i].values.to_numpy(), b.column(5)[i].values.to_numpy(), assume_unique=True)), n_a[i], n_b[i], percent))
-            yield b.filter(pa.array(hit, pa.bool_())).select(["a", "b"])
+            hit, apart = [], []
+            for s, t in zip(b.column(2), b.column(3)):
+                s, t = s.values.to_numpy(), t.values.to_numpy()
+                apart.append(np.setxor1d(s, t, assume_unique=True))
+                hit.append(_linked((len(s) + len(t) - len(apart[-1])) // 2, len(s), len(t), percent))
+            ends = np.concatenate(([0], np.cumsum([len(x) for x in apart])))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hit, pa.bool_()),
+                                              list_column(np.concatenate([*apart, np.zeros(0, np.int64)]), ends, pa.int64())],
+                                             names=["a", "b", "linked", "apart"])
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "s_a", "s_b", "g_a", "g_b")
-    return both.mapInArrow(run, "a long, b long")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b")
+    return both.mapInArrow(run, "a long, b long, linked boolean, apart array<bigint>")
 
 
-def _rest(members: DataFrame, roots: DataFrame, features: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: pairs of sets in one tile (``tile, node``) that are in different components and may link."""
+def _rest(members: DataFrame, roots: DataFrame, features: DataFrame, apart: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: links between sets of one tile (``tile, hub, node, n``) that are in different components, enough to connect all that links connect.
+
+    ``apart`` (``node, hub, apart``) holds the differences of the sets from their tiles' hubs.
+    """
     m = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    split = (m.groupBy("tile").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("sets"),
+    split = (m.groupBy("tile").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"),
                                    F.bit_xor(F.xxhash64("node")).alias("same")).filter("x <> y"))
     # tiles of the same sets are one
-    split = split.groupBy("sets", "same", "x", "y").agg(F.min("tile").alias("tile")).select("tile", "sets")
-    blocks = F.ceil(F.col("sets") / TILE)
-    m = m.join(split, "tile").withColumn("i", F.pmod(F.xxhash64("node"), blocks)).withColumn("blocks", blocks)
-    m = m.join(features.select("node", "n", "bits"), "node")
+    split = split.groupBy("sets", "shingles", "same", "x", "y").agg(F.min("tile").alias("tile"))
+    blocks = F.ceil(F.least(F.col("sets"), F.greatest(F.col("sets") / TILE, F.col("shingles") / BLOCK_SHINGLES)))
+    m = m.join(split.select("tile", blocks.alias("blocks")), "tile").withColumn("i", F.pmod(F.xxhash64("node"), "blocks"))
+    m = m.join(features.select("node", "bits"), "node").join(apart.hint("merge"), ["node", "hub"])
     # block i meets every block from itself on
-    m = m.select("tile", "node", "root", "n", "bits", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"))
-    m = m.select("tile", "node", "root", "n", "bits", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), (F.col("i") <= F.col("j")).alias("left"),
+    cols = ["tile", "node", "root", "n", "bits", "apart"]
+    m = m.select(*cols, "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("j"))
+    m = m.select(*cols, F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), (F.col("i") <= F.col("j")).alias("left"),
                  (F.col("i") >= F.col("j")).alias("right"))
 
     def run(table: pa.Table) -> pa.Table:
-        nodes, roots_, n = (table.column(c).to_numpy() for c in ("node", "root", "n"))
+        nodes, n = (table.column(c).to_numpy() for c in ("node", "n"))
+        part = np.unique(table.column("root").to_numpy(), return_inverse=True)[1]  # components, joined as links are found
         bits = [np.frombuffer(x, np.uint8) for x in table.column("bits").to_pylist()]
         width = min(map(len, bits))
         flat = np.stack([_folded(x, width) for x in bits])
+        own = table.column("apart").combine_chunks()
+        differ = own.value_lengths().to_numpy().astype(np.int64)
+        start = np.cumsum(differ) - differ
+        held, place = np.unique(own.flatten().to_numpy(), return_inverse=True)
+        mark = np.zeros(len(held), bool)
         left, right = (np.flatnonzero(table.column(c).to_numpy()) for c in ("left", "right"))
         a, b = [], []
         for i in left:
-            other = right[roots_[right] != roots_[i]]
+            other = right[part[right] != part[i]]
             if not len(other):
                 continue
-            only_i = np.bitwise_count(flat[i] & ~flat[other]).sum(axis=1, dtype=np.int64)
-            only_j = np.bitwise_count(flat[other] & ~flat[i]).sum(axis=1, dtype=np.int64)
-            most = np.minimum(n[i] - only_i, n[other] - only_j)
-            hit = other[100 * most >= percent * (n[i] + n[other] - most)]
-            a.append(np.minimum(nodes[i], nodes[hit]))
-            b.append(np.maximum(nodes[i], nodes[hit]))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-        return pa.table({"a": a, "b": b})
-
-    return m.groupBy("tile", "p", "q").applyInArrow(run, "a long, b long").distinct()
+            other = other[_linked(overlap_bound(flat[i], n[i], flat[other], n[other]), n[i], n[other], percent)]
+            mine = place[start[i]: start[i] + differ[i]]
+            mark[mine] = True
+            total = np.concatenate(([0], np.cumsum(mark[place[ragged_arange(start[other], differ[other])]])))
+            mark[mine] = False
+            ends = np.cumsum(differ[other])
+            only = differ[i] + differ[other] - 2 * (total[ends] - total[ends - differ[other]])  # shingles that one of the two sets has
+            for j in other[_linked((n[i] + n[other] - only) // 2, n[i], n[other], percent)]:
+                if part[j] != part[i]:
+                    a.append(nodes[i])
+                    b.append(nodes[j])
+                    part[part == part[j]] = part[i]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return m.groupBy("tile", "p", "q").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -263,14 +285,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     nodes = some.groupBy("node").agg(first.alias("first"), F.min("check").alias("x"), F.max("check").alias("y"))
     nodes = written(nodes.select("node", F.when(F.col("x") == F.col("y"), F.col("first")).otherwise(
         F.raise_error(F.lit("two shingle sets share a 64-bit hash")).cast(nodes.schema["first"].dataType)).alias("first")))
-    places = some.select("node", F.explode("tiles").alias("tile"))
+    places = some.select("node", "n", F.explode("tiles").alias("tile"))
     shared = places.groupBy("tile").agg(F.min("node").alias("hub"), F.max("node").alias("y")).filter("hub <> y").select("tile", "hub")
     members = written(places.join(written(shared), "tile").distinct())
     held = members.select("node").distinct().join(nodes, "node").select("node", "first.id", "first.key")
     features = written(_features(texts, written(held), shingle))
-    links = written(verified(members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), features, percent))
-    roots = components(links)
-    more = verified(_rest(members.select("tile", "node"), roots, features, percent), features, percent)
+    hubs = written(compared(members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), features, percent))
+    links = hubs.filter("linked").select("a", "b")
+    apart = hubs.select(F.col("a").alias("node"), F.col("b").alias("hub"), "apart").unionByName(
+        members.filter("node = hub").select("node", "hub", F.array().cast("array<bigint>").alias("apart")).distinct())
+    more = _rest(members, components(links), features, apart, percent)
     roots = components(links.union(more))
     rooted = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first.id").alias("component"))

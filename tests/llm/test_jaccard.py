@@ -93,3 +93,29 @@ def test_the_bound_is_never_below_the_overlap():
         a = np.unique(rng.integers(0, 1 << 62, rng.integers(1, 900)).astype(np.uint64))
         b = np.unique(np.concatenate([a[: rng.integers(0, len(a) + 1)], rng.integers(0, 1 << 62, rng.integers(1, 900)).astype(np.uint64)]))
         assert jaccard.overlap_bound(jaccard.signature(a), len(a), jaccard.signature(b), len(b)) >= len(np.intersect1d(a, b))
+
+
+def test_a_family_gives_fewer_links_than_sets_and_tiles(spark, docs_of, monkeypatch):
+    """Copies on both sides of the limit: the step over what hubs leave lists no pairs."""
+    made = []
+    rest = jaccard._rest
+
+    def counted(*args):
+        out = rest(*args)
+        made.append((out.count(), args[0].count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "_rest", counted)
+    words = [f"w{i}" for i in range(57)]
+    docs = [(i, " ".join([*words[:28], f"x{i}", *words[28:]])) for i in range(200)]  # two share 53 of 59 shingles
+    assert {c for _, _, c in found(docs_of(docs))} == set(range(200))
+    docs.append((500, " ".join(words)))                                              # and each 53 of 58 with this one
+    assert {c for _, _, c in found(docs_of(docs))} == {0}
+    assert made[0][0] == 0 < made[1][0] < made[1][1]  # fewer than places of sets in tiles
+
+
+def test_long_sets_are_compared_in_smaller_blocks(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", 500)
+    rng = random.Random(9)
+    docs = list(enumerate(t for size in (60, 300) for t in family(rng, [f"w{i}" for i in range(900)], size, 30, size // 25)))
+    assert found(docs_of(docs)) == brute(docs)
