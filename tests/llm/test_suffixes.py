@@ -1,6 +1,7 @@
 import hashlib
 import os
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -141,3 +142,18 @@ def test_the_filter_grows_with_its_keys_up_to_a_bound(spark, monkeypatch):
         assert len(bitmap) == 1 << bits - 6 and hashing.passes(bitmap, held).all()
         other = np.array([r.h for r in spark.range(10**6, 10**6 + 2000).select(F.xxhash64("id").alias("h")).collect()], np.int64).view(np.uint64)
         assert hashing.passes(bitmap, other).mean() < (0.2 if n < 2000 else 0.75)
+
+
+def test_texts_skip_python_unless_something_is_removed(spark, docs_of):
+    """The filters get the keys alone, and no task holds two Python workers with the texts in both."""
+    p = "x1y2z3" * 10
+    rows = [(1, p + "tail"), (2, "head" + p), (3, None), (4, "only here"), (4, "only here")]
+    out = suffixes.remove_repeats(docs_of(rows), 30, sample=8, gram=4)
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    texts = [i for i, x in enumerate(plan) if "MapInArrow" in x]
+    union = [i for i, x in enumerate(plan) if x.lstrip(" :+-").startswith("Union")]
+    assert len(texts) == len(union) == 1 and union[0] < texts[0]
+    filters = [x for x in plan if "ArrowEvalPython" in x]
+    assert filters and all(re.search(r"\[hit\((xxhash64\(text#\d+, 42\)|_?key#\d+L?)\)", x) for x in filters)
+    got = Counter((r.doc_id, bytes(r.kept), len(r.spans)) for r in out.collect())
+    assert got == Counter([(1, b"tail", 1), (2, b"head", 1), (3, b"", 0), (4, b"only here", 0), (4, b"only here", 0)])
